@@ -19,21 +19,32 @@ HAS_YEAR = re.compile(r"\d{4}")
 Derive = Callable[[Column], Column]
 
 
+def _header_facts(
+    df: DataFrame, cols: Sequence[str], derived: Mapping[str, Derive]
+) -> list[list[Column]]:
+    """What each header tells, as literals: worked out once per header, not per cell."""
+    if not derived:
+        return [[] for _ in cols]
+    heads = df.sparkSession.createDataFrame([(c,) for c in cols], "h string")
+    facts = heads.select("h", *[fn(F.col("h")).alias(k) for k, fn in derived.items()])
+    types = dict(facts.dtypes)
+    found = {r["h"]: r for r in facts.collect()}
+    return [[F.lit(found[c][k]).cast(types[k]).alias(k) for k in derived] for c in cols]
+
+
 def _melt(
     df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str, value: str,
     cast: Derive | None, derived: Mapping[str, Derive] | None = None,
 ) -> DataFrame:
     """One row per (row, column), with `derived` columns computed from the header alone.
 
-    The headers are literals, so Spark folds what is derived from them once per plan and
-    not once per cell. Generating rows, unlike `unpivot`, keeps the frame's partitioning
-    by its id columns, so a window over them needs no second shuffle.
+    Generating rows, unlike `unpivot`, keeps the frame's partitioning by its id columns,
+    so a window over them needs no second shuffle.
     """
-    derived = derived or {}
+    facts = _header_facts(df, cols, derived or {})
     cells = F.array(*[
-        F.struct(F.lit(c).alias(name), named(c).alias(value),
-                 *[fn(F.lit(c)).alias(k) for k, fn in derived.items()])
-        for c in cols])
+        F.struct(F.lit(c).alias(name), named(c).alias(value), *known)
+        for c, known in zip(cols, facts)])
     long = df.select(*[named(i) for i in ids], F.inline(cells))
     return long.withColumn(value, cast(named(value))) if cast else long
 

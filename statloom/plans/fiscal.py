@@ -39,21 +39,25 @@ def monthly_long(raw: DataFrame) -> DataFrame:
     return long.select("Particulars", "Month", "MillionPesos")
 
 
-def quarterly_wide(monthly: DataFrame, particulars: Sequence[str]) -> DataFrame:
+def quarterly_wide(
+    monthly: DataFrame, particulars: Sequence[str], digits: int | None = None
+) -> DataFrame:
     """Monthly flows summed to quarters, one column per particular."""
     clean = monthly.withColumn("Particulars", ident("Particulars"))
-    sums = to_quarter_sum(clean, ["Particulars"], "Month", "MillionPesos")
+    sums = to_quarter_sum(clean, ["Particulars"], "Month", "MillionPesos", digits=digits)
     return pivot_wide(sums, ["Quarter"], "Particulars", "MillionPesos", list(particulars))
 
 
 def build_ngcor(
-    monthly: DataFrame, gdp: DataFrame, particulars: Sequence[str], how: str = "mean"
+    monthly: DataFrame, gdp: DataFrame, particulars: Sequence[str], how: str = "mean",
+    digits: int | None = None,
 ) -> DataFrame:
     """Quarterly cash operations beside output, each also as a four-quarter figure.
 
     `how` is the four-quarter rule, mean or sum. Quarters without output are dropped last.
+    With `digits`, quarterly sums are exact at that precision.
     """
-    wide = quarterly_wide(monthly, particulars).join(gdp.select("Quarter", GDP), "Quarter", "left")
+    wide = quarterly_wide(monthly, particulars, digits).join(gdp.select("Quarter", GDP), "Quarter", "left")
     rolled = roll_wide(wide, "Quarter", [*particulars, GDP], 4, how, "4Q")
     return rolled.where(F.col(GDP) > 0)
 

@@ -67,10 +67,13 @@ def monthly(spark: SparkSession, sf: str) -> DataFrame:
     ).agg(total("o_totalprice", 2).alias("amount"), F.count("*").alias("n"))
 
 
-def span(spark: SparkSession, sf: str, unit: str = "month") -> list[date]:
-    """Calendar of the order dates, from the first to the last period."""
-    lo, hi = table(spark, sf, "orders").agg(
-        F.min(F.trunc("o_orderdate", unit)), F.max(F.trunc("o_orderdate", unit))).first()
+def span(
+    spark: SparkSession, sf: str, unit: str = "month", name: str = "orders",
+    col: str = "o_orderdate",
+) -> list[date]:
+    """Calendar of a date column, from the first to the last period."""
+    lo, hi = table(spark, sf, name).agg(
+        F.trunc(F.min(col), unit), F.trunc(F.max(col), unit)).first()
     step = {"month": 1, "quarter": 3, "year": 12}[unit]
     out, at = [], lo
     while at <= hi:

@@ -172,15 +172,19 @@ def find_roles(header: Sequence[str], roles: Roles) -> tuple[str, str, str, int]
     return hits(roles.code)[0], hits(roles.country)[0], value, int(year.group())
 
 
+SCHEME = r"^[A-Za-z0-9]*:?/+"  # file systems spell the same path with one or three slashes
+
+
 def scan_vintages(
     spark: SparkSession, files: Mapping[str, Sequence[str]], roles: Roles = Roles(),
     marks: Sequence[str] = TRADE_MARKS,
 ) -> DataFrame:
     """Leaf records of a family of per-year files, by direction.
 
-    Each file names its value column after its year, so headers differ. Files are grouped
-    by where the three roles stand, and each group is one scan: the number of scans
-    depends on the number of layouts, not of years.
+    Each path, a file or a folder of parts with one header, names its value column after
+    its year, so headers differ. Paths are grouped by where the three roles stand, and
+    each group is one scan: the number of scans depends on the number of layouts, not of
+    years.
     """
     layouts: dict[tuple, list[tuple[str, str, int]]] = {}
     for direction, paths in files.items():
@@ -195,11 +199,15 @@ def scan_vintages(
             squish(null_marks(F.col(f"c{code}"), marks)).alias("code"),
             null_marks(F.col(f"c{country}"), marks).alias("country"),
             as_double(null_marks(F.col(f"c{value}"), marks)).alias("value"),
-            F.element_at(F.split(file_path(), ":/+"), -1).alias("__path"))
-        info = spark.createDataFrame(
-            [(re.split(":/+", p)[-1], d, y) for p, d, y in members],
-            "__path string, direction string, year int")
-        scans.append(rows.join(info, "__path").select("year", "direction", "country", "code", "value"))
+            F.regexp_replace(file_path(), SCHEME, "").alias("__path"))
+        owner = {re.sub(SCHEME, "", p).rstrip("/"): (d, y) for p, d, y in members}
+        info = [
+            (file, *owner[file if file in owner else file.rsplit("/", 1)[0]])
+            for file in (re.sub(SCHEME, "", p) for p in paths_of(
+                list_files(spark, [m[0] for m in members], glob="*")))]
+        year_of = spark.createDataFrame(info, "__path string, direction string, year int")
+        scans.append(rows.join(year_of, "__path").select(
+            "year", "direction", "country", "code", "value"))
     out = scans[0]
     for s in scans[1:]:
         out = out.unionByName(s)
