@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cols import named
+from ..functions.cols import literal, named, quoted
 from ..functions.dates import header_year
 from ..functions.text import as_double, parse_number, remove_first, squish
 from .numbering import CHUNK_ROWS, carried_down
@@ -21,15 +21,16 @@ Derive = Callable[[Column], Column]
 
 def _header_facts(
     df: DataFrame, cols: Sequence[str], derived: Mapping[str, Derive]
-) -> list[list[Column]]:
-    """What each header tells, as literals: worked out once per header, not per cell."""
+) -> dict[str, list[str]]:
+    """What each header tells, as SQL literals: worked out once per header, not per cell."""
     if not derived:
-        return [[] for _ in cols]
+        return {c: [] for c in cols}
     heads = df.sparkSession.createDataFrame([(c,) for c in cols], "h string")
     facts = heads.select("h", *[fn(F.col("h")).alias(k) for k, fn in derived.items()])
     types = dict(facts.dtypes)
-    found = {r["h"]: r for r in facts.collect()}
-    return [[F.lit(found[c][k]).cast(types[k]).alias(k) for k in derived] for c in cols]
+    return {
+        r["h"]: [x for k in derived for x in (literal(k), literal(r[k], types[k]))]
+        for r in facts.collect()}
 
 
 def _melt(
@@ -42,10 +43,11 @@ def _melt(
     so a window over them needs no second shuffle.
     """
     facts = _header_facts(df, cols, derived or {})
-    cells = F.array(*[
-        F.struct(F.lit(c).alias(name), named(c).alias(value), *known)
-        for c, known in zip(cols, facts)])
-    long = df.select(*[named(i) for i in ids], F.inline(cells))
+    cells = ", ".join(
+        "named_struct(" + ", ".join(
+            [literal(name), literal(c), literal(value), quoted(c), *facts[c]]) + ")"
+        for c in cols)
+    long = df.selectExpr(*[quoted(i) for i in ids], f"inline(array({cells}))")
     return long.withColumn(value, cast(named(value))) if cast else long
 
 

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import ColumnLike, as_col
 from ..functions.labels import classify, in_set
-from ..functions.numbers import round_even, total
+from ..functions.numbers import round_even
 from ..functions.text import as_int, pad, remove_all, squish
-from ..operators.aggs import Marginal, annual_balance, marginals, rollup_from
+from ..operators.aggs import annual_balance, rollup_from
 from ..operators.joins import label_lookup
 from ..sources.workspace import stage
 from . import trade_values as V
@@ -131,63 +131,109 @@ def is_mineral(code: ColumnLike) -> Column:
     return (classification(code) == "HS") & mineral_heading(F.substring(as_col(code), 1, 4))
 
 
+def with_country_labels(df: DataFrame, raw: str = "country") -> DataFrame:
+    """Canonical country, region and flags of a small frame of raw labels.
+
+    The raw label column is replaced by the canonical one. Use it after summing to raw
+    labels, so that the rules run per label and not per record.
+    """
+    return (
+        df.withColumn("__raw", F.col(raw)).withColumn(raw, canon_country("__raw"))
+        .withColumns({
+            "region": region_of(raw), "is_europe": is_europe(raw), "is_asean": is_asean(raw),
+            "is_resid": is_residual("__raw"),
+        }).drop("__raw"))
+
+
+def label_dimension(df: DataFrame, raw: str) -> DataFrame:
+    """Every raw label of a large frame with its canonical country and flags."""
+    return with_country_labels(
+        df.select(raw).distinct().withColumn("country", F.col(raw)), "country")
+
+
 # -- tables ---------------------------------------------------------------------------
 
 
-def _positive(fact: DataFrame) -> DataFrame:
-    return fact.where(F.col("value") > 0)
+def trade_leaf(fact: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
+    """Positive records with the code parts that decide every table.
+
+    Amounts become whole numbers of their smallest unit where the config gives one: such
+    sums are exact, so rounding does not depend on how the records were partitioned.
+    """
+    amount = F.col("value")
+    if cfg.value_digits is not None:
+        amount = F.round(amount * F.lit(10**cfg.value_digits), 0).cast("bigint")
+    return fact.where(F.col("value") > 0).select(
+        "year", "direction", "country", classification("code").alias("classification"),
+        code_key("code", cfg.hs_digits).alias("code_key"),
+        F.when(classification("code") == "HS", F.substring("code", 1, 4)).alias("heading"),
+        amount.alias("value"))
+
+
+def _summed(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum("value").alias("value"))
 
 
 def trade_base(fact: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
-    """Leaf records summed to raw label x code key, then labelled.
+    """Leaf records summed to raw label x code key, from which all tables follow."""
+    return _summed(trade_leaf(fact, cfg), "year", "direction", "country", "classification",
+                   "code_key", "heading")
 
-    All marginals follow from this table, which is as small as the number of distinct
-    label-code pairs; the rule chains run on its rows and not on the leaf records. The
-    first four digits of a code decide every product flag, so they are kept as well.
-    """
-    leaf = _positive(fact).select(
-        "year", "direction", "country", code_key("code", cfg.hs_digits).alias("code_key"),
-        classification("code").alias("classification"), F.substring("code", 1, 4).alias("heading"),
-        "value")
-    keys = [c for c in leaf.columns if c != "value"]
-    base = leaf.groupBy(*keys).agg(total("value", cfg.value_digits).alias("value"))
-    hs = F.col("classification") == "HS"
-    return (
-        base.withColumn("raw", F.col("country"))
-        .withColumns({
-            "country": canon_country("raw"), "is_semi": hs & semi_heading("heading"),
-            "is_mineral": hs & mineral_heading("heading"),
-        })
-        .withColumns({
-            "region": region_of("country"), "is_europe": is_europe("country"),
-            "is_asean": is_asean("country"), "is_resid": is_residual("raw"),
-            "group": F.when(hs, chapter_group(F.substring("heading", 1, 2))),
-            "mineral_type": F.when(F.col("is_mineral"), mineral_type("heading")),
-        }).drop("raw"))
 
+def _usd(df: DataFrame, cfg: TradeConfig) -> DataFrame:
+    """Whole currency units, rounded after the sum."""
+    keys = [c for c in df.columns if c != "value"]
+    amount = F.col("value").cast("double") / F.lit(float(10 ** (cfg.value_digits or 0)))
+    return df.select(*keys, round_even(amount).alias("value_usd"))
 
-def trade_specs(cfg: TradeConfig = TradeConfig()) -> dict[str, Marginal]:
+
+# Each table first sums its rows to raw labels, a few rows per year, then applies the label
+# rules, and sums again to canonical labels. `rows` is a trade base or the leaf itself.
+
+
+def partner_table(rows: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
+    raw = with_country_labels(_summed(rows, "year", "direction", "country"))
+    return _usd(_summed(raw, "year", "direction", "country", "region", "is_europe", "is_asean",
+                        "is_resid"), cfg)
+
+
+def commodity_table(rows: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
     kept = F.col("code_key").isNotNull()
     if not cfg.include_pre_hs:
         kept = F.col("classification") == "HS"
-    return {
-        "trade_by_partner": Marginal(
-            ["year", "direction", "country", "region", "is_europe", "is_asean", "is_resid"]),
-        "trade_by_commodity": Marginal(
-            ["year", "direction", "classification", "code_key"], kept, {"code_key": "code"}),
-        "trade_by_partner_group": Marginal(
-            ["year", "direction", "country", "group"],
-            (F.col("classification") == "HS") & F.col("group").isNotNull()),
-        "trade_semiconductors": Marginal(["year", "direction", "country"], F.col("is_semi")),
-        "trade_minerals": Marginal(
-            ["year", "direction", "country", "mineral_type"], F.col("is_mineral")),
-    }
+    summed = _summed(rows.where(kept), "year", "direction", "classification", "code_key")
+    return _with_chapter(_usd(summed.withColumnRenamed("code_key", "code"), cfg))
 
 
-def _usd(df: DataFrame) -> DataFrame:
-    """Whole currency units, rounded after the sum."""
-    keys = [c for c in df.columns if c != "value"]
-    return df.select(*keys, round_even("value").cast("double").alias("value_usd"))
+def partner_group_table(rows: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
+    hs = rows.where(F.col("classification") == "HS").withColumn(
+        "chapter", F.substring("heading", 1, 2))
+    raw = _summed(hs, "year", "direction", "country", "chapter").select(
+        "year", "direction", canon_country("country").alias("country"),
+        chapter_group("chapter").alias("group"), "value")
+    return _usd(_summed(raw, "year", "direction", "country", "group"), cfg)
+
+
+def semiconductor_table(rows: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
+    raw = _summed(rows.where(semi_heading("heading")), "year", "direction", "country")
+    return _usd(_summed(raw.withColumn("country", canon_country("country")),
+                        "year", "direction", "country"), cfg)
+
+
+def mineral_table(rows: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
+    raw = _summed(rows.where(mineral_heading("heading")), "year", "direction", "country", "heading")
+    named = raw.select("year", "direction", canon_country("country").alias("country"),
+                       mineral_type("heading").alias("mineral_type"), "value")
+    return _usd(_summed(named, "year", "direction", "country", "mineral_type"), cfg)
+
+
+MARGINAL_TABLES = {
+    "trade_by_partner": partner_table,
+    "trade_by_commodity": commodity_table,
+    "trade_by_partner_group": partner_group_table,
+    "trade_semiconductors": semiconductor_table,
+    "trade_minerals": mineral_table,
+}
 
 
 def _with_chapter(commodity: DataFrame) -> DataFrame:
@@ -198,14 +244,6 @@ def _with_chapter(commodity: DataFrame) -> DataFrame:
         F.when(hs, chapter_group("chapter")).alias("group"), "value_usd")
 
 
-def trade_marginals(base: DataFrame, cfg: TradeConfig = TradeConfig()) -> dict[str, DataFrame]:
-    """The five marginals of a trade base, in whole currency units."""
-    parts = marginals(base, trade_specs(cfg), "value", cfg.value_digits)
-    tables = {name: _usd(df) for name, df in parts.items()}
-    tables["trade_by_commodity"] = _with_chapter(tables["trade_by_commodity"])
-    return tables
-
-
 def build_region(partner: DataFrame) -> DataFrame:
     return rollup_from(partner, ["year", "direction", "region"])
 
@@ -232,7 +270,8 @@ def build_trade(fact: DataFrame, cfg: TradeConfig = TradeConfig()) -> dict[str,
     The base and the partner table are written once and read by what follows, so the leaf
     records are scanned and shuffled one time.
     """
-    tables = trade_marginals(stage(trade_base(fact, cfg), "trade-base"), cfg)
+    base = stage(trade_base(fact, cfg), "trade-base")
+    tables = {name: build(base, cfg) for name, build in MARGINAL_TABLES.items()}
     tables["trade_by_partner"] = stage(tables["trade_by_partner"], "trade-partner")
     tables["trade_by_region"] = build_region(tables["trade_by_partner"])
     tables["trade_annual"] = build_annual(tables["trade_by_partner"])

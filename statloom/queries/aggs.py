@@ -10,7 +10,7 @@ from ..operators import aggs as A
 from ..operators.frames import top_partners, union_all
 from ..plans import trade as T
 from .common import (
-    ANNUAL, COMMODITY, FACT, LABELLED, MONTHLY, PARTNER, cents, ctes, monthly, table, trade_fact,
+    ANNUAL, COMMODITY, FACT, MONTHLY, PARTNER, cents, ctes, monthly, table, trade_fact,
 )
 from .registry import query
 
@@ -35,7 +35,7 @@ def a1(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def partner(spark: SparkSession, sf: str) -> DataFrame:
-    return T.trade_marginals(T.trade_base(trade_fact(spark, sf)))["trade_by_partner"]
+    return T.partner_table(T.trade_leaf(trade_fact(spark, sf)))
 
 
 @query("a2_rollup_from", ctes(PARTNER) + """
@@ -144,9 +144,9 @@ SELECT year, direction, l.t AS left_total, r.t AS right_total,
        abs(coalesce(l.t, 0) - coalesce(r.t, 0)) <= 1000 AS agrees
 FROM l FULL JOIN r USING (year, direction)""")
 def a11(spark: SparkSession, sf: str) -> DataFrame:
-    tables = T.trade_marginals(T.trade_base(trade_fact(spark, sf)))
-    return A.reconcile(tables["trade_by_partner"], tables["trade_by_commodity"],
-                       ["year", "direction"], "value_usd", 1000.0)
+    leaf = T.trade_leaf(trade_fact(spark, sf))
+    return A.reconcile(T.partner_table(leaf), T.commodity_table(leaf), ["year", "direction"],
+                       "value_usd", 1000.0)
 
 
 @query("o3_top_partners", ctes(PARTNER) + """

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import total
 from ..operators.frames import union_all
-from ..operators.numbering import numbered
+from ..operators.joins import natural_join
 from ..operators.reshape import pivot_wide
 from ..plans import accounts as NA
 from ..plans import agri as AG
@@ -20,16 +20,15 @@ from ..plans import publish as PU
 from ..plans import social as SO
 from ..plans import trade as T
 from ..plans import trade_values as V
-from ..sources.scan import scan_vintages
 from ..sources.sinks import read_bundle
-from ..sources.workspace import fresh_dir, stage
+from ..sources.workspace import fresh_dir
 from .common import (
     ANNUAL, COMMODITY, COUNTRY_OF, FACT, GDP, LABELLED, PARTNER, USD, canon_sql, cell_text, cents,
     chapter_label_sql, clean_country_sql, country_label, ctes, europe_sql, gdp, group_sql,
     mineral_sql, region_sql, residual_sql, span, sql_in, sql_list, table, trade_fact, wide,
 )
 from .registry import query
-from .scans import csv_out, landed_vintages
+from .scans import csv_out
 
 # -- label and code rules over every customer and every trade record ------------------------
 
@@ -40,27 +39,27 @@ can AS (SELECT c_custkey, raw, {canon_sql('y')} AS country FROM lab)"""
 
 
 def customer_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").select("c_custkey", country_label("c_nationkey").alias("raw"))
+    """Customers with the label columns of their country, worked out once per raw label."""
+    raw = table(spark, sf, "customer").select("c_custkey", country_label("c_nationkey").alias("raw"))
+    return natural_join(raw, T.label_dimension(raw, "raw"), "left", ["raw"])
 
 
 @query("d1_canon_country", ctes(CUSTOMER_LABELS) + "SELECT c_custkey, country FROM can")
 def d1(spark: SparkSession, sf: str) -> DataFrame:
-    return customer_labels(spark, sf).select("c_custkey", T.canon_country("raw").alias("country"))
+    return customer_labels(spark, sf).select("c_custkey", "country")
 
 
 @query("d2_region_of", ctes(CUSTOMER_LABELS) + f"""
 SELECT c_custkey, {region_sql('country')} AS region, {europe_sql('country')} AS is_europe,
        country IN {sql_in(V.ASEAN)} AS is_asean FROM can""")
 def d2(spark: SparkSession, sf: str) -> DataFrame:
-    df = customer_labels(spark, sf).withColumn("country", T.canon_country("raw"))
-    return df.select("c_custkey", T.region_of("country").alias("region"),
-                     T.is_europe("country").alias("is_europe"), T.is_asean("country").alias("is_asean"))
+    return customer_labels(spark, sf).select("c_custkey", "region", "is_europe", "is_asean")
 
 
 @query("d3_is_residual", ctes(CUSTOMER_LABELS) + f"""
 SELECT c_custkey, {residual_sql('raw')} AS is_resid FROM can""")
 def d3(spark: SparkSession, sf: str) -> DataFrame:
-    return customer_labels(spark, sf).select("c_custkey", T.is_residual("raw").alias("is_resid"))
+    return customer_labels(spark, sf).select("c_custkey", "is_resid")
 
 
 def codes(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,7 +122,7 @@ SELECT year, Exports, Imports, Exports - Imports AS balance, Exports + Imports A
 
 
 def marginal(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return T.trade_marginals(T.trade_base(trade_fact(spark, sf)))[name]
+    return T.MARGINAL_TABLES[name](T.trade_leaf(trade_fact(spark, sf)))
 
 
 @query("d7_trade_by_partner", PARTNER_SQL)
@@ -346,7 +345,10 @@ def d11_large(spark: SparkSession, sf: str) -> DataFrame:
     return inflation_large(spark, sf)
 
 
-@query("d11_inflation_core", ctes(CORE) + "SELECT * FROM core")
+D11_CORE = ctes(CORE) + "SELECT * FROM core"
+
+
+@query("d11_inflation_core", D11_CORE)
 def d11_core(spark: SparkSession, sf: str) -> DataFrame:
     return PR.build_core(vintage(spark, sf, lambda y: True))
 
@@ -366,10 +368,13 @@ def d11_small(spark: SparkSession, sf: str) -> DataFrame:
     return PR.small_table(inflation_large(spark, sf), d11_core(spark, sf))
 
 
-@query("d11_inflation_main", ctes(LARGE) + f"""
+D11_MAIN = ctes(LARGE) + f"""
 SELECT "Geolocation", regexp_replace("Commodity", '^.+-\\s', '') AS "Commodity", "Month", "CPI", "Inflation"
 FROM large WHERE NOT starts_with("Geolocation", '....')
-  AND regexp_replace("Commodity", '^.+-\\s', '') IN {sql_in(PR.MAIN_COMMODITIES)}""")
+  AND regexp_replace("Commodity", '^.+-\\s', '') IN {sql_in(PR.MAIN_COMMODITIES)}"""
+
+
+@query("d11_inflation_main", D11_MAIN)
 def d11_main(spark: SparkSession, sf: str) -> DataFrame:
     return PR.main_table(inflation_large(spark, sf))
 
@@ -748,9 +753,7 @@ def price_tree(spark: SparkSession, sf: str) -> tuple[str, list[str]]:
                 cell_text(total("l_extendedprice", 2)).alias("cell"))])
         heads = names + [f"{y} Annual" for y in years]
         wide_rows = pivot_wide(cells, ["Geolocation", "Commodity"], "h", "cell", heads)
-        marked = wide_rows.select("Geolocation", "Commodity", *[
-            F.coalesce(F.col(f"`{h}`"), F.lit("..")).alias(h) for h in heads])
-        paths.append(csv_out(marked, f"{root}/{kind}/{series}/items.csv"))
+        paths.append(csv_out(wide_rows.fillna(".."), f"{root}/{kind}/{series}/items.csv"))
     seasonal = src.groupBy(F.lit("Palay").alias("Commodity")).agg(
         cell_text(total("l_quantity", 2)).alias(f"{years[0]} Quarter 1"))
     paths.append(csv_out(seasonal, f"{root}/Farmgate Prices/New Series/seasonal.csv"))
@@ -882,3 +885,65 @@ for _freq, _word in (("Annual", "annual"), ("Quarter", "quarterly")):
         lambda spark, sf, freq=_freq: livestock(spark, sf, freq))
     query(f"d24_fisheries_{_word}", fisheries_sql(_freq))(
         lambda spark, sf, freq=_freq: fisheries(spark, sf, freq))
+
+
+# -- inspection and compilation -----------------------------------------------------------
+
+D25_SQL = ctes(FACT) + """,
+u AS (SELECT direction || ' ' || year AS file, code, min(row_id) AS f
+      FROM (SELECT direction, year, code, CAST(code AS BIGINT) AS row_id FROM fact) GROUP BY 1, 2),
+h AS (SELECT file, length(code) AS len, count(*) AS n FROM u GROUP BY 1, 2),
+s AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY f, code) AS k FROM u)
+SELECT file, CAST(sum(n) AS BIGINT) AS n_codes, string_agg(len || ':' || n, ', ' ORDER BY len) AS length_dist,
+       (SELECT string_agg(code, ', ' ORDER BY k) FROM s WHERE s.file = h.file AND k <= 6) AS samples
+FROM h GROUP BY file"""
+
+
+@query("d25_inspect", D25_SQL)
+def d25(spark: SparkSession, sf: str) -> DataFrame:
+    records = trade_fact(spark, sf).select(
+        F.concat_ws(" ", "direction", "year").alias("file"), "code",
+        F.col("code").cast("bigint").alias("row_id"))
+    return PU.inspect(records)
+
+
+# builder and SQL of every dashboard table
+DASHBOARD = {
+    "SNA2000_Quarterly_Exp": (lambda s, f: accounts(s, f, "Expenditure", "quarter"),
+                              accounts_sql("Expenditure", "quarter")),
+    "SNA2000_Quarterly_Ind": (lambda s, f: accounts(s, f, "Industry", "quarter"),
+                              accounts_sql("Industry", "quarter")),
+    "SNA2000_Quarterly_PC": (d10, D10_SQL),
+    "inflation_small": (d11_small, D11_SMALL),
+    "inflation_main": (d11_main, D11_MAIN),
+    "inflation_core": (d11_core, D11_CORE),
+    "deflators": (d13, D13_SQL),
+    "labor": (d14, D14_SQL),
+    "ngcor": (ngcor, ngcor_sql("mean")),
+    "ngdebt": (d17, D17_SQL),
+    "tax_types": (d18, D18_SQL),
+    "crops_annual": (lambda s, f: crops(s, f, "Annual"), crops_sql("Annual")),
+    "livestock_annual": (lambda s, f: livestock(s, f, "Annual"), livestock_sql("Annual")),
+    "fisheries_annual": (lambda s, f: fisheries(s, f, "Annual"), fisheries_sql("Annual")),
+    "value_production_quarterly": (d21, D21_SQL),
+    "self_sufficiency_annual": (d22, D22_SQL),
+    "prices_monthly": (d20_national, D20_NATIONAL),
+    "trade_annual": (None, ANNUAL_SQL),
+    "trade_by_partner": (None, PARTNER_SQL),
+    "trade_by_region": (None, REGION_SQL),
+    "trade_by_commodity": (None, COMMODITY_SQL),
+    "trade_semiconductors": (None, SEMI_SQL),
+}
+D26_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS \"table\", count(*) AS rows FROM ({sql})" for name, (_, sql) in DASHBOARD.items())
+
+
+@query("d26_compile", D26_SQL)
+def d26(spark: SparkSession, sf: str) -> DataFrame:
+    tables = T.build_trade(trade_fact(spark, sf))
+    tables |= {n: build(spark, sf) for n, (build, _) in DASHBOARD.items() if build}
+    folder = fresh_dir(spark, "dashboard")
+    names = PU.compile_dashboard(tables, folder)
+    parts = read_bundle(spark, folder, names)
+    return union_all([
+        df.agg(F.lit(n).alias("table"), F.count("*").alias("rows")) for n, df in parts.items()])

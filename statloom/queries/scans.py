@@ -34,8 +34,7 @@ def csv_out(df: DataFrame, path: str) -> str:
 
 def marked(df: DataFrame, mark: str = "..") -> DataFrame:
     """Text cells with a marker in place of a missing number, as such tables come."""
-    return df.select("series", *[
-        F.coalesce(F.col(f"`{c}`"), F.lit(mark)).alias(c) for c in period_columns(df.columns)])
+    return df.fillna(mark)
 
 
 def landed_wide(spark: SparkSession, sf: str, mark: str = "..") -> str:

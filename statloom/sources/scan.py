@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.cols import named
+from ..functions.cols import literal, named, quoted
 from ..functions.text import as_double, squish
 from ..operators.reshape import period_columns
 
@@ -33,6 +33,14 @@ def null_marks(c: Column, marks: Sequence[str]) -> Column:
     return F.when(~F.trim(c).isin(*marks), c)
 
 
+def nulls_for_marks(df: DataFrame, marks: Sequence[str]) -> DataFrame:
+    """Missing values in place of the markers, in every text column of a wide table."""
+    listed = ", ".join(literal(m) for m in marks)
+    return df.selectExpr(*[
+        f"CASE WHEN trim({quoted(c)}) NOT IN ({listed}) THEN {quoted(c)} END AS {quoted(c)}"
+        for c in df.columns])
+
+
 def scan_strings(
     spark: SparkSession, paths: str | Sequence[str], marks: Sequence[str]
 ) -> DataFrame:
@@ -41,7 +49,7 @@ def scan_strings(
     All files must share one header; a differing header fails instead of shifting columns.
     """
     df = csv_reader(spark).option("enforceSchema", False).csv(paths)
-    return df.select(*[null_marks(named(c), marks).alias(c) for c in df.columns])
+    return nulls_for_marks(df, marks)
 
 
 def scan_typed(
@@ -98,10 +106,8 @@ def scan_groups(
         groups.setdefault(header, []).append(path)
     out = {}
     for header, members in groups.items():
-        df = csv_reader(spark).csv(members)
-        out[header] = df.select(
-            *[null_marks(named(c), marks).alias(c) for c in df.columns],
-            file_path().alias("__path"))
+        df = csv_reader(spark).csv(members).withColumn("__path", file_path())
+        out[header] = nulls_for_marks(df, marks)
     return out
 
 

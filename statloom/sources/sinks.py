@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import Any
 
@@ -12,10 +13,20 @@ from pyspark.sql import functions as F
 from ..functions.cols import named
 
 
+WRITERS = 4
+
+
+def _write_all(tables: Mapping[str, DataFrame], put: Callable[[str, DataFrame], None]) -> None:
+    """Write independent tables side by side; the first failure is raised."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for job in [pool.submit(put, name, df) for name, df in tables.items()]:
+            job.result()
+
+
 def write_tables(tables: Mapping[str, DataFrame], folder: str, mode: str = "overwrite") -> None:
     """One CSV folder per table."""
-    for name, df in tables.items():
-        df.write.mode(mode).option("header", True).csv(f"{folder}/{name}.csv")
+    _write_all(tables, lambda name, df: df.write.mode(mode).option("header", True).csv(
+        f"{folder}/{name}.csv"))
 
 
 def write_bundle(
@@ -23,8 +34,7 @@ def write_bundle(
 ) -> None:
     """Parquet per table plus a one-row `meta` table; lists become arrays."""
     first = next(iter(tables.values()))
-    for name, df in tables.items():
-        df.write.mode(mode).parquet(f"{folder}/{name}")
+    _write_all(tables, lambda name, df: df.write.mode(mode).parquet(f"{folder}/{name}"))
     row = first.sparkSession.range(1).select(
         F.current_timestamp().alias("built"), *[F.lit(v).alias(k) for k, v in meta.items()])
     row.write.mode(mode).parquet(f"{folder}/meta")
@@ -41,8 +51,8 @@ def publish(
     missing = [n for n in names if n not in bundle]
     if missing:
         raise KeyError(f"not in bundle: {missing}")
-    for n in names:
-        bundle[n].write.mode(mode).parquet(f"{folder}/{n}")
+    _write_all({n: bundle[n] for n in names},
+               lambda name, df: df.write.mode(mode).parquet(f"{folder}/{name}"))
     return list(names)
 
 
