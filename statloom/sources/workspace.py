@@ -8,27 +8,30 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+OWN = "statloom.work.dir"  # the folder this session made for itself
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
     Only a session without the setting, and on one machine, gets a folder of its own.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-        "spark.checkpoint.dir")
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir") or spark.conf.get(OWN, None))
     if folder:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="statloom-")
-    spark.conf.set("statloom.work.dir", folder)
+    spark.conf.set(OWN, folder)
     return folder
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused folder for one run."""
-    root = spark.conf.get("statloom.work.dir", None) or shared_root(spark)
-    return f"{root}/statloom/{name}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/statloom/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
