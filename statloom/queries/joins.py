@@ -8,10 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import total
 from ..operators import joins as J
 from ..plans.trade import chapter_label
-from .common import (
-    FACT, HEADINGS, LABELLED, LINES, cents, chapter_label_sql, ctes, lines, sql_list, table,
-    trade_fact,
-)
+from .common import HEADINGS, cents, chapter_label_sql, ctes, sql_list, table
 from .registry import query
 
 # volumes at returned/kept flags and values by status, months only partly shared

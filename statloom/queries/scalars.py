@@ -10,11 +10,8 @@ from ..functions import labels as L
 from ..functions import nested as N
 from ..functions import numbers as X
 from ..functions import text as S
-from ..operators.aggs import to_quarter_sum
-from .common import (
-    GDP, GRID, LINES, MONTHLY, cents, ctes, gdp, lines, monthly, span, sql_list, table, wide_monthly, MONTH,
-)
 from ..operators.reshape import unpivot_periods
+from .common import GDP, GRID, LINES, MONTH, ctes, gdp, lines, sql_list, table, wide_monthly
 from .registry import query
 
 WHITE = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
@@ -145,9 +142,6 @@ def f10(spark: SparkSession, sf: str) -> DataFrame:
         D.quarter_start("o_orderdate").alias("from_date"), F.quarter("o_orderdate").alias("number"))
 
 
-F11_LABELS = ["Quarter", "Semester", "Cumulative", "Month", "Annual", "Other"]
-
-
 @query("f11_period_parse", """
 WITH p AS (
   SELECT o_orderkey, o_orderdate AS d, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS k FROM orders)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import total
 from ..operators import windows as W
 from ..operators.reshape import pivot_wide, unpivot_periods
-from .common import GRID, LINES, MONTHLY, cents, ctes, lines, monthly, table, wide_monthly, MONTH
+from .common import GRID, LINES, MONTH, cents, ctes, lines, table, wide_monthly
 from .registry import query
 
 
