@@ -15,14 +15,16 @@ LITERAL_LIMIT = 1_000
 
 
 def natural_join(
-    a: DataFrame, b: DataFrame, how: str = "left", keys: Sequence[str] | None = None
+    a: DataFrame, b: DataFrame, how: str = "left", keys: Sequence[str] | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Join on all shared column names (or `keys`); NULL keys match NULL keys.
 
     No side is hinted: Spark broadcasts one only when its known size is under the
-    session's limit, and splits oversized partitions of shuffled ones. A full join is
-    built as left join plus the unmatched right rows, because Spark can split a hot key
-    in those two but not in a full outer join.
+    session's limit, and splits oversized partitions of shuffled ones. Spark cannot split
+    a hot key in a full outer join, so a full join is built as a left join plus the
+    unmatched right rows. Where both sides are known to hold one row per key
+    (`unique_keys`), no key can be hot and one plain full join reads each side once.
     """
     keys = list(keys or [c for c in a.columns if c in b.columns])
     extra = [c for c in b.columns if c not in keys]
@@ -31,6 +33,10 @@ def natural_join(
         lambda x, y: x & y, [named(k).eqNullSafe(named(f"__b_{k}")) for k in keys])
     mine = [c for c in a.columns if c not in keys]
     cols_a = [named(k) for k in keys]
+    if how == "full" and unique_keys:
+        both = a.join(right, cond, "full")
+        mark = [F.coalesce(named(k), named(f"__b_{k}")).alias(k) for k in keys]
+        return both.select(*mark, *[named(c) for c in [*mine, *extra]])
     if how == "full":
         left = a.join(right, cond, "left").select(*cols_a, *[named(c) for c in [*mine, *extra]])
         only_b = right.join(a.select(*cols_a), cond, "left_anti").select(

@@ -57,8 +57,9 @@ def period_columns(names: Sequence[str]) -> list[str]:
 
 
 def period_label(header: Column) -> Column:
-    """Header text without its first year."""
-    return squish(remove_first(header, r"\s*\d{4}\s*"))
+    """Header text without the year that `header_year` reads."""
+    return squish(F.when(header.startswith("At "), remove_first(header, r"\s*\d{4}\s*$"))
+                  .otherwise(remove_first(header, r"\s*\d{4}\s*")))
 
 
 PERIOD_PARTS: Mapping[str, Derive] = {"Yr": header_year, "PeriodLabel": period_label}

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.numbers import total
 from ..operators import frames as O
-from .common import GRID, LINES, MONTHLY, cents, ctes, lines, monthly, table, wide_monthly, MONTH
 from ..operators.reshape import unpivot_periods
+from .common import GRID, LINES, MONTH, MONTHLY, cents, ctes, lines, monthly, table, wide_monthly
 from .registry import query
 
 

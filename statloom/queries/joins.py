@@ -47,7 +47,7 @@ def j1(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("j2_natural_full", ctes(VOL, VAL) + NATURAL.format(how="FULL"))
 def j2(spark: SparkSession, sf: str) -> DataFrame:
-    return J.natural_join(vol(spark, sf), val(spark, sf), "full")
+    return J.natural_join(vol(spark, sf), val(spark, sf), "full", unique_keys=True)
 
 
 @query("j3_natural_right", ctes(VOL, VAL) + NATURAL.format(how="RIGHT"))

@@ -66,10 +66,11 @@ def scan_typed(
 def list_files(
     spark: SparkSession, root: str | Sequence[str], glob: str = "*.csv", recursive: bool = True
 ) -> DataFrame:
-    """Files under a folder with their sizes; contents are not read."""
+    """Files under a folder with their sizes and scan addresses; contents are not read."""
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", recursive).load(root).select("path", "length"))
+        .option("recursiveFileLookup", recursive).load(root)
+        .select("path", "length", F.col("_metadata.file_path").alias("uri")))
 
 
 def paths_of(files: DataFrame) -> list[str]:
@@ -87,9 +88,27 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, .
         return dict(zip(paths, pool.map(lambda p: tuple(header_of(spark, p)), paths)))
 
 
-def file_path() -> Column:
-    """Path of the file a row came from, decoded."""
-    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+URI = "__uri"  # scan column with the address of the file a row came from
+BROADCAST_FILES = 100_000
+SCHEME = r"^[A-Za-z0-9]*:?/+"  # listings spell the same path with one or three slashes
+
+
+def bare(path: str) -> str:
+    return re.sub(SCHEME, "", path).rstrip("/")
+
+
+def with_file_facts(
+    rows: DataFrame, facts: Mapping[str, Sequence], schema: str
+) -> DataFrame:
+    """Add what is known per file to the rows of a scan.
+
+    The facts are joined by file address, so nothing is parsed per row. There is one fact
+    per file and their number is known here: up to a limit they are broadcast.
+    """
+    table = rows.sparkSession.createDataFrame(
+        [(uri, *known) for uri, known in facts.items()], f"{URI} string, {schema}")
+    small = F.broadcast(table) if len(facts) <= BROADCAST_FILES else table
+    return rows.join(small, URI).drop(URI)
 
 
 def scan_columns(spark: SparkSession, paths: str | Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -100,21 +119,27 @@ def scan_columns(spark: SparkSession, paths: str | Sequence[str], cols: Sequence
 def scan_groups(
     spark: SparkSession, paths: Sequence[str], marks: Sequence[str]
 ) -> dict[tuple[str, ...], DataFrame]:
-    """One string scan per distinct header, each row with its file path in `__path`."""
+    """One string scan per distinct header, each row with the address of its file."""
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, header in headers(spark, paths).items():
         groups.setdefault(header, []).append(path)
     out = {}
     for header, members in groups.items():
-        df = csv_reader(spark).csv(members).withColumn("__path", file_path())
+        df = csv_reader(spark).csv(members).withColumn(URI, F.col("_metadata.file_path"))
         out[header] = nulls_for_marks(df, marks)
     return out
 
 
-def path_parts(root: str, names: Sequence[str]) -> dict[str, Column]:
-    """Columns from the folder names below `root`, outermost first."""
-    below = F.split(F.substring_index(F.col("__path"), root.rstrip("/") + "/", -1), "/")
-    return {n: F.get(below, F.lit(i)) for i, n in enumerate(names)}
+def path_facts(
+    spark: SparkSession, root: str, paths: str | Sequence[str], depth: int
+) -> dict[str, list[str]]:
+    """Folder names below `root`, outermost first, by file address."""
+    top = bare(root) + "/"
+    out = {}
+    for r in list_files(spark, paths, glob="*").toLocalIterator():
+        parts = bare(r.path).split(top, 1)[-1].split("/")
+        out[r.uri] = (parts + [None] * depth)[:depth]
+    return out
 
 
 def scan_tree(
@@ -122,8 +147,9 @@ def scan_tree(
 ) -> dict[tuple[str, ...], DataFrame]:
     """Every CSV below `root`, grouped by header, with columns from the folder names."""
     groups = scan_groups(spark, paths_of(list_files(spark, root)), marks)
-    parts = path_parts(root, depth_cols)
-    return {h: df.withColumns(parts).drop("__path") for h, df in groups.items()}
+    facts = path_facts(spark, root, root, len(depth_cols))
+    schema = ", ".join(f"{quoted(c)} string" for c in depth_cols)
+    return {h: with_file_facts(df, facts, schema) for h, df in groups.items()}
 
 
 @dataclass(frozen=True)
@@ -178,9 +204,6 @@ def find_roles(header: Sequence[str], roles: Roles) -> tuple[str, str, str, int]
     return hits(roles.code)[0], hits(roles.country)[0], value, int(year.group())
 
 
-SCHEME = r"^[A-Za-z0-9]*:?/+"  # file systems spell the same path with one or three slashes
-
-
 def scan_vintages(
     spark: SparkSession, files: Mapping[str, Sequence[str]], roles: Roles = Roles(),
     marks: Sequence[str] = TRADE_MARKS,
@@ -205,14 +228,13 @@ def scan_vintages(
             squish(null_marks(F.col(f"c{code}"), marks)).alias("code"),
             null_marks(F.col(f"c{country}"), marks).alias("country"),
             as_double(null_marks(F.col(f"c{value}"), marks)).alias("value"),
-            F.regexp_replace(file_path(), SCHEME, "").alias("__path"))
-        owner = {re.sub(SCHEME, "", p).rstrip("/"): (d, y) for p, d, y in members}
-        info = [
-            (file, *owner[file if file in owner else file.rsplit("/", 1)[0]])
-            for file in (re.sub(SCHEME, "", p) for p in paths_of(
-                list_files(spark, [m[0] for m in members], glob="*")))]
-        year_of = spark.createDataFrame(info, "__path string, direction string, year int")
-        scans.append(rows.join(year_of, "__path").select(
+            F.col("_metadata.file_path").alias(URI))
+        owner = {bare(p): (d, y) for p, d, y in members}
+        listed = list_files(spark, [m[0] for m in members], glob="*").toLocalIterator()
+        facts = {
+            r.uri: owner.get(bare(r.path)) or owner[bare(r.path).rsplit("/", 1)[0]]
+            for r in listed}
+        scans.append(with_file_facts(rows, facts, "direction string, year int").select(
             "year", "direction", "country", "code", "value"))
     out = scans[0]
     for s in scans[1:]:

@@ -78,6 +78,11 @@ def test_unpivot_keeps_empty_cells_and_reads_headers(spark):
         ("b", "1990 Q1", None, 1990, "Q1"), ("b", "Q2 1990", 2.0, 1990, "Q2")}
 
 
+def test_price_basis_stays_in_the_label(spark):
+    df = spark.createDataFrame([("a", "1")], "k string, `At Constant 2018 Prices 2003` string")
+    assert tuple(R.unpivot_periods(df, "v").first())[2:] == (1.0, 2003, "At Constant 2018 Prices")
+
+
 def test_unpivot_needs_periods(spark):
     with pytest.raises(ValueError):
         R.unpivot_periods(spark.createDataFrame([("a",)], "NA string"))
@@ -122,6 +127,13 @@ def test_natural_join_matches_missing_keys(spark, how, want):
     assert rows(J.natural_join(a, b, how), "k") == want
 
 
+def test_full_join_of_unique_keys(spark):
+    a = spark.createDataFrame([(None, 1), ("a", 2)], "k string, x int")
+    b = spark.createDataFrame([(None, 10), ("b", 20)], "k string, y int")
+    assert rows(J.natural_join(a, b, "full", unique_keys=True), "k") == [
+        (None, 1, 10), ("a", 2, None), ("b", None, 20)]
+
+
 def test_full_join_keeps_duplicates(spark):
     a = spark.createDataFrame([("k", i) for i in range(3)], "k string, x int")
     b = spark.createDataFrame([("k", i) for i in range(2)] + [("z", 9)] * 2, "k string, y int")
