@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.aggs import code_profile
-from ..sources.scan import headers
-from ..sources.sinks import publish
+from ..operators.frames import union_all
+from ..operators.windows import pick_spread
+from ..sources.scan import headers, scan_columns, scan_vintages
+from ..sources.sinks import distinct_labels, publish
 
 # fixed values: the tables that go into the dashboard bundle
 DASHBOARD_TABLES = [
@@ -34,6 +37,27 @@ def header_signatures(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "file string, ncol int, columns string")
 
 
-def inspect(records: DataFrame, code: str = "code", per: str = "file", order: str = "row_id") -> DataFrame:
-    """Shape of the commodity codes per file."""
-    return code_profile(records, code, per, order)
+def spread_of(spark: SparkSession, files: Mapping[str, Sequence[str]]) -> list[str]:
+    """Oldest, middle and newest file of each direction, by name."""
+    rows = [(d, i, p) for d, paths in files.items() for i, p in enumerate(sorted(paths))]
+    listed = spark.createDataFrame(rows, "direction string, place bigint, path string")
+    return sorted(r.path for r in pick_spread(listed, ["direction"], "place").collect())
+
+
+def inspect(
+    spark: SparkSession, files: Mapping[str, Sequence[str]], code: str = "Commodity Code"
+) -> dict[str, DataFrame]:
+    """Structure of record files by direction: headers, country labels, shape of the codes.
+
+    Headers and labels cover every file; codes are profiled for a spread of vintages. Rows
+    of a file have no lasting order in Spark, so the sample codes are the first by text.
+    """
+    every = [p for paths in files.values() for p in paths]
+    parts = [
+        scan_columns(spark, p, [code]).withColumn("file", F.lit(p.rsplit("/", 1)[-1]))
+        for p in spread_of(spark, files)]
+    return {
+        "signatures": header_signatures(spark, every),
+        "labels": distinct_labels(scan_vintages(spark, files), "country"),
+        "codes": code_profile(union_all(parts), code, "file", code),
+    }

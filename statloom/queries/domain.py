@@ -28,7 +28,7 @@ from .common import (
     mineral_sql, region_sql, residual_sql, span, sql_in, sql_list, table, trade_fact, wide,
 )
 from .registry import query
-from .scans import csv_out
+from .scans import csv_out, landed_vintages
 
 # -- label and code rules over every customer and every trade record ------------------------
 
@@ -890,21 +890,27 @@ for _freq, _word in (("Annual", "annual"), ("Quarter", "quarterly")):
 # -- inspection and compilation -----------------------------------------------------------
 
 D25_SQL = ctes(FACT) + """,
-u AS (SELECT direction || ' ' || year AS file, code, min(row_id) AS f
-      FROM (SELECT direction, year, code, CAST(code AS BIGINT) AS row_id FROM fact) GROUP BY 1, 2),
-h AS (SELECT file, length(code) AS len, count(*) AS n FROM u GROUP BY 1, 2),
-s AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY f, code) AS k FROM u)
-SELECT file, CAST(sum(n) AS BIGINT) AS n_codes, string_agg(len || ':' || n, ', ' ORDER BY len) AS length_dist,
-       (SELECT string_agg(code, ', ' ORDER BY k) FROM s WHERE s.file = h.file AND k <= 6) AS samples
-FROM h GROUP BY file"""
+f AS (SELECT *, 'imts_' || lower(direction) || '_' || year || '.csv' AS file FROM fact),
+y AS (SELECT direction, year, row_number() OVER w AS k, count(*) OVER (PARTITION BY direction) AS n
+      FROM (SELECT DISTINCT direction, year FROM fact) WINDOW w AS (PARTITION BY direction ORDER BY year)),
+p AS (SELECT direction, year FROM y WHERE k IN (1, (n + 1) // 2, n)),
+u AS (SELECT DISTINCT file, direction, year, code FROM f JOIN p USING (direction, year)),
+h AS (SELECT file, direction, year, length(code) AS len, count(*) AS n FROM u GROUP BY ALL),
+s AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY code) AS k FROM u)
+SELECT file, CASE direction WHEN 'Exports' THEN 3 ELSE 4 END AS ncol,
+       'Commodity Code | Country | ' || CASE direction WHEN 'Exports' THEN year || ' FOB Value (USD)'
+         ELSE year || ' Quantity | ' || year || ' CIF Value (USD)' END AS columns,
+       CAST(sum(n) AS BIGINT) AS n_codes, string_agg(len || ':' || n, ', ' ORDER BY len) AS length_dist,
+       (SELECT string_agg(code, ', ' ORDER BY k) FROM s WHERE s.file = h.file AND k <= 6) AS samples,
+       (SELECT count(DISTINCT country) FROM fact) AS n_labels
+FROM h GROUP BY file, direction, year"""
 
 
 @query("d25_inspect", D25_SQL)
 def d25(spark: SparkSession, sf: str) -> DataFrame:
-    records = trade_fact(spark, sf).select(
-        F.concat_ws(" ", "direction", "year").alias("file"), "code",
-        F.col("code").cast("bigint").alias("row_id"))
-    return PU.inspect(records)
+    found = PU.inspect(spark, landed_vintages(spark, sf))
+    labels = found["labels"].agg(F.count("*")).scalar()
+    return found["signatures"].join(found["codes"], "file").withColumn("n_labels", labels)
 
 
 # builder and SQL of every dashboard table

@@ -102,7 +102,7 @@ def landed_vintages(spark: SparkSession, sf: str) -> dict[str, list[str]]:
         rows = fact.where((F.col("direction") == direction) & (F.col("year") == year)).select(
             F.col("code").alias("Commodity Code"), F.col("country").alias("Country"), *extra,
             F.col("value").cast("decimal(18,2)").alias(f"{year} {valuation} Value (USD)"))
-        return csv_out(rows, f"{root}/{direction}/imts_{year}.csv")
+        return csv_out(rows, f"{root}/{direction}/imts_{direction.lower()}_{year}.csv")
 
     jobs = [(d, y) for d in ("Exports", "Imports") for y in years]
     with ThreadPoolExecutor(WRITERS) as pool:

@@ -213,3 +213,18 @@ def test_signatures(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Commodity Code,Country,1999 FOB\n1,2,3\n")
     assert [tuple(r) for r in PU.header_signatures(spark, [str(tmp_path / "a.csv")]).collect()] == [
         ("a.csv", 3, "Commodity Code | Country | 1999 FOB")]
+
+
+def test_inspect_files(spark, tmp_path):
+    files = {"Exports": [], "Imports": []}
+    for d, year, code in [("Exports", y, c) for y, c in ((1999, "12"), (2000, "x"), (2001, "345"), (2002, "6"))] + [
+            ("Imports", 1999, "7")]:
+        p = tmp_path / f"{d}_{year}.csv"
+        p.write_text(f"Commodity Code,Country,{year} FOB\n{code},Japan {year},3\n{code},India,1\n")
+        files[d].append(str(p))
+    found = PU.inspect(spark, files)
+    assert found["signatures"].count() == 5
+    assert [r[0] for r in found["labels"].collect()] == ["India", *[f"Japan {y}" for y in (1999, 2000, 2001, 2002)]]
+    assert sorted(tuple(r) for r in found["codes"].collect()) == [
+        ("Exports_1999.csv", 1, "2:1", "12"), ("Exports_2000.csv", 1, "1:1", "x"),
+        ("Exports_2002.csv", 1, "1:1", "6"), ("Imports_1999.csv", 1, "1:1", "7")]
