@@ -14,13 +14,6 @@ from .common import (
 )
 from .registry import query
 
-A1_SPECS = {
-    "partner": A.Marginal(["year", "direction", "country"]),
-    "code": A.Marginal(["year", "direction", "code"]),
-    "late_partner": A.Marginal(["country"], F.col("year") >= 1998),
-}
-
-
 @query("a1_marginals", ctes(FACT) + f"""
 SELECT 'partner' AS marginal, year, direction, country, CAST(NULL AS VARCHAR) AS code,
        {cents('value')} AS value FROM fact GROUP BY ALL
@@ -30,7 +23,12 @@ WHERE year >= 1998 GROUP BY ALL""")
 def a1(spark: SparkSession, sf: str) -> DataFrame:
     base = trade_fact(spark, sf).groupBy("year", "direction", "country", "code").agg(
         total("value", 2).alias("value"))
-    parts = A.marginals(base, A1_SPECS, "value", 2)
+    specs = {
+        "partner": A.Marginal(["year", "direction", "country"]),
+        "code": A.Marginal(["year", "direction", "code"]),
+        "late_partner": A.Marginal(["country"], F.col("year") >= 1998),
+    }
+    parts = A.marginals(base, specs, "value", 2)
     return union_all([df.withColumn("marginal", F.lit(n)) for n, df in parts.items()])
 
 

@@ -1,4 +1,6 @@
 import re
+import subprocess
+import sys
 
 import __spark_entry__ as entry
 import bench
@@ -22,3 +24,8 @@ def test_entry_schema(spark):
 
 def test_bench_names_exist():
     assert set(bench.HEADLINE) <= set(entry.queries())
+
+
+def test_registry_needs_no_session():
+    code = "import __spark_entry__ as e; assert e.queries().keys() == e.oracle_sql().keys()"
+    subprocess.run([sys.executable, "-c", code], check=True)
