@@ -33,9 +33,9 @@ def clean_country(c: ColumnLike) -> Column:
     return squish(remove_all(remove_all(upper, r"\s*\d+/\s*$"), r"[.,]+$"))
 
 
-def canon_country(c: ColumnLike) -> Column:
-    """Canonical country label; the rule order is part of the result."""
-    label = clean_country(c)
+def canon_of_clean(c: ColumnLike) -> Column:
+    """Canonical country of a cleaned label; the rule order is part of the result."""
+    label = as_col(c)
     rules = []
     for rx, exact, unless, also, result in V.COUNTRY_RULES:
         hit = label.rlike(rx)
@@ -49,6 +49,17 @@ def canon_country(c: ColumnLike) -> Column:
     return classify(rules, label)
 
 
+def canon_country(c: ColumnLike) -> Column:
+    """Canonical country of a raw label."""
+    return canon_of_clean(clean_country(c))
+
+
+def with_canonical(df: DataFrame, raw: str = "country") -> DataFrame:
+    """Canonical country in place of the raw label, cleaned once and not once per rule."""
+    return df.withColumn("__label", clean_country(raw)).withColumn(
+        raw, canon_of_clean("__label")).drop("__label")
+
+
 def is_residual(raw: ColumnLike) -> Column:
     """Whether a raw label names a residual aggregate and not a country."""
     label = F.upper(as_col(raw))
@@ -138,7 +149,7 @@ def with_country_labels(df: DataFrame, raw: str = "country") -> DataFrame:
     labels, so that the rules run per label and not per record.
     """
     return (
-        df.withColumn("__raw", F.col(raw)).withColumn(raw, canon_country("__raw"))
+        with_canonical(df.withColumn("__raw", F.col(raw)), raw)
         .withColumns({
             "region": region_of(raw), "is_europe": is_europe(raw), "is_asean": is_asean(raw),
             "is_resid": is_residual("__raw"),
@@ -208,22 +219,19 @@ def commodity_table(rows: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFr
 def partner_group_table(rows: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
     hs = rows.where(F.col("classification") == "HS").withColumn(
         "chapter", F.substring("heading", 1, 2))
-    raw = _summed(hs, "year", "direction", "country", "chapter").select(
-        "year", "direction", canon_country("country").alias("country"),
-        chapter_group("chapter").alias("group"), "value")
+    raw = with_canonical(_summed(hs, "year", "direction", "country", "chapter")).withColumn(
+        "group", chapter_group("chapter"))
     return _usd(_summed(raw, "year", "direction", "country", "group"), cfg)
 
 
 def semiconductor_table(rows: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
     raw = _summed(rows.where(semi_heading("heading")), "year", "direction", "country")
-    return _usd(_summed(raw.withColumn("country", canon_country("country")),
-                        "year", "direction", "country"), cfg)
+    return _usd(_summed(with_canonical(raw), "year", "direction", "country"), cfg)
 
 
 def mineral_table(rows: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
     raw = _summed(rows.where(mineral_heading("heading")), "year", "direction", "country", "heading")
-    named = raw.select("year", "direction", canon_country("country").alias("country"),
-                       mineral_type("heading").alias("mineral_type"), "value")
+    named = with_canonical(raw).withColumn("mineral_type", mineral_type("heading"))
     return _usd(_summed(named, "year", "direction", "country", "mineral_type"), cfg)
 
 
