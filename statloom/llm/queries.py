@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, zstd_quality
+from . import bpe, decontaminate, langid, phrases, zstd_quality
 from .common import crc_mod, labelled_sample
 
 
@@ -32,6 +32,11 @@ def op2_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_phrase_automata(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.remove_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_suffix_array_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found, name = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), ["doc_id"])
     got = F.col(name)
@@ -49,5 +54,5 @@ def op10_byte_gru_language(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_zstd_quality, op2_byte_bpe, op6_suffix_array_decontamination, op10_byte_gru_language)}
+QUERIES = {f.__name__: f for f in (op1_zstd_quality, op2_byte_bpe, op3_phrase_automata, op6_suffix_array_decontamination, op10_byte_gru_language)}
 ORACLE_SQL: dict[str, str] = {}
