@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, phrases, zstd_quality
+from . import bpe, decontaminate, langid, ngram_rules, phrases, reputation, zstd_quality
 from .common import crc_mod, labelled_sample
 
 
@@ -37,6 +37,14 @@ def op3_phrase_automata(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_ngram_ratio_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    ratios = ngram_rules.fit(docs, table(spark, sf, "labels"))
+    found, name = ngram_rules.measured(docs.select("doc_id", "text"), ratios)
+    fields = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio"]
+    return found.select("doc_id", *(F.col(name)[f].alias(f) for f in fields))
+
+
 def op6_suffix_array_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found, name = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), ["doc_id"])
     got = F.col(name)
@@ -47,6 +55,25 @@ def op6_suffix_array_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         got["longest_words"].alias("longest_words"), got["longest_start"].alias("longest_start"))
 
 
+#: Fixed values of the contract.
+URL_RULES = [
+    reputation.Rule("block", "net", "/"), reputation.Rule("allow", "example.net", "/en/"),
+    reputation.Rule("block", "example.com", "/de/"), reputation.Rule("allow", "org", "/fr/")]
+
+
+def op8_host_reputation(spark: SparkSession, sf: str) -> DataFrame:
+    """Outcomes are the labels of the document that a page shows, whose id is the number in its path."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    labels = table(spark, sf, "labels")
+    shown = pages.select(
+        reputation.host_of("url").alias("host"),
+        F.expr("try_cast(regexp_extract(url, '://[^?#]*/([0-9]{1,18})(/|[.]html)?([?#]|$)', 1) AS bigint)").alias("doc_id"))
+    outcomes = shown.join(labels.select(
+        "doc_id", F.when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), (
+            (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).cast("int")).alias("bad")), "doc_id")
+    return reputation.judge(pages, outcomes.select("host", "bad"), URL_RULES)
+
+
 def op10_byte_gru_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = langid.train(docs.where(crc_mod("doc_id", 4) != 2))
@@ -54,5 +81,6 @@ def op10_byte_gru_language(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_zstd_quality, op2_byte_bpe, op3_phrase_automata, op6_suffix_array_decontamination, op10_byte_gru_language)}
+QUERIES = {f.__name__: f for f in (op1_zstd_quality, op2_byte_bpe, op3_phrase_automata, op4_ngram_ratio_rules, op6_suffix_array_decontamination,
+    op8_host_reputation, op10_byte_gru_language)}
 ORACLE_SQL: dict[str, str] = {}
