@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, ngram_rules, phrases, reputation, zstd_quality
+from . import bpe, decontaminate, langid, ngram_rules, phrases, reputation, setsketch, zstd_quality
 from .common import crc_mod, labelled_sample
 
 
@@ -74,6 +74,10 @@ def op8_host_reputation(spark: SparkSession, sf: str) -> DataFrame:
     return reputation.judge(pages, outcomes.select("host", "bad"), URL_RULES)
 
 
+def op9_setsketch_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf, "documents"))
+
+
 def op10_byte_gru_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = langid.train(docs.where(crc_mod("doc_id", 4) != 2))
@@ -82,5 +86,5 @@ def op10_byte_gru_language(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_zstd_quality, op2_byte_bpe, op3_phrase_automata, op4_ngram_ratio_rules, op6_suffix_array_decontamination,
-    op8_host_reputation, op10_byte_gru_language)}
+    op8_host_reputation, op9_setsketch_near_duplicates, op10_byte_gru_language)}
 ORACLE_SQL: dict[str, str] = {}
