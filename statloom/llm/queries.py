@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, ngram_rules, phrases, reputation, setsketch, zstd_quality
+from . import bpe, decontaminate, fuzzy_lines, langid, ngram_rules, phrases, reputation, secrets_forest, setsketch, zstd_quality
 from .common import crc_mod, labelled_sample
 
 
@@ -45,6 +45,16 @@ def op4_ngram_ratio_rules(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *(F.col(name)[f].alias(f) for f in fields))
 
 
+def op5_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with its text after the lines that repeat went, and how many did."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    gone = fuzzy_lines.repeated_lines(docs)
+    left = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")))
+    count = gone.groupBy(F.col("id").alias("doc_id"), "text_hash").agg(F.count("pos").alias("n_removed"), F.sort_array(F.collect_set("pos")).alias("removed"))
+    both = left.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "n_lines").join(count, ["doc_id", "text_hash"], "left")
+    return both.select("doc_id", "n_lines", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), "removed")
+
+
 def op6_suffix_array_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found, name = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"), ["doc_id"])
     got = F.col(name)
@@ -61,6 +71,10 @@ URL_RULES = [
     reputation.Rule("block", "example.com", "/de/"), reputation.Rule("allow", "org", "/fr/")]
 
 
+def op7_secret_forest(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets_forest.scan(table(spark, sf, "documents"))
+
+
 def op8_host_reputation(spark: SparkSession, sf: str) -> DataFrame:
     """Outcomes are the labels of the document that a page shows, whose id is the number in its path."""
     pages = table(spark, sf, "pages").select("page_id", "url")
@@ -85,6 +99,7 @@ def op10_byte_gru_language(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_zstd_quality, op2_byte_bpe, op3_phrase_automata, op4_ngram_ratio_rules, op6_suffix_array_decontamination,
+QUERIES = {f.__name__: f for f in (op1_zstd_quality, op2_byte_bpe, op3_phrase_automata, op4_ngram_ratio_rules, op5_fuzzy_lines,
+    op6_suffix_array_decontamination, op7_secret_forest,
     op8_host_reputation, op9_setsketch_near_duplicates, op10_byte_gru_language)}
 ORACLE_SQL: dict[str, str] = {}
