@@ -114,7 +114,9 @@ def measured(docs: DataFrame, ratios: list[float], text: str = "text") -> tuple[
         (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size(ls) - F.size(F.array_distinct(ls))).cast("long").alias("n_dup_lines"),
         repeats.alias("n_repeat_words"), llr.alias("ratio"))
-    df = df.withColumn(name, facts)
+    # As a generated row the facts are a border for the optimizer: a later filter on them is not
+    # rewritten to compute them anew.
+    df = df.select("*", F.explode(F.array(facts)).alias(name))
     got = F.col(name)
     failed = (got["n_words"] < MIN_WORDS) | (100 * got["n_repeat_words"] > 30 * got["n_words"])
     df = df.withColumn(name, got.withField("base_failed", failed).withField("kept", ~failed & (got["ratio"] >= THRESHOLD)))
