@@ -7,7 +7,7 @@ by a logistic curve fitted to labelled texts that neither dictionary has seen. T
 are a bounded sample: `per_label` of each label, the first 8,000 characters of each.
 
 Null and empty texts have the difference 0 and so the score of the curve at 0. Without good or
-without bad labelled texts, the score is the share of good labels (1 without any). Rows are treated
+without bad labelled texts, the score is the share of good labels, one added to either count. Rows are treated
 one by one, repeated rows alike; other columns are not looked at.
 """
 
@@ -99,7 +99,7 @@ def fit(sample: DataFrame) -> CompressionModel:
             seen[y] += pieces(x)
         else:
             unseen.append((y, x))
-    prior = math.log((good + 1) / (len(rows) - good + 1)) if good < len(rows) else 500.0
+    prior = math.log((good + 1) / (len(rows) - good + 1))
     try:
         made = [zstandard.train_dictionary(DICTIONARY_BYTES, seen[y]).as_bytes() for y in (1, 0)]
     except zstandard.ZstdError:  # too few samples for a trained one: the texts themselves serve

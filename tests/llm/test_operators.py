@@ -1,0 +1,397 @@
+"""The operators against brute force, exact round trips and held-out labels, and their edge cases."""
+
+import base64
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from statloom.llm import (
+    bpe, decontaminate, fuzzy_lines, langid, ngram_rules, phrases, queries, reputation, secrets_forest, setsketch,
+    zstd_quality,
+)
+from statloom.llm.components import connected_components
+
+SF = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(t):
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    """Null, empty, blank, one-word, very long, repeated and null-id rows, with columns that clash."""
+    rng = random.Random(3)
+    long = " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "eps"]) + str(rng.randrange(50)) for _ in range(30_000))
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, "word"), (5, long), (6, long), (7, "a b c d e f g h i j k l m n o p"),
+            (7, "a b c d e f g h i j k l m n o p"), (None, "a b c d e f g h i j k l m n o p"), (8, "1234 !!")]
+    return spark.createDataFrame(rows, "doc_id bigint, text string").select(
+        "doc_id", "text", *(F.lit("x").alias(c) for c in ("kept", "score", "id", "node", "contamination", "rules", "row", "part")))
+
+
+@pytest.fixture(scope="module")
+def none(edge):
+    return edge.limit(0)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").cache()
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.collect()}
+
+
+@pytest.fixture(scope="module")
+def bpe_files():
+    tokenizers = pytest.importorskip("public_tokenizers")
+    return tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN
+
+
+def tiktoken_of(files):
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(files[0], "rb"))}
+    return tiktoken.Encoding("own", pat_str=files[1], mergeable_ranks=ranks, special_tokens={})
+
+
+def test_zstd_quality_on_held_out(spark):
+    got = queries.op1_zstd_quality(spark, SF)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    right = got.where("held_out").join(labels, "doc_id").agg(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0]
+    assert got.count() == 1000 and right > 0.85
+    assert got.where("score < 0 OR score > 1 OR score IS NULL").isEmpty()
+
+
+def test_zstd_quality_edges(edge, none):
+    model = zstd_quality.CompressionModel(b"", b"", 0.0, 0.3)
+    got = zstd_quality.score_quality(edge, model)
+    assert got.count() == 10 and got.where("score BETWEEN 0 AND 1").count() == 10
+    assert zstd_quality.score_quality(none, model).count() == 0
+    assert zstd_quality.fit(none.selectExpr("1 AS y", "text AS x")).score(b"") == 0.5
+
+
+def test_logistic_is_calibrated():
+    x = np.linspace(-3, 3, 4000)
+    y = np.random.default_rng(1).random(4000) < 1 / (1 + np.exp(-(2 * x + 0.5)))
+    slope, offset = zstd_quality.logistic(x, y)
+    assert abs(slope - 2) < 0.3 and abs(offset - 0.5) < 0.2
+
+
+def test_bpe_is_exact(spark, bpe_files, texts):
+    exact = tiktoken_of(bpe_files)
+    for r in queries.op2_byte_bpe(spark, SF).collect():
+        ids = exact.encode_ordinary(texts[r.doc_id] or "")
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+
+
+def test_bpe_on_made_up_texts(bpe_files):
+    with open(bpe_files[0], "rb") as f:
+        own = bpe.BytePairCodec(f.read(), bpe_files[1])
+    exact, rng = tiktoken_of(bpe_files), random.Random(5)
+    bits = ["a", "b", "ing", " ", "\n", "é", "日本", "ab", "aa", "0", "!!", "  ", "​", "😀", "th", "erer"]
+    made = ["".join(rng.choice(bits) for _ in range(rng.randrange(60))) for _ in range(800)]
+    for text in [*made, "a" * 20_000, "ab" * 10_000, " " * 5_000, "é" * 5_000]:
+        ids = own.encode(text)
+        assert ids == exact.encode_ordinary(text)
+        assert own.decode(ids) == text.encode()
+
+
+def test_bpe_edges(edge, none, bpe_files):
+    got = bpe.decode_documents(bpe.encode_documents(edge, *bpe_files), *bpe_files).collect()
+    assert len(got) == 10 and sum(len(r.ids) == 0 for r in got) == 2
+    assert bpe.encode_documents(none, *bpe_files).count() == 0
+
+
+def brute_repeats(rows):
+    """(words, removed, kept) by id, for rows (id, text) without repeated ids."""
+    owner, out = {}, {}
+    for i, text in sorted(rows.items()):
+        w, gone = WORD.findall(text or ""), set()
+        for k in range(len(w) - 12):
+            if owner.setdefault(tuple(w[k:k + 13]), i) < i:
+                gone.update(range(k, k + 13))
+        out[i] = (len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone))
+    return out
+
+
+@pytest.mark.parametrize("part_bytes", [phrases.PART_BYTES, 100_000])
+def test_phrases(docs, texts, part_bytes):
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept.decode()) for r in phrases.remove_repeats(docs, part_bytes=part_bytes).collect()}
+    assert got == brute_repeats(texts)
+
+
+def test_phrases_in_small_automata(docs, texts, monkeypatch):
+    monkeypatch.setattr(phrases, "SHARD_WORDS", 50)
+    t = phrases.Texts([3, 1, 2], ["x " * 30, "x " * 20, "y " + "x " * 14])
+    gone = phrases.remove(t, np.unique(t.windows()), np.full(len(np.unique(t.windows())), 1))
+    assert [int(g.sum()) for g in gone] == [30, 0, 15]
+
+
+def test_phrases_edges(edge, none):
+    got = Counter((r.doc_id, r.n_words, r.n_removed) for r in phrases.remove_repeats(edge).collect())
+    assert got[7, 16, 0] == 2 and got[None, 16, 16] == 1 and got[6, 30000, 30000] == 1 and got[1, 0, 0] == 1
+    assert phrases.remove_repeats(none).count() == 0
+
+
+def test_rules_base(spark, docs, texts):
+    found, name = ngram_rules.measured(docs, [0.0] * ngram_rules.BUCKETS)
+    for r in found.select("doc_id", f"{name}.*").collect():
+        x = texts[r.doc_id] or ""
+        w, places, hit = WORD.findall(x), defaultdict(list), set()
+        for k in range(len(w) - 7):
+            places[tuple(w[k:k + 8])].append(k)
+        for ks in places.values():
+            for k in ks if len(ks) > 1 else []:
+                hit.update(range(k, k + 8))
+        lines = [line for line in x.split("\n") if WORD.search(line)]
+        failed = len(w) < 20 or 100 * len(hit) > 30 * len(w)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept) == (
+            len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in x), len(lines) - len(set(lines)), len(hit), failed, not failed)
+
+
+def test_rules_ratio_keeps_good(spark):
+    got = queries.op4_ngram_ratio_rules(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("NOT base_failed")
+    good = got.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()
+    share = {r.quality: r.k for r in good}
+    assert share[1] > 0.99 and share.get(0, 0) < 0.1
+
+
+def test_rules_edges(spark, edge, none):
+    labels = spark.createDataFrame([(7, 1), (None, 1), (5, None)], "doc_id bigint, quality int")
+    kept = ngram_rules.keep_good(edge, labels)
+    assert kept.columns == edge.columns and {r.doc_id for r in kept.collect()} <= {5, 6}
+    assert ngram_rules.keep_good(none, labels.limit(0)).count() == 0
+
+
+def test_fuzzy_lines(docs, texts, spark):
+    at = defaultdict(list)
+    for i, text in sorted(texts.items()):
+        for p, line in enumerate((text or "").split("\n")):
+            if WORD.search(line):
+                at[line].append((i, p))
+
+    def shingles(line):
+        w = WORD.findall(line)
+        return frozenset(x[:12].lower() for x in [f"{a} {b}" for a, b in zip(w, w[1:])] + [w[-1]])
+
+    names, root, holds = list(at), list(range(len(at))), defaultdict(list)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sets = [shingles(x) for x in names]
+    for i, x in enumerate(sets):
+        for j, n in Counter(j for s in x for j in holds[s]).items():
+            if n >= 0.8 * (len(x) + len(sets[j]) - n):
+                root[find(i)] = find(j)
+        for s in x:
+            holds[s].append(i)
+    groups = defaultdict(list)
+    for i, name in enumerate(names):
+        groups[find(i)] += at[name]
+    want = {place for g in groups.values() for place in sorted(g)[1:]}
+    got = {(r.id, r.pos) for r in fuzzy_lines.repeated_lines(docs).collect()}
+    assert len(want ^ got) <= 0.01 * len(want)
+
+
+def test_fuzzy_lines_edges(edge, none):
+    got = fuzzy_lines.drop_repeated_lines(edge)
+    assert got.columns == edge.columns
+    rows = Counter((r.doc_id, r.text[:3] if r.text else r.text) for r in got.collect())
+    assert sum(rows.values()) == 10 and rows[None, "a b"] == 1 and rows[7, ""] == 2 and rows[1, None] == 1 and rows[6, ""] == 1
+    assert fuzzy_lines.drop_repeated_lines(none).count() == 0
+
+
+def brute_contamination(rows, items):
+    def words(t):
+        return re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+
+    windows = defaultdict(set)
+    for i, text in items:
+        w = words(text)
+        size = min(13, len(w))
+        for k in range(len(w) - size + 1 if size else 0):
+            windows[tuple(w[k:k + size])].add(str(i))
+    sizes, out = {len(k) for k in windows}, {}
+    for d, text in rows.items():
+        w, hit, found = words(text), set(), set()
+        for k in range(len(w)):
+            for size in sizes:
+                key = tuple(w[k:k + size])
+                if len(key) == size and key in windows:
+                    hit.update(range(k, k + size))
+                    found |= windows[key]
+        out[d] = (len(w), len(hit), sorted(found))
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 20_000])
+def test_decontamination(spark, docs, texts, block_bytes):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
+    items = items.unionByName(spark.createDataFrame([(900, "the of"), (901, None), (902, "!"), (903, "of")], items.schema))
+    found, name = decontaminate.contamination(docs, items, ["doc_id"], block_bytes=block_bytes)
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found.select("doc_id", f"{name}.*").collect()}
+    assert got == brute_contamination(texts, [tuple(r) for r in items.collect()])
+
+
+def test_longest_match(spark):
+    one = spark.createDataFrame([(1, "z " + " ".join(f"w{k}" for k in range(20)) + " y")], "doc_id int, text string")
+    item = spark.createDataFrame([(5, " ".join(f"w{k}" for k in range(3, 30)))], "item_id int, text string")
+    found, name = decontaminate.contamination(one, item, ["doc_id"])
+    r = found.select(f"{name}.*").first()
+    assert (r.n_hit, r.longest_words, r.longest_start, r["items"]) == (17, 17, 4, ["5"])
+
+
+def test_suffix_array():
+    a = np.random.default_rng(2).integers(0, 3, 300).astype(np.int32)
+    order = decontaminate.suffix_array(a)
+    assert order.tolist() == sorted(range(300), key=lambda k: a[k:].tolist())
+
+
+def test_decontamination_edges(spark, edge, none):
+    items = spark.createDataFrame([(1, "c d e"), (1, "c d e"), (None, "alpha1")], "item_id int, text string")
+    left = decontaminate.remove_contaminated(edge, items)
+    assert left.columns == edge.columns and {r.doc_id for r in left.collect()} == {1, 2, 3, 4, 5, 6, 8}
+    assert decontaminate.remove_contaminated(edge, items.limit(0)).count() == 10
+    assert decontaminate.remove_contaminated(none, items).count() == 0
+
+
+def test_secrets(spark):
+    key, rng = "AKIA" + "Q7XK2M9PL3ZT8W4R", random.Random(1)
+    rows = []
+    for i in range(200):
+        hexa = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        rows += [(3 * i, f'some prose here token = "{hexa}" and more'), (3 * i + 1, f"prose thoninginlongword{i} goes on"), (3 * i + 2, "plain words")]
+    rows += [(9001, f"the key {key} ends"), (9002, None), (9003, "")]
+    got = secrets_forest.scan(spark.createDataFrame(rows, "doc_id int, text string"), path=None).collect()
+    assert {r.doc_id for r in got if r.secret} >= {3 * i for i in range(200)} | {9001}
+    assert not any(r.secret for r in got if r.doc_id < 600 and r.doc_id % 3 == 1)
+
+
+def test_secrets_edges(edge, none):
+    assert secrets_forest.scan(none, path=None).count() == 0
+    assert secrets_forest.scan(edge, path="kept").where("secret").count() == 0
+
+
+def test_urls(spark):
+    rows = [(1, "HTTP://Blog.Example.NET/en/x?y=://z"), (2, None), (3, "nohost"), (4, "http://a.b/c://d"), (5, "x://"), (6, "a\n://H.org/fr/x#q"),
+            (7, "http://notexample.net/en/"), (8, "http://example.com/de/1"), (8, "http://example.com/de/1"), (9, "http://q.example.net/de/")]
+    pages = spark.createDataFrame(rows, "page_id int, url string").withColumn("host", F.lit(1)).withColumn("domain", F.lit(1))
+    bad = spark.createDataFrame([("a.b", 1)] * 40 + [("c.b", 0)] + [(None, None)], "host string, bad int")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in reputation.judge(pages, bad, queries.URL_RULES).collect()}
+    assert got == {
+        1: ("blog.example.net", "/en/x", "example.net/en/", "allow"), 2: ("", "", None, "allow"), 3: ("", "", None, "allow"),
+        4: ("a.b", "/c://d", None, "block"), 5: ("", "", None, "allow"), 6: ("h.org", "/fr/x", "org/fr/", "allow"),
+        7: ("notexample.net", "/en/", "net/", "block"), 8: ("example.com", "/de/1", "example.com/de/", "block"),
+        9: ("q.example.net", "/de/", "net/", "block")}
+    assert reputation.judge(pages, bad.limit(0), queries.URL_RULES).count() == 10
+    assert reputation.judge(pages.limit(0), bad, []).count() == 0
+
+
+def brute_components(rows):
+    sets = {}
+    for i, t in rows.items():
+        w = WORD.findall(lower(t))
+        sets[i] = frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+    root, holds = {i: i for i in sets}, defaultdict(list)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in sorted(sets):
+        for j, n in Counter(j for s in sets[i] for j in holds[s]).items():
+            if 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+        for s in sets[i]:
+            holds[s].append(i)
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+@pytest.mark.parametrize("block", [setsketch.BLOCK, 3])
+def test_near_duplicates(docs, texts, block, monkeypatch):
+    monkeypatch.setattr(setsketch, "BLOCK", block)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in setsketch.near_duplicates(docs).collect()}
+    assert got == brute_components(texts)
+
+
+def test_sketches_merge_and_estimate():
+    rng = np.random.default_rng(4)
+    h = np.unique(rng.integers(0, 2**63, 3000).astype(np.uint64))
+    a, b = h[:2000], h[400:2400]
+    k = setsketch.sketches(np.concatenate([a, b, h[:2400]]), np.array([0, len(a), len(a) + len(b), len(a) + len(b) + 2400]))
+    assert (setsketch.merge(k[0], k[1]) == k[2]).all()
+    more, less = (k[0] > k[1]).sum(), (k[0] < k[1]).sum()
+    one = np.ones(1)
+    assert abs(setsketch.similarity(more * one, less * one, (256 - more - less) * one, 2000 * one, 2000 * one)[0] - 1600 / 2400) < 0.1
+
+
+def test_near_duplicates_edges(edge, none):
+    got = Counter((r.doc_id, r.n_shingles > 0, r.component_id, r.kept) for r in setsketch.near_duplicates(edge).collect())
+    assert got == Counter({(1, False, 1, True): 1, (2, False, 2, True): 1, (3, False, 3, True): 1, (4, True, 4, True): 1, (5, True, 5, True): 1,
+                           (6, True, 5, False): 1, (7, True, 7, True): 2, (None, True, None, True): 1, (8, True, 8, True): 1})
+    assert setsketch.keep_one(edge).columns == edge.columns and setsketch.keep_one(edge).count() == 9
+    assert setsketch.near_duplicates(none).count() == 0
+
+
+def test_components(spark):
+    path = [(k, k + 1) for k in range(0, 40)] + [(100, 7), (200, 201), (300, 300)]
+    got = {r.id: r.component for r in connected_components(spark.createDataFrame(path, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(41)}, 100: 0, 200: 200, 201: 200}
+
+
+def test_language_gradients():
+    net = langid.ByteGru(["a", "b"], 3)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    x = np.random.default_rng(1).integers(0, 255, (6, 4))
+    y = np.array([0, 1, 1, 0])
+    _, g = net.gradients(x, y)
+    for name in net.p:
+        at = (x[2, 1], 1) if name.startswith("in") else (0,) * net.p[name].ndim
+        value, step = net.p[name][at], 1e-2
+        net.p[name][at] = value + step
+        up, _ = net.gradients(x, y)
+        net.p[name][at] = value - step
+        down, _ = net.gradients(x, y)
+        net.p[name][at] = value
+        assert abs((up - down) / (2 * step) - g[name][at]) < 1e-4
+
+
+def test_language_on_held_out(spark):
+    got = queries.op10_byte_gru_language(spark, SF)
+    right = got.where("held_out").join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert got.count() == 1000 and right > 0.95
+
+
+def test_language_edges(edge, none):
+    net = langid.ByteGru(["en"])
+    got = Counter((r.doc_id, r.lang_pred) for r in langid.identify(edge, net).collect())
+    assert got[1, "und"] == got[2, "und"] == got[3, "und"] == got[8, "und"] == 1 and got[4, "en"] == 1
+    assert {r.lang_pred for r in langid.identify(edge, None).collect()} == {"und"}
+    assert langid.identify(none, net).count() == 0
+    assert langid.train(none.withColumn("lang", F.lit("en"))) is None
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    final = corpus_pipeline.run(spark, SF)
+    kept = {r.doc_id for r in final.collect()}
+    assert 700 < len(kept) < 1000 and kept < {r.doc_id for r in docs.collect()}
+    assert final.select("doc_id").distinct().count() == final.count()
