@@ -40,18 +40,10 @@ def quarter_date(year: ColumnLike, quarter: ColumnLike) -> Column:
     return F.make_date(as_col(year), (as_col(quarter) - 1) * 3 + 1, F.lit(1))
 
 
-def month_start(c: ColumnLike) -> Column:
-    return F.trunc(as_col(c), "month")
-
-
 def quarter_start(c: ColumnLike) -> Column:
     return F.trunc(as_col(c), "quarter")
 
 
-def year_start(c: ColumnLike) -> Column:
-    return F.trunc(as_col(c), "year")
-
-
 def header_year(c: ColumnLike) -> Column:
     """The year in a period header.
 

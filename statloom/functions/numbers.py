@@ -27,15 +27,25 @@ def coalesce_to(c: ColumnLike, default: ColumnLike | float | int) -> Column:
     return F.coalesce(as_col(c), fallback)
 
 
+def units(c: ColumnLike, digits: int) -> Column:
+    """An amount as a whole number of its smallest unit; raises if it has more decimals than `digits`."""
+    exact = as_col(c) * F.lit(10**digits)
+    whole = F.round(exact, 0)
+    off = F.abs(exact - whole) > F.lit(1e-4) + F.abs(exact) * F.lit(1e-12)
+    message = F.concat(F.lit("amount with more decimals than "), F.lit(digits), F.lit(": "), as_col(c).cast("string"))
+    return F.when(off, F.raise_error(message)).otherwise(whole).cast("bigint")
+
+
 def total(c: ColumnLike, digits: int | None = None) -> Column:
     """Sum of an amount.
 
     With `digits`, each amount is taken as a whole number of its smallest unit and
     summed as a 64-bit integer: partial sums then combine exactly, so a later rounding
     gives the same result under any partitioning. Without, the sum keeps the input type.
-    An overflow raises under ANSI mode instead of wrapping.
+    An amount with more decimals raises, so none is rounded before the sum. An overflow
+    raises under ANSI mode instead of wrapping.
     """
     if digits is None:
         return F.sum(as_col(c))
     unit = 10**digits
-    return F.sum(F.round(as_col(c) * F.lit(unit), 0).cast("bigint")) / F.lit(float(unit))
+    return F.sum(units(c, digits)) / F.lit(float(unit))

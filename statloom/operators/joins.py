@@ -51,7 +51,7 @@ def natural_join(
 
 def join_all(parts: Sequence[DataFrame], keys: Sequence[str], how: str = "left") -> DataFrame:
     """Chain of joins on the same keys; the key partitioning carries through the chain."""
-    return reduce(lambda a, b: a.join(b, list(keys), how), parts)
+    return reduce(lambda a, b: natural_join(a, b, how, list(keys)), parts)
 
 
 def label_lookup(code: ColumnLike, table: Mapping[str, str], default: Column) -> Column:
@@ -60,16 +60,31 @@ def label_lookup(code: ColumnLike, table: Mapping[str, str], default: Column) ->
     The table is a literal inside the plan, so its size is fixed and checked here.
     """
     if len(table) > LITERAL_LIMIT:
-        raise ValueError("table too large for a literal lookup; join it instead")
+        raise ValueError("table too large for a literal lookup; use label_join")
     entries = F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])
     return F.coalesce(F.try_element_at(entries, as_col(code)), default)
 
 
+def label_join(
+    df: DataFrame, code: str, labels: DataFrame, label: str, default: Column, key: str | None = None,
+) -> DataFrame:
+    """Add the label of a code from a table of any size, else the default.
+
+    `labels` has the code in `key` (or under the same name) and the label in `label`; a code
+    with two labels raises. No side is hinted. A missing code has the label of the missing key.
+    """
+    twice = F.raise_error(F.lit("a code has two labels"))
+    one = labels.groupBy(named(key or code).alias("__code")).agg(
+        F.when(F.count_distinct(named(label)) > 1, twice).otherwise(F.first(named(label), ignorenulls=True)).alias("__label"))
+    both = df.join(one, named(code).eqNullSafe(F.col("__code")), "left")
+    return both.withColumn(label, F.coalesce(F.col("__label"), default)).drop("__code", "__label")
+
+
 def pending(wanted: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What is wanted and has not landed yet."""
-    return wanted.join(landed.select(*[named(k) for k in keys]), list(keys), "left_anti")
+    return natural_join(wanted, landed.select(*[named(k) for k in keys]), "left_anti", list(keys))
 
 
 def members(df: DataFrame, allowed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys occur in `allowed`."""
-    return df.join(allowed.select(*[named(k) for k in keys]), list(keys), "left_semi")
+    return natural_join(df, allowed.select(*[named(k) for k in keys]), "left_semi", list(keys))

@@ -89,19 +89,35 @@ def unpivot_except(
 
 
 def pivot_wide(
-    df: DataFrame, keys: Sequence[str], names: str, value: str, levels: Sequence[str]
+    df: DataFrame, keys: Sequence[str], names: str, value: str, levels: Sequence[str] | None = None,
+    others: str = "raise",
 ) -> DataFrame:
-    """One column per level. The levels are given, so no job is spent finding them."""
-    return df.groupBy(*[named(k) for k in keys]).pivot(names, list(levels)).agg(
-        F.first(named(value), ignorenulls=True))
+    """One column per level. With the levels given, no job is spent finding them.
+
+    Nothing is lost silently: a name outside the levels raises, unless `others` is "drop",
+    and so do two values in one cell.
+    """
+    if levels is None:
+        levels = [r[0] for r in df.select(named(names)).where(named(names).isNotNull()).distinct().orderBy(names).collect()]
+    levels = list(levels)
+    known = named(names).isin(levels)
+    if others == "drop":
+        df = df.where(known)
+    else:
+        message = F.concat(F.lit("name outside the levels: "), F.coalesce(named(names).cast("string"), F.lit("NULL")))
+        df = df.withColumn(names, F.when(known, named(names)).otherwise(F.raise_error(message)))
+    twice = F.raise_error(F.lit("two values in one cell"))
+    return df.groupBy(*[named(k) for k in keys]).pivot(names, levels).agg(
+        F.when(F.count(named(value)) > 1, twice).otherwise(F.first(named(value), ignorenulls=True)))
 
 
 def combine_categories(
     df: DataFrame, keys: Sequence[str], names: str, value: str,
     formulas: Mapping[str, Callable[[Mapping[str, Column]], Column]], levels: Sequence[str],
+    others: str = "raise",
 ) -> DataFrame:
     """Wide, arithmetic between categories, and back to long under the new names."""
-    wide = pivot_wide(df, keys, names, value, levels)
+    wide = pivot_wide(df, keys, names, value, levels, others)
     cells = {lv: named(lv) for lv in levels}
     made = wide.select(*[named(k) for k in keys], *[fn(cells).alias(n) for n, fn in formulas.items()])
     return _melt(made, keys, list(formulas), names, value, None)
@@ -133,13 +149,19 @@ def stitch_columns(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame
     """Put column chunks of the same rows side by side, matched on their keys.
 
     Stacked and folded by key: one shuffle with map-side folding for any number of parts,
-    and missing keys match each other. A key may occur once per part.
+    and missing keys match each other. A key that a part has twice raises, and so do parts
+    that share a value column.
     """
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p, allowMissingColumns=True)
-    rest = [c for c in stacked.columns if c not in set(keys)]
-    return stacked.groupBy(*[named(k) for k in keys]).agg(*[F.max(named(c)).alias(c) for c in rest])
+    owner = [(c, i) for i, p in enumerate(parts) for c in p.columns if c not in set(keys)]
+    if len({c for c, _ in owner}) < len(owner):
+        raise ValueError("two parts share a value column")
+    stacked = parts[0].withColumn("__part", F.lit(0))
+    for i, p in enumerate(parts[1:], 1):
+        stacked = stacked.unionByName(p.withColumn("__part", F.lit(i)), allowMissingColumns=True)
+    twice = F.raise_error(F.lit("a part has a key twice"))
+    return stacked.groupBy(*[named(k) for k in keys]).agg(*[
+        F.when(F.count_if(F.col("__part") == i) > 1, twice).otherwise(F.max(named(c))).alias(c)
+        for c, i in owner])
 
 
 def split_range(

@@ -35,8 +35,8 @@ def build_accounts(
 ) -> DataFrame:
     """Stack the blocks under their valuation, with growth along each series.
 
-    `periods` are the ISO start dates of the value columns. Growth is taken per raw label;
-    rows matching `drop` go, and labels are cleaned, only afterwards.
+    `periods` are the ISO start dates of the value columns. Growth is taken per row of the
+    sheet, so two rows of one label do not mix; rows matching `drop` go, and labels are cleaned, only afterwards.
     """
     parts = {}
     for b in blocks:
@@ -45,7 +45,7 @@ def build_accounts(
             rows, ["row_idx", label], "Header", "MillionPesos", as_double,
             {time: lambda h: h.cast("date")})
     long = union_labeled(parts, "Valuation")
-    grown = yoy(long, ["Valuation", label], time, "MillionPesos", lag)
+    grown = yoy(long, ["Valuation", label, "row_idx"], time, "MillionPesos", lag)
     if drop:
         grown = filter_rlike(grown, label, drop, keep=False)
     return grown.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import ColumnLike, as_col
 from ..functions.labels import classify, in_set
-from ..functions.numbers import round_even
+from ..functions.numbers import round_even, units
 from ..functions.text import as_int, pad, remove_all, squish
 from ..operators.aggs import annual_balance, rollup_from
 from ..operators.joins import label_lookup
@@ -21,7 +21,7 @@ from . import trade_values as V
 class TradeConfig:
     hs_digits: int = V.HS_DIGITS
     include_pre_hs: bool = True
-    value_digits: int | None = 2  # amounts are summed at this precision; None sums as they are
+    value_digits: int | None = 2  # decimals of an amount, more raise; None sums as they are
 
 
 # -- label and code rules --------------------------------------------------------------
@@ -173,7 +173,7 @@ def trade_leaf(fact: DataFrame, cfg: TradeConfig = TradeConfig()) -> DataFrame:
     """
     amount = F.col("value")
     if cfg.value_digits is not None:
-        amount = F.round(amount * F.lit(10**cfg.value_digits), 0).cast("bigint")
+        amount = units(amount, cfg.value_digits)
     return fact.where(F.col("value") > 0).select(
         "year", "direction", "country", classification("code").alias("classification"),
         code_key("code", cfg.hs_digits).alias("code_key"),

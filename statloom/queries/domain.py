@@ -325,7 +325,7 @@ def vintage(spark: SparkSession, sf: str, keep: Callable[[int], bool]) -> DataFr
     for year in sorted({d.year for d in months}):
         last = max(i for i, h in enumerate(heads) if h.startswith(str(year)))
         heads.insert(last + 1, f"{year} Ave")
-    return pivot_wide(cpi_cells(spark, sf), ["Geolocation", "Commodity Description"], "period", "cell", heads)
+    return pivot_wide(cpi_cells(spark, sf), ["Geolocation", "Commodity Description"], "period", "cell", heads, "drop")
 
 
 def vintages(spark: SparkSession, sf: str) -> list[DataFrame]:

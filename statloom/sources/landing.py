@@ -40,11 +40,6 @@ def resolve_one(links: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
         F.when(n == 1, F.col("first_link")).alias("link"))
 
 
-def matching_links(links: DataFrame, pattern: str) -> DataFrame:
-    """All links that match."""
-    return links.where(F.col("link").rlike(pattern))
-
-
 def list_vintages(
     catalog: DataFrame, listing: str, years: Sequence[int] | None = None
 ) -> DataFrame:
@@ -120,11 +115,3 @@ def plan_batches(
         .agg(F.count("*").alias("n_values"), F.min("value").alias("first_value"),
              F.max("value").alias("last_value"), F.max("slice").alias("__slice"))
         .withColumn("batch_cells", F.col("n_values") * F.col("__slice")).drop("__slice"))
-
-
-def already_landed(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """Names of the files below `root`, for skipping finished work."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True).load(root))
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")

@@ -89,7 +89,6 @@ def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, .
 
 
 URI = "__uri"  # scan column with the address of the file a row came from
-BROADCAST_FILES = 100_000
 SCHEME = r"^[A-Za-z0-9]*:?/+"  # listings spell the same path with one or three slashes
 
 
@@ -102,13 +101,12 @@ def with_file_facts(
 ) -> DataFrame:
     """Add what is known per file to the rows of a scan.
 
-    The facts are joined by file address, so nothing is parsed per row. There is one fact
-    per file and their number is known here: up to a limit they are broadcast.
+    The facts are joined by file address, so nothing is parsed per row. Spark knows their
+    size and broadcasts them or not.
     """
     table = rows.sparkSession.createDataFrame(
         [(uri, *known) for uri, known in facts.items()], f"{URI} string, {schema}")
-    small = F.broadcast(table) if len(facts) <= BROADCAST_FILES else table
-    return rows.join(small, URI).drop(URI)
+    return rows.join(table, URI).drop(URI)
 
 
 def scan_columns(spark: SparkSession, paths: str | Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -4,6 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from statloom.functions import numbers as N
 from statloom.operators import aggs as A
 from statloom.operators import frames as O
 from statloom.operators import joins as J
@@ -258,3 +259,43 @@ def test_code_profile(spark):
     df = spark.createDataFrame(
         [("f", c, i) for i, c in enumerate(["22", "1", "22", "333", "4"])], "file string, code string, i int")
     assert tuple(A.code_profile(df, "code", "file", "i", 2).first()) == ("f", 4, "1:2, 2:1, 3:1", "22, 1")
+
+
+def test_pivot_wide_loses_nothing_silently(spark):
+    long = spark.createDataFrame([("k", "A", 1), ("k", "B", 2)], "k string, n string, v int")
+    assert R.pivot_wide(long, ["k"], "n", "v").collect()[0].asDict() == {"k": "k", "A": 1, "B": 2}
+    assert R.pivot_wide(long, ["k"], "n", "v", ["A"], "drop").columns == ["k", "A"]
+    for rows_, levels in (([("k", "B", 2)], ["A"]), ([("k", None, 2)], ["A"]), ([("k", "A", 1), ("k", "A", 2)], ["A"])):
+        with pytest.raises(Exception, match="name outside the levels|two values in one cell"):
+            R.pivot_wide(spark.createDataFrame(rows_, long.schema), ["k"], "n", "v", levels).collect()
+
+
+def test_stitch_columns_raises_on_repeated_keys(spark):
+    twice = spark.createDataFrame([("x", "9"), ("x", "10")], "k string, a string")
+    other = spark.createDataFrame([("x", "1")], "k string, b string")
+    with pytest.raises(Exception, match="a part has a key twice"):
+        R.stitch_columns([twice, other], ["k"]).collect()
+    with pytest.raises(ValueError):
+        R.stitch_columns([other, other], ["k"])
+
+
+def test_amounts_with_more_decimals_raise(spark):
+    df = spark.createDataFrame([(0.004,)] * 10, "v double")
+    with pytest.raises(Exception, match="more decimals than 2"):
+        df.select(N.total("v", 2)).collect()
+    assert df.select(N.total("v", 3)).first()[0] == 0.04
+
+
+def test_label_join(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "c string")
+    labels = spark.createDataFrame([("a", "A"), ("a", "A"), (None, "none")], "c string, label string")
+    got = J.label_join(df, "c", labels, "label", F.lit("other"))
+    assert {tuple(r) for r in got.collect()} == {("a", "A"), ("b", "other"), (None, "none")}
+
+
+def test_missing_keys_match(spark):
+    a = spark.createDataFrame([("x", 1), (None, 2)], "k string, v int")
+    b = spark.createDataFrame([(None, 3)], "k string, w int")
+    assert [r.k for r in J.pending(a, b, ["k"]).collect()] == ["x"]
+    assert [r.v for r in J.members(a, b, ["k"]).collect()] == [2]
+    assert {tuple(r) for r in J.join_all([a, b], ["k"]).collect()} == {("x", 1, None), (None, 2, 3)}
