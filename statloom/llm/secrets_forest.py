@@ -21,6 +21,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.workspace import stage
+
 MIN_CHARS = 16
 #: Findings of each label that the forest is trained on, at most.
 FINDINGS = 3_000
@@ -99,6 +101,8 @@ def train(findings: DataFrame) -> PipelineModel | float:
 def scan(docs: DataFrame, model: PipelineModel | float | None = None, text: str = "text", path: str | None = "source", key: str = "doc_id") -> DataFrame:
     """doc_id, n, token_sha256, before, score, secret: every candidate and the forest's verdict on it."""
     found = with_features(candidates(docs, text, path, key))
+    if model is None:  # training and verdicts read the few candidates, not the texts again
+        found = stage(found, "candidates")
     model = train(labelled_findings(found)) if model is None else model
     if isinstance(model, float):
         scored = found.withColumn("score", F.lit(model))
