@@ -21,7 +21,7 @@ HEADLINE = [
     "w1_yoy", "w4_roll_sum", "w6_make_unique", "w7_pick_spread", "r5_fill_down",
     "r6_split_header_rows", "j2_natural_full", "j7_anti_semi", "f1_squish", "f7_parse_number",
     "s4_scan_vintages", "s9_extract_links", "s14_pending", "d9_accounts_quarterly_exp",
-    "d11_inflation_large", "d16_ngcor_mean", "d17_ngdebt", "d19_crops_annual", "d20_prices_monthly",
+    "d11_inflation_large", "d16_ngcor_mean", "d17_ngdebt", "d18_tax_types", "d25_inspect", "d26_compile", "d19_crops_annual", "d20_prices_monthly",
 ]
 
 
