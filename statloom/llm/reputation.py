@@ -74,9 +74,12 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Colu
     return name, verdict
 
 
-def _shrunk(children: DataFrame, parents: DataFrame, parent: str) -> DataFrame:
+def _shrunk(children: DataFrame, parents: DataFrame | float, parent: str = "") -> DataFrame:
     """Children with their posterior: prior mean from the parent, weight by the method of moments."""
-    both = children.join(parents.select(parent, F.col("mean").alias("prior")), parent)
+    if isinstance(parents, float):
+        both = children.withColumn("prior", F.lit(parents))
+    else:
+        both = children.join(parents.select(parent, F.col("mean").alias("prior")), parent)
     p = F.col("bad") / F.col("n")
     v = F.col("prior") * (1 - F.col("prior"))
     # Spread of the shares beyond that of counting: sum n (p - prior)^2 = sum v (1 + (n - 1) rho).
@@ -97,8 +100,7 @@ def estimate(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, floa
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(F.sum("n"), F.sum("bad")).first()
     mean = (total[1] + 0.5) / (total[0] + 1.0) if total[0] else 0.0
-    every = suffixes.select(F.lit(1).alias("all"), F.lit(mean).alias("mean")).limit(1)
-    s = _shrunk(suffixes.withColumn("all", F.lit(1)), every, "all").drop("all")
+    s = _shrunk(suffixes, mean)
     d = _shrunk(domains, s, "suffix")
     return _shrunk(hosts, d, "domain"), d, s, mean
 
