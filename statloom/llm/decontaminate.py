@@ -207,7 +207,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text:
     for k, block in enumerate(blocks):
         sent = spark.sparkContext.broadcast(TestItems(block, window))  # of one block, whose size is bounded
         own = list(keep) if k == len(blocks) - 1 else out.columns[:len(dict.fromkeys([*keep, text]))]
-        schema = T.StructType([out.schema[c] for c in own] + [T.StructField(name, T._parse_datatype_string(RESULT))])
+        schema = T.StructType([out.schema[c] for c in own] + [T.StructField(name, T.StructType.fromDDL(f"r {RESULT}")["r"].dataType)])
 
         def run(batches, sent=sent, own=own, first=k == 0):
             for b in batches:
