@@ -2,7 +2,9 @@
 
 A plain window sends every row of a group to one task. Here each group is cut into
 `chunks` (a column that grows with the order), work is done inside (group, chunk), and
-only one small row per chunk is windowed over the whole group.
+one small row per chunk is carried on. Where the order is sparse there may be as many chunks
+as rows, so the chunk rows are cut into blocks in the same way, and only one row per block is
+windowed over the whole group.
 """
 
 from __future__ import annotations
@@ -28,6 +30,13 @@ def _join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     return left.join(renamed, cond, "left").drop(*[f"__r_{k}" for k in keys])
 
 
+def _block_windows(keys: Sequence[str]):
+    """Columns of a block, the window over a group's blocks, and the window over a block's chunks."""
+    blocks = [*keys, "__block"]
+    return (blocks, Window.partitionBy(*[named(k) for k in keys]).orderBy("__block"),
+            Window.partitionBy(*[named(c) for c in blocks]).orderBy("__chunk"))
+
+
 def numbered(
     df: DataFrame, keys: Sequence[str], order: str, name: str, size: str | None = None,
     rows: int = CHUNK_ROWS,
@@ -38,15 +47,20 @@ def numbered(
     """
     cells = [*keys, "__chunk"]
     cut = df.withColumn("__chunk", chunk_of(order, rows))
-    over_chunks = Window.partitionBy(*[named(k) for k in keys]).orderBy("__chunk")
-    offsets = (
-        cut.groupBy(*[named(c) for c in cells]).agg(F.count("*").alias("__n"))
-        .withColumn("__before", F.coalesce(
-            F.sum("__n").over(over_chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("__size", F.sum("__n").over(
-            over_chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        .drop("__n")
+    blocks, over_blocks, over_chunks = _block_windows(keys)
+    counts = cut.groupBy(*[named(c) for c in cells]).agg(F.count("*").alias("__n")).withColumn(
+        "__block", chunk_of("__chunk", rows))
+    starts = (
+        counts.groupBy(*[named(c) for c in blocks]).agg(F.sum("__n").alias("__rows"))
+        .withColumn("__start", F.coalesce(F.sum("__rows").over(
+            over_blocks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("__size", F.sum("__rows").over(
+            over_blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+        .drop("__rows")
     )
+    offsets = _join_same(counts, starts, blocks).withColumn("__before", F.col("__start") + F.coalesce(
+        F.sum("__n").over(over_chunks.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop(
+        "__n", "__block", "__start")
     inside = Window.partitionBy(*[named(c) for c in cells]).orderBy(named(order))
     out = _join_same(cut, offsets, cells).withColumn(
         name, F.row_number().over(inside) + F.col("__before"))
@@ -61,15 +75,21 @@ def carried_down(
     """Replace missing values of `col` by the last one seen above in `order`."""
     cells = [*keys, "__chunk"]
     cut = df.withColumn("__chunk", chunk_of(order, rows))
-    over_chunks = Window.partitionBy(*[named(k) for k in keys]).orderBy("__chunk")
+    blocks, over_blocks, over_chunks = _block_windows(keys)
     seen = named(col).isNotNull()
-    carry = (
-        cut.groupBy(*[named(c) for c in cells])
-        .agg(F.max_by(named(col), F.when(seen, named(order))).alias("__last"))
-        .withColumn("__carry", F.last("__last", ignorenulls=True).over(
-            over_chunks.rowsBetween(Window.unboundedPreceding, -1)))
-        .drop("__last")
+    lasts = cut.groupBy(*[named(c) for c in cells]).agg(
+        F.max_by(named(col), F.when(seen, named(order))).alias("__last")).withColumn(
+        "__block", chunk_of("__chunk", rows))
+    starts = (
+        lasts.groupBy(*[named(c) for c in blocks])
+        .agg(F.max_by("__last", F.when(F.col("__last").isNotNull(), F.col("__chunk"))).alias("__of_block"))
+        .withColumn("__start", F.last("__of_block", ignorenulls=True).over(
+            over_blocks.rowsBetween(Window.unboundedPreceding, -1)))
+        .drop("__of_block")
     )
+    carry = _join_same(lasts, starts, blocks).withColumn("__carry", F.coalesce(
+        F.last("__last", ignorenulls=True).over(over_chunks.rowsBetween(Window.unboundedPreceding, -1)),
+        F.col("__start"))).drop("__last", "__block", "__start")
     inside = (Window.partitionBy(*[named(c) for c in cells]).orderBy(named(order))
               .rowsBetween(Window.unboundedPreceding, 0))
     return (

@@ -54,6 +54,20 @@ def test_fill_down_matches_brute_force(spark):
         assert got == want
 
 
+def test_sparse_orders_match_brute_force(spark):
+    """Every row is a chunk of its own, and there are several blocks of chunks."""
+    data = [(i * 70 - 9_000, g, v) for i, g, v in hot_rows()]
+    df = spark.createDataFrame(data, "i bigint, g string, v string").repartition(5)
+    got = {r["i"]: (r["k"], r["n"]) for r in NU.numbered(df, ["g"], "i", "k", "n", rows=20).collect()}
+    filled = {r["i"]: r["v"] for r in R.fill_down(df, "v", "i", ["g"], rows=20).collect()}
+    seen, last, want, want_filled = {}, {}, {}, {}
+    for i, g, v in data:
+        seen[g] = want[i] = seen.get(g, 0) + 1
+        last[g] = want_filled[i] = v if v is not None else last.get(g)
+    assert got == {i: (want[i], seen[g]) for i, g, _ in data}
+    assert filled == want_filled
+
+
 def test_numbered_with_missing_keys(spark):
     df = spark.createDataFrame([(1, None), (2, None), (9, "a")], "i bigint, g string")
     assert rows(NU.numbered(df, ["g"], "i", "k", rows=2).select("i", "k"), "i") == [(1, 1), (2, 2), (9, 1)]
