@@ -207,6 +207,27 @@ def test_fuzzy_lines(docs, texts, spark):
     assert len(want ^ got) <= 0.01 * len(want)
 
 
+def test_fuzzy_lines_of_one_template(spark):
+    """Pairs of similarity 0.8 and more among thousands of lines that share buckets with each other."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    frame, lines = [word() for _ in range(80)], []
+    for i in range(1500):
+        mine = list(frame)
+        for at in range(3, 80, 10):  # each changed word changes two shingles of 80
+            mine[at] = word()
+        lines.append(mine)
+    pairs = []
+    for i in range(60):
+        near = list(lines[i])
+        for at in (6, 26, 46):
+            near[at] = word()
+        pairs.append((i, len(lines)))
+        lines.append(near)
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id int, text string")
+    assert {r.id for r in fuzzy_lines.repeated_lines(docs).collect()} == {b for _, b in pairs}
+
+
 def test_fuzzy_lines_edges(edge, none):
     got = fuzzy_lines.drop_repeated_lines(edge)
     assert got.columns == edge.columns
