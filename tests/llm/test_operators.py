@@ -228,6 +228,14 @@ def test_fuzzy_lines_of_one_template(spark):
     assert {r.id for r in fuzzy_lines.repeated_lines(docs).collect()} == {b for _, b in pairs}
 
 
+def test_fuzzy_lines_look_at_all_characters(spark):
+    rows = ["https://www.example.com/a/1", "https://www.example.org/zz", "2024-05-01T12:00:01,5", "2024-05-01T19:30:44,9",
+            "\u6f22\u5b57\u4eee\u540d" * 4 + "".join(chr(0x4E00 + k) for k in range(40)), "\u6f22\u5b57\u4eee\u540d" * 4 + "".join(chr(0x5E00 + k) for k in range(40)),
+            "".join(chr(0x7000 + k) for k in range(90)), "x" + "".join(chr(0x7000 + k) for k in range(90))]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    assert [r.id for r in fuzzy_lines.repeated_lines(docs).collect()] == [7]
+
+
 def test_fuzzy_lines_edges(edge, none):
     got = fuzzy_lines.drop_repeated_lines(edge)
     assert got.columns == edge.columns
