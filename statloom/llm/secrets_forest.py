@@ -1,6 +1,7 @@
 """Secret scan: candidates by format, false positives removed by a random forest.
 
-A candidate is a token of `MIN_CHARS` or more key characters with a digit or a run of capitals. Its
+A candidate is a whole token of `MIN_CHARS` or more key characters, a token of any length behind an
+assignment, or a value of any characters behind a key word (and each long token inside that value). Its
 features are its length, how often the kind of character changes in it, its shares of digits,
 capitals, hexadecimal digits and vowels, the share that words of its neighbourhood cover (the
 dictionary), the neighbouring words (an assignment, quotes, a key word right before it), and the
@@ -33,22 +34,35 @@ THRESHOLD = 0.5
 #: Formats that issuers give to keys, and words that stand before a secret.
 KNOWN_FORMAT = r"^(AKIA[0-9A-Z]{16}|[0-9a-f]{18}|[0-9a-f]{40}|gh[pousr]_[0-9A-Za-z]{36})$"
 KEY_WORD = r"(?i)(password|passwd|pwd|token|secret|api_?key|access_?key|auth)\W*$"
-CANDIDATE = r"(?s)(.{0,40}?)(?<![A-Za-z0-9+/_-])([A-Za-z0-9+/_-]{16,512}+={0,2})"
+KEY = "(?i:password|passwd|pwd|token|secret|api_?key|access_?key|auth)"
+#: A whole token; one right behind an assignment; a value behind a key word, in quotes or up to a separator.
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
+ASSIGNED = r"(?<=[=:]>?[ \t]{0,4}[\"']?)(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++={0,2}"
+VALUE = (
+    rf"(?<={KEY}\w{{0,16}}\W{{1,6}})(?:(?<=\")(?!\s*[:=,])[^\"\n]+(?=\")|(?<=')(?!\s*[:=,])[^'\n]+(?=')|"
+    r"(?![=:>|,;.)\]}-])[^\s\"'`,;&<>]+)")
+#: Text up to the next candidate and the candidate; or the rest of the text, so that every place is tried once.
+CANDIDATE = rf"(?s)(.*?)(?:((?<=\W){VALUE}|{TOKEN}|(?<=[=:>\s\"']){ASSIGNED})|\z)"
+AROUND = 40
 
 FEATURES = ["length", "changes", "digits", "capitals", "hexadecimal", "vowels", "covered", "assigned", "quoted", "key_word", "in_path", "path_depth"]
 
 
 def candidates(docs: DataFrame, text: str = "text", path: str | None = "source", key: str = "doc_id") -> DataFrame:
-    """(doc_id, n, token, before, path): every candidate of every whole text, in order of its place."""
-    hits = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(CANDIDATE), F.lit(0))
+    """(doc_id, n, token, before, after, path): every candidate of every whole text, in order of its place."""
     where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
-    rows = docs.where(F.col(text).rlike("[0-9]|[A-Z]{12}")).select(
-        F.col(key).alias("doc_id"), where.alias("path"), F.posexplode(hits).alias("n", "hit"))
-    token = F.regexp_extract("hit", CANDIDATE, 2)
-    rows = rows.withColumn("token", token).withColumn("before", F.regexp_extract("hit", CANDIDATE, 1))
-    # Words of plain letters cannot be told from keys by anything but their letters: they are no candidates.
-    return rows.where(F.col("token").rlike("[0-9]|[A-Z]{12}")).select(
-        "doc_id", "n", "token", "before", "path")
+    found = [F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(k)) for k in (1, 2)]
+    rows = docs.where(F.col(text).rlike(rf"[A-Za-z0-9+/_-]{{16}}|[=:]|{KEY}")).select(
+        F.col(key).alias("doc_id"), where.alias("path"), found[0].alias("gaps"), found[1].alias("tokens"))
+    rows = rows.select("doc_id", "path", "tokens", F.transform("gaps", lambda g: F.struct(
+        F.right(g, F.lit(AROUND)).alias("end"), F.left(g, F.lit(AROUND)).alias("start"))).alias("gaps"))
+    hits = F.transform("tokens", lambda t, i: F.struct(
+        t.alias("token"), F.get("gaps", i)["end"].alias("before"), F.get("gaps", i + 1)["start"].alias("after")))
+    # A value of other characters is a candidate as a whole, and so is every long token in it.
+    inside = lambda h: F.filter(F.regexp_extract_all(h["token"], F.lit(TOKEN), F.lit(0)), lambda t: t != h["token"])
+    each = F.flatten(F.transform(F.filter(hits, lambda h: h["token"] != ""), lambda h: F.concat(F.array(h), F.transform(inside(h), lambda t: F.struct(
+        t.alias("token"), h["before"].alias("before"), h["after"].alias("after"))))))
+    return rows.select("doc_id", "path", F.posexplode(each).alias("n", "hit")).select("doc_id", "n", "hit.*", "path")
 
 
 def _share(token: Column, pattern: str) -> Column:
@@ -79,7 +93,7 @@ def labelled_findings(found: DataFrame) -> DataFrame:
     """
     known = F.col("token").rlike(KNOWN_FORMAT)
     sure = known & (F.col("token").startswith("AKIA") | (F.col("assigned") > 0))
-    prose = ~known & (F.col("digits") < 0.15) & (F.col("assigned") == 0)
+    prose = ~known & (F.col("digits") < 0.15) & (F.col("assigned") == 0) & (F.col("key_word") == 0)
     return found.withColumn("label", F.when(sure, 1.0).when(prose, 0.0)).where("label IS NOT NULL")
 
 
