@@ -3,10 +3,11 @@
 A candidate is a whole token of `MIN_CHARS` or more key characters, a token of any length behind an
 assignment, or a value of any characters behind a key word (and each long token inside that value). Its
 features are its length, how often the kind of character changes in it, its shares of digits,
-capitals, hexadecimal digits and vowels, the share that words of its neighbourhood cover (the
-dictionary), the neighbouring words (an assignment, quotes, a key word right before it), and the
-path: whether it is part of one, and how deep the path of its text is. The forest is trained on labelled findings: a bounded
-sample of candidates with their label (at most `FINDINGS` of each label).
+capitals, hexadecimal digits and vowels, the share that words of the dictionary cover, the neighbouring words before
+and after it (an assignment, quotes, key words, how many words), and the
+path: whether it is part of one, and how deep the path of its text is. The dictionary is the words that stand in the texts
+`WORD_TIMES` times or more. The forest is trained on labelled findings: a bounded
+sample of distinct tokens with their label (at most `FINDINGS` of each label).
 
 All is built-in Spark expressions and the DataFrame-based learner. Null and empty texts have no
 candidate. Rows are scanned one by one; a repeated row repeats its findings; a null path is the empty
@@ -44,8 +45,13 @@ VALUE = (
 #: Text up to the next candidate and the candidate; or the rest of the text, so that every place is tried once.
 CANDIDATE = rf"(?s)(.*?)(?:((?<=\W){VALUE}|{TOKEN}|(?<=[=:>\s\"']){ASSIGNED})|\z)"
 AROUND = 40
+#: Parts of a token that may be words, and how often a word stands in all texts to be in the dictionary.
+PART = r"\p{Lu}?\p{Ll}{2,}|\p{Lu}{3,}"
+WORD_TIMES = 5
 
-FEATURES = ["length", "changes", "digits", "capitals", "hexadecimal", "vowels", "covered", "assigned", "quoted", "key_word", "in_path", "path_depth"]
+FEATURES = [
+    "length", "changes", "digits", "capitals", "hexadecimal", "vowels", "covered", "assigned", "quoted", "key_word", "closed",
+    "key_word_after", "words_around", "in_path", "path_depth"]
 
 
 def candidates(docs: DataFrame, text: str = "text", path: str | None = "source", key: str = "doc_id") -> DataFrame:
@@ -65,23 +71,42 @@ def candidates(docs: DataFrame, text: str = "text", path: str | None = "source",
     return rows.select("doc_id", "path", F.posexplode(each).alias("n", "hit")).select("doc_id", "n", "hit.*", "path")
 
 
+def _parts(text: str) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(PART), F.lit(0)), lambda w: F.lower(w))
+
+
+def with_coverage(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """The candidates and `covered`: the share of each token's characters in words of the dictionary of all texts."""
+    parts = found.select("token").distinct().select("token", F.explode(_parts("token")).alias("word"))
+    needed = stage(parts, "token-words")
+    # Counted before they meet the tokens' words, so that a frequent word is one row of each task.
+    counts = docs.select(F.explode(_parts(text)).alias("word")).groupBy("word").count()
+    known = counts.where(F.col("count") >= WORD_TIMES).select("word")
+    covered = needed.join(known, "word").groupBy("token").agg(F.sum(F.length("word")).alias("chars"))
+    both = found.join(covered, "token", "left")
+    return both.withColumn("covered", F.coalesce(F.col("chars") / F.length("token"), F.lit(0.0))).drop("chars")
+
+
 def _share(token: Column, pattern: str) -> Column:
     return 1 - F.length(F.regexp_replace(token, pattern, "")) / F.length(token)
 
 
 def with_features(found: DataFrame) -> DataFrame:
+    """The features of candidates with their coverage."""
     t = F.col("token")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, "[0-9]+", "0"), "[a-z]+", "a"), "[A-Z]+", "A")
-    around = F.filter(F.split(F.lower("before"), r"\W+"), lambda w: F.length(w) >= 3)
-    covered = F.aggregate(around, F.lower(t), lambda rest, w: F.replace(rest, w, F.lit("")))
+    around = F.size(F.regexp_extract_all(F.concat_ws(" ", "before", "after"), F.lit(r"\p{L}{3,}"), F.lit(0)))
     return found.select(
         "*", F.length(t).cast("double").alias("length"),
         ((F.length(kinds) - 1) / F.length(t)).alias("changes"), _share(t, "[0-9]").alias("digits"),
         _share(t, "[A-Z]").alias("capitals"), _share(t, "[0-9a-f]").alias("hexadecimal"),
-        _share(t, "(?i)[aeiou]").alias("vowels"), (1 - F.length(covered) / F.length(t)).alias("covered"),
+        _share(t, "(?i)[aeiou]").alias("vowels"),
         F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double").alias("assigned"),
         F.col("before").rlike(r"[\"']$").cast("double").alias("quoted"),
         F.col("before").rlike(KEY_WORD).cast("double").alias("key_word"),
+        F.coalesce(F.col("after").rlike(r"^[\"']"), F.lit(False)).cast("double").alias("closed"),
+        F.coalesce(F.col("after").rlike(KEY), F.lit(False)).cast("double").alias("key_word_after"),
+        around.cast("double").alias("words_around"),
         (t.contains("/") | F.col("before").rlike(r"[/\\]$")).cast("double").alias("in_path"),
         F.size(F.split("path", "/")).cast("double").alias("path_depth"))
 
@@ -99,8 +124,9 @@ def labelled_findings(found: DataFrame) -> DataFrame:
 
 def train(findings: DataFrame) -> PipelineModel | float:
     """The forest of a bounded sample of labelled findings, or the only label there is (0 if none)."""
-    order = F.xxhash64("token", "before")
-    parts = [findings.where(F.col("label") == y).orderBy(order, "token", "before").limit(FINDINGS) for y in (0.0, 1.0)]
+    # A token counts once for a label, however often it was copied.
+    once = findings.groupBy("label", "token").agg(F.min(F.struct("before", *FEATURES)).alias("x")).select("label", "token", "x.*")
+    parts = [once.where(F.col("label") == y).orderBy(F.xxhash64("token"), "token").limit(FINDINGS) for y in (0.0, 1.0)]
     sample = parts[0].unionByName(parts[1]).select("label", *FEATURES).collect()
     labels = {r.label for r in sample}
     if len(labels) < 2:
@@ -114,9 +140,10 @@ def train(findings: DataFrame) -> PipelineModel | float:
 
 def scan(docs: DataFrame, model: PipelineModel | float | None = None, text: str = "text", path: str | None = "source", key: str = "doc_id") -> DataFrame:
     """doc_id, n, token_sha256, before, score, secret: every candidate and the forest's verdict on it."""
-    found = with_features(candidates(docs, text, path, key))
-    if model is None:  # training and verdicts read the few candidates, not the texts again
-        found = stage(found, "candidates")
+    # Coverage, training and verdicts read the few candidates, not the texts again.
+    found = with_features(with_coverage(stage(candidates(docs, text, path, key), "candidates"), docs, text))
+    if model is None:
+        found = stage(found, "candidate-features")
     model = train(labelled_findings(found)) if model is None else model
     if isinstance(model, float):
         scored = found.withColumn("score", F.lit(model))
