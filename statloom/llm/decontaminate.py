@@ -8,7 +8,9 @@ item whole) give all places where it stands in the shard, and windows that follo
 in item and document join into the longest verbatim match.
 
 The benchmark is read in blocks of about `block_bytes`; each block is broadcast to one pass over the
-documents, which adds to the marks of the pass before, so no benchmark is too large and none is cut.
+documents, which adds to the marks of the pass before, so no benchmark is too large and none is cut. The
+documents with their marks are written between passes, so one block at a time is in memory; that takes their size in disk for
+each block but the last.
 
 Null and empty texts have no words and are never contaminated; null and empty items have no window.
 Rows are judged one by one (repeated rows alike). Repeated items and items of one id count once; an
@@ -26,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.workspace import stage
+
 #: Fixed value: words of the contract, over bytes of UTF-8 text with A-Z in lower case.
 WORD_BYTES = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 13
@@ -182,13 +186,13 @@ def chain(place, size, item, in_item) -> tuple[int, int]:
 
 
 def test_blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int):
-    """Items of the benchmark in blocks of about `block_bytes`, each fetched when its turn comes."""
+    """(last, items) for blocks of about `block_bytes` of the distinct items, each fetched when its turn comes."""
     rows = benchmark.select(
-        F.coalesce(F.col(item).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t")).where("t IS NOT NULL")
+        F.coalesce(F.col(item).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t")).where("t IS NOT NULL").distinct()
     total = rows.select(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for k in range(n):
-        yield [(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()]
+        yield k == n - 1, [(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", item: str = "item_id",
@@ -202,11 +206,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text:
     name = "contamination"
     while name in [c.lower() for c in docs.columns]:
         name += "_"
-    blocks = list(test_blocks(benchmark, item, item_text, block_bytes))
     out = docs.select(*dict.fromkeys([*keep, text]))
-    for k, block in enumerate(blocks):
+    for k, (last, block) in enumerate(test_blocks(benchmark, item, item_text, block_bytes)):
         sent = spark.sparkContext.broadcast(TestItems(block, window))  # of one block, whose size is bounded
-        own = list(keep) if k == len(blocks) - 1 else out.columns[:len(dict.fromkeys([*keep, text]))]
+        own = list(keep) if last else out.columns[:len(dict.fromkeys([*keep, text]))]
         schema = T.StructType([out.schema[c] for c in own] + [T.StructField(name, T.StructType.fromDDL(f"r {RESULT}")["r"].dataType)])
 
         def run(batches, sent=sent, own=own, first=k == 0):
@@ -216,6 +219,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], text:
                 yield pa.RecordBatch.from_arrays([b.column(c) for c in own] + [pa.array(found, _RESULT_ARROW)], names=[*own, name])
 
         out = out.mapInArrow(run, schema)
+        if not last:
+            out = stage(out, "contamination")
+            sent.destroy()  # the marks are written
     return out, name
 
 

@@ -276,6 +276,18 @@ def test_decontamination(spark, docs, texts, block_bytes):
     assert got == brute_contamination(texts, [tuple(r) for r in items.collect()])
 
 
+def test_benchmark_blocks_in_turn(spark, docs, monkeypatch):
+    rows = [(1, "w " * 100)] * 300 + [(k, " ".join(f"x{k}y{j}" for j in range(60))) for k in range(2, 7)]
+    items, events = spark.createDataFrame(rows, "item_id int, text string"), []
+    monkeypatch.setattr(decontaminate, "stage", lambda df, name, own=decontaminate.stage: events.append("staged") or own(df, name))
+    own_blocks = decontaminate.test_blocks
+    monkeypatch.setattr(decontaminate, "test_blocks", lambda *a: (events.append(len(b[1])) or b for b in own_blocks(*a)))
+    found, _ = decontaminate.contamination(docs.limit(5), items, ["doc_id"], block_bytes=1000)
+    assert found.count() == 5
+    sizes = [e for e in events if e != "staged"]
+    assert sum(sizes) == 6 and len(sizes) > 1 and events[1::2] == ["staged"] * (len(sizes) - 1)
+
+
 def test_longest_match(spark):
     one = spark.createDataFrame([(1, "z " + " ".join(f"w{k}" for k in range(20)) + " y")], "doc_id int, text string")
     item = spark.createDataFrame([(5, " ".join(f"w{k}" for k in range(3, 30)))], "item_id int, text string")
