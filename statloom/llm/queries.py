@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fuzzy_lines, langid, ngram_rules, phrases, reputation, secrets_forest, setsketch, zstd_quality
+from . import bpe, decontaminate, fuzzy_lines, langid, ngram_rules, phrases, reputation, secrets_forest, setsketch, token_files, zstd_quality
 from .common import crc_mod, labelled_sample
 
 
@@ -99,7 +99,14 @@ def op10_byte_gru_language(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    back = token_files.through_files(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return back.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {f.__name__: f for f in (op1_zstd_quality, op2_byte_bpe, op3_phrase_automata, op4_ngram_ratio_rules, op5_fuzzy_lines,
     op6_suffix_array_decontamination, op7_secret_forest,
-    op8_host_reputation, op9_setsketch_near_duplicates, op10_byte_gru_language)}
+    op8_host_reputation, op9_setsketch_near_duplicates, op10_byte_gru_language, op11_token_files)}
 ORACLE_SQL: dict[str, str] = {}
