@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fuzzy_lines, langid, ngram_rules, phrases, reputation, secrets_forest, setsketch, token_files, zstd_quality
+from . import bpe, collocations, decontaminate, fuzzy_lines, langid, ngram_rules, phrases, reputation, secrets_forest, setsketch, spelling, token_files, zstd_quality
 from .common import crc_mod, labelled_sample
 
 
@@ -106,7 +106,27 @@ def op11_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return back.select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_toivonen_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+def words_with_slips(docs: DataFrame) -> DataFrame:
+    """word, n by the contract: runs of letters, of which one in 31 by checksum loses a letter; a missing id is the empty text."""
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    # A run of fewer than 7 letters makes no word of 7.
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all(low, F.lit(r"[a-z\u00C0-\u00FF]{7,}"), F.lit(0))).alias("run"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    slipped = F.expr("concat(substring(run, 1, cast(h % length(run) as int)), substring(run, cast(h % length(run) as int) + 2))")
+    words = runs.withColumn("h", h).select(F.when(F.col("h") % 31 == 0, slipped).otherwise(F.col("run")).alias("word"))
+    return words.where(F.length("word") >= 7).groupBy("word").agg(F.count("word").alias("n")).where("n >= 2")
+
+
+def op13_partenum_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(words_with_slips(table(spark, sf, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (op1_zstd_quality, op2_byte_bpe, op3_phrase_automata, op4_ngram_ratio_rules, op5_fuzzy_lines,
     op6_suffix_array_decontamination, op7_secret_forest,
-    op8_host_reputation, op9_setsketch_near_duplicates, op10_byte_gru_language, op11_token_files)}
-ORACLE_SQL: dict[str, str] = {}
+    op8_host_reputation, op9_setsketch_near_duplicates, op10_byte_gru_language, op11_token_files,
+    op12_toivonen_collocations, op13_partenum_spelling)}
+ORACLE_SQL: dict[str, str] = {op12_toivonen_collocations.__name__: collocations.oracle_sql()}

@@ -28,6 +28,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +129,7 @@ class ChunkEncoder:
             lengths = np.fromiter(map(len, new), np.int64, len(new))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
-            self.ids = np.concatenate([self.ids, *(np.asarray(x, np.uint32) for x in new)])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(new), np.uint32, int(lengths.sum()))])
         at = np.asarray(chunks, np.int64)
         lengths = self.lengths[at]
         upto = np.cumsum(lengths)
