@@ -4,13 +4,11 @@ A word is taken as the multiset of its letters, a binary vector with a place for
 moves the vector by a Hamming distance of 2, one inserted or deleted letter by 1. Letters are dealt to parts; a distance of 2
 touches two parts at most, so of all ways to leave out two of `PARTS_2` parts one leaves nothing but equal letters, and
 for a distance of 1 of all ways to leave out one of `PARTS_1`. Each such way gives a word a signature: its length and the letters
-that are left. Words of equal signatures meet in an equi-join and are verified by edit distance. No near pair is missed, and a
-signature's hash decides nothing alone.
+that are left. As the words of one multiset can be many, a signature is split by one half of the word, since an edit
+leaves the other half as it is: each word has it with its first and with its second half. Words
+of equal signatures meet in an equi-join and are verified by edit distance. No near pair is missed, and equal hashes decide nothing.
 
-Words of a signature that more than `CROWD` share are joined by a second key, one half of the word: an edit leaves the other
-half as it is. This loses no pair either.
-
-All is built-in Spark expressions. Words are distinct rows (word, n); null words are left, rows of one word are summed. Words of any length
+All is built-in Spark expressions. Words are rows (word, n); null words are left, rows of one word are summed. Words of any length
 and any letters go. A table without words gives no rows.
 """
 
@@ -23,16 +21,13 @@ from pyspark.sql import functions as F
 
 from ..sources.workspace import stage
 
-PARTS_2 = 7
-PARTS_1 = 5
+PARTS_2 = 4
+PARTS_1 = 3
 #: Letters that are dealt to parts, the most frequent ones; signatures leave out all others, which only makes them wider.
 LETTERS = 500
-CROWD = 24
 #: A form stands at least this many times as often as its variant.
 TIMES = 10
 
-REPLACE, SHORT, LONG = 0, 1, 2
-
 
 def letters(word: str = "word") -> Column:
     return F.regexp_extract_all(word, F.lit("(?s)."), F.lit(0))
@@ -50,46 +45,35 @@ def deal(words: DataFrame, parts: int) -> list[str]:
 
 
 def signatures(words: DataFrame) -> DataFrame:
-    """word, n, role, size, key: in one key words of role REPLACE meet each other, and SHORT ones meet LONG ones.
-
-    `size` is the length of the word, of a LONG one without the letter that it has more.
-    """
+    """word, n, key: in one key meet the words that may differ by one replaced letter, or by one letter more in the longer one."""
     by_2, by_1 = deal(words, PARTS_2), deal(words, PARTS_1)
     # In one order of letters, words of one multiset are one text; letters outside the parts go.
     listed = sorted("".join(by_2))
     bag = F.array_join(F.filter(F.array_sort(letters()), lambda c: c.isin(*listed)), "")
     rows = words.select("word", "n", F.length("word").alias("size"), bag.alias("bag"))
 
-    def key(kind: str, size: Column, gone: str) -> Column:
-        return F.xxhash64(F.lit(kind), F.lit(gone), size, F.translate("bag", gone, ""))
-
-    def row(role: int, size: Column, k: Column) -> Column:
-        return F.struct(F.lit(role).alias("role"), size.alias("size"), k.alias("key"))
-
-    size = F.col("size")
-    own = [row(REPLACE, size, key("replace", size, a + b)) for a, b in combinations(by_2, 2)]
-    own += [row(SHORT, size, key("insert", size, a)) for a in by_1]
-    own += [row(LONG, size - 1, key("insert", size - 1, a)) for a in by_1]
-    return rows.select("word", "n", F.explode(F.array(*own)).alias("s")).select("word", "n", "s.*")
-
+    def keys(kind: str, gone: str, less: int) -> list[Column]:
+        """Keys of a signature; `less` is 1 for the longer word of a pair, whose halves are those of the shorter."""
+        size = f"(size - {less})"
+        left = [F.lit(kind), F.lit(gone), F.expr(size), F.translate("bag", gone, "")]
+        return [
+            F.xxhash64(*left, F.lit("first"), F.expr(f"left(word, cast({size} / 2 as int))")),
+            F.xxhash64(*left, F.lit("second"), F.expr(f"right(word, {size} - cast({size} / 2 as int))"))]
 
-def keyed(rows: DataFrame) -> DataFrame:
-    """The signatures, with two keys in place of one that many words share: one with each half of the word."""
-    crowded = rows.groupBy("key").agg(F.count("word").alias("c")).where(F.col("c") > CROWD).select("key", F.lit(True).alias("crowded"))
-    first = F.xxhash64("key", F.lit("first"), F.expr("substring(word, 1, cast(size / 2 as int))"))
-    second = F.xxhash64("key", F.lit("second"), F.expr("right(word, size - cast(size / 2 as int))"))
-    keys = F.when(F.col("crowded"), F.array(first, second)).otherwise(F.array("key"))
-    return rows.join(crowded, "key", "left").select("word", "n", "role", F.explode(keys).alias("key"))
+    own = [k for a, b in combinations(by_2, 2) for k in keys("replace", a + b, 0)]
+    own += [k for a in by_1 for less in (0, 1) for k in keys("insert", a, less)]
+    return rows.select("word", "n", F.explode(F.array(*own)).alias("key"))
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """a, b, a_n, b_n: the pairs of words with an edit distance of exactly one, each once."""
-    rows = keyed(signatures(words))
-    one = rows.where(F.col("role") != LONG).select("key", "role", F.col("word").alias("a"), F.col("n").alias("a_n"))
-    two = rows.where(F.col("role") != SHORT).select(
-        "key", F.when(F.col("role") == LONG, SHORT).otherwise(REPLACE).alias("role"), F.col("word").alias("b"), F.col("n").alias("b_n"))
-    both = one.join(two, ["key", "role"]).where((F.col("role") == SHORT) | (F.col("a") < F.col("b")))
-    return both.where(F.levenshtein("a", "b", 1) == 1).groupBy("a", "b").agg(F.first("a_n").alias("a_n"), F.first("b_n").alias("b_n"))
+    rows = signatures(words)
+    one = rows.select("key", F.col("word").alias("a"), F.col("n").alias("a_n"))
+    two = rows.select("key", F.col("word").alias("b"), F.col("n").alias("b_n"))  # the same shuffle as the other side
+    more = F.length("b") - F.length("a")
+    # Rows are many for each word, which Spark's estimate of sizes does not know: never broadcast them.
+    both = one.join(two.hint("merge"), "key").where((more == 1) | ((more == 0) & (F.col("a") < F.col("b")))).where(F.levenshtein("a", "b", 1) == 1)
+    return both.groupBy("a", "b").agg(F.first("a_n").alias("a_n"), F.first("b_n").alias("b_n"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
