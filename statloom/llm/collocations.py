@@ -3,19 +3,20 @@
 Texts are lower-cased (A-Z), cut into pieces at `[.,;:!?\\x0A-\\x0D]` and these into words `[^\\x20\\x09]+`. All is per language.
 A phrase of up to `max_words` words is frequent if it stands `min_count` times or more in the pieces of all documents.
 
-1. A sample of the documents (one in `SAMPLE_ONE_IN`) proposes the phrases that reach half of their share of `min_count` in it.
+1. A sample of the documents (one in `SAMPLE_ONE_IN`) proposes the phrases that reach `PROPOSE` of their share of `min_count` in it.
 2. A pass over all documents counts, exactly, all words, the proposed phrases and their negative border: the phrases that are not
    proposed but whose two parts (all words but the last, all but the first) are. A frequent phrase that was not
    proposed shows itself there, or has a part that does.
-3. If some frequent phrase of the border may be part of longer ones, a further pass counts the phrases whose both parts are
-   known to be frequent and that no pass has counted yet, until a pass finds nothing new that longer ones could hold.
+3. If some frequent phrase had not been proposed, longer phrases may be missing. A further pass counts the phrases that were not
+   counted yet and whose two parts are each frequent or themselves not counted yet. As a part of a frequent phrase is
+   frequent, that closes the mining: no frequent phrase is left out.
 
 So the sample decides what a run costs and never what it finds. Tasks know the proposed or frequent phrases by a bit map of fixed
 size (`BITS`): phrases that share a bit with a known one are counted too, which adds rows and changes no count. Phrases
 themselves are the keys of all sums, so equal hashes cannot mix counts.
 
 Null and empty texts have no words; a null language is `und`. Repeated rows count as often as they stand. Texts of any length are
-whole; a task holds the words of `FLUSH_BYTES` of text, or of one longer text. Other columns are not looked at. An empty table gives no rows.
+whole; a task holds `FLUSH_WORDS` words, or those of one longer text. Other columns are not looked at. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +34,10 @@ from ..sources.workspace import stage
 
 SAMPLE_ONE_IN = 8
 BITS = 1 << 26
-FLUSH_BYTES = 16 << 20
+PROPOSE = 0.8
+FLUSH_WORDS = 4_500_000
+#: The top phrases of a language are first taken in this many shares, so that a large language is not one task's.
+SHARES = 64
 ROWS_OUT = 50_000
 
 #: Bytes of a text after lower case: blanks between words, and 0xFF, which no text holds, between pieces.
@@ -57,23 +61,35 @@ class Known:
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def count_phrases(words: list[bytes], max_words: int, now: Known, before: list[Known]):
-    """(k, phrases, counts) of each length: the phrases that this pass has to count.
+class Words:
+    """The words of one language that a task holds, as numbers; 0 stands between pieces."""
 
-    These are all words, if no pass went before, and the phrases whose parts are both known now and
-    were not both known in any pass before.
+    def __init__(self):
+        self.numbers = defaultdict(count(1).__next__)
+        self.numbers[b"\xff"] = 0
+        self.parts: list[np.ndarray] = []
+
+    def add(self, text: bytes) -> int:
+        words = text.translate(LOWERED).replace(b"\xff", b" \xff ").split()
+        words.append(b"\xff")
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
+        return len(words)
+
+
+def count_phrases(words: Words, max_words: int, now: Known, before: Known | None):
+    """(k, phrases, counts) of each length: the phrases that a pass has to count.
+
+    A first pass counts all words and the phrases whose parts are both known now. A further one counts the phrases whose parts
+    were not both known before, and each are known now or counted by this pass.
     """
-    numbers = defaultdict(count(1).__next__)
-    numbers[b"\xff"] = 0  # between pieces
-    at = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    names = list(numbers)
-    names = [b""] + names[1:]
-    last = names
-    if not before:
+    names = [b"", *list(words.numbers)[1:]]
+    at = np.concatenate(words.parts).astype(np.int64)
+    last, fresh = names, np.zeros(len(names), bool)
+    if before is None:
         yield 1, names[1:], np.bincount(at, minlength=len(names))[1:]
     for k in range(2, max_words + 1):
         # A place goes on if its phrase of k - 1 words is known; 0 is no phrase.
-        known = now(names)
+        known = now(names) | fresh
         known[0] = False
         held = np.flatnonzero(known[at])
         pairs = held[:-1][np.diff(held) == 1]  # places whose two parts are known
@@ -81,37 +97,37 @@ def count_phrases(words: list[bytes], max_words: int, now: Known, before: list[K
             return
         keys, inverse, f = np.unique(at[pairs] * len(names) + at[pairs + 1], return_inverse=True, return_counts=True)
         left, right = np.divmod(keys, len(names))
-        fresh = np.ones(len(keys), bool)
-        for earlier in before:
-            was = earlier(names)
-            fresh &= ~(was[left] & was[right])
         rights = right.tolist()
         longer = [names[a] + b" " + last[b] for a, b in zip(left.tolist(), rights)]
-        if fresh.all():
+        if before is None:
             yield k, longer, f
         else:
-            some = np.flatnonzero(fresh)
+            was = before(names)
+            new = ~(was[left] & was[right])
+            some = np.flatnonzero(new)
             yield k, [longer[i] for i in some.tolist()], f[some]
         at = np.zeros(len(at), np.int64)
         at[pairs] = inverse + 1
         last = [b"", *(last[b] for b in rights)]
         names = [b"", *longer]
+        fresh = np.zeros(len(names), bool)
+        if before is not None:
+            fresh[1:] = new
 
 
-def counted(docs: DataFrame, max_words: int, now: np.ndarray | None, before: list[np.ndarray], text: str, lang: str) -> DataFrame:
-    """lang, k, phrase, f: exact counts of what one pass counts, and the number of words of each language (k 0) in the first."""
+def counted(docs: DataFrame, max_words: int, now: np.ndarray | None, before: np.ndarray | None, text: str, lang: str) -> DataFrame:
+    """lang, k, phrase, f: exact counts of what one pass counts, and in a first one the number of words of each language (k 0)."""
     sc = docs.sparkSession.sparkContext
-    bits_now = None if now is None else sc.broadcast(now)
-    bits_before = [sc.broadcast(b) for b in before]
+    bits_now, bits_before = (None if b is None else sc.broadcast(b) for b in (now, before))
 
-    def rows(name: str, texts: list[bytes]):
-        words = b"\xff".join(texts).replace(b"\xff", b" \xff ").split()
+    def rows(name: str, words: Words):
         seed = zlib.crc32(name.encode() + b"\xff")
         here = Known(None if bits_now is None else bits_now.value, seed)
-        if not before:
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([0], pa.int32()), pa.array([""]), pa.array([
-                len(words) - words.count(b"\xff")], pa.int64())], schema=_SCHEMA)
-        for k, phrases, f in count_phrases(words, max_words, here, [Known(b.value, seed) for b in bits_before]):
+        if bits_before is None:
+            n = sum(int(np.count_nonzero(p)) for p in words.parts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.array([0], pa.int32()), pa.array([""]), pa.array([n], pa.int64())], schema=_SCHEMA)
+        for k, phrases, f in count_phrases(words, max_words, here, None if bits_before is None else Known(bits_before.value, seed)):
             for a in range(0, len(phrases), ROWS_OUT):
                 some = pa.array(phrases[a:a + ROWS_OUT], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([
@@ -119,20 +135,17 @@ def counted(docs: DataFrame, max_words: int, now: np.ndarray | None, before: lis
                     pa.array(f[a:a + ROWS_OUT], pa.int64())], schema=_SCHEMA)
 
     def run(batches):
-        held: dict[str, list[bytes]] = defaultdict(list)
+        held: dict[str, Words] = defaultdict(Words)
         size = 0
         for batch in batches:
-            for name, x in zip(batch.column(0), batch.column(1)):
-                data = x.as_buffer().to_pybytes().translate(LOWERED)
-                held[name.as_py()].append(data)
-                size += len(data)
-                if size >= FLUSH_BYTES:
-                    for one, texts in held.items():
-                        yield from rows(one, texts)
-                    held.clear()
+            for name, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+                size += held[name].add(x.as_buffer().to_pybytes())
+                if size >= FLUSH_WORDS:
+                    while held:
+                        yield from rows(*held.popitem())
                     size = 0
-        for one, texts in held.items():
-            yield from rows(one, texts)
+        while held:
+            yield from rows(*held.popitem())
 
     given = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("x")).where("x IS NOT NULL")
     return given.mapInArrow(run, COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
@@ -152,18 +165,16 @@ def frequent_phrases(docs: DataFrame, min_count: int = 30, max_words: int = 4, t
                      key: str = "doc_id") -> DataFrame:
     """lang, k, phrase, f: every phrase that stands `min_count` times or more in its language, and with k 0 the number of words."""
     sample = docs.where(F.pmod(F.xxhash64(key, text), F.lit(SAMPLE_ONE_IN)) == 0)
-    least = max(2, min_count // (2 * SAMPLE_ONE_IN))
-    proposed = stage(counted(sample, max_words - 1, None, [], text, lang).where(
+    least = max(2, round(PROPOSE * min_count / SAMPLE_ONE_IN))
+    proposed = stage(counted(sample, max_words - 1, None, None, text, lang).where(
         (F.col("k") > 0) & (F.col("f") >= least)).select("lang", "phrase"), "phrases-proposed")
-    passes = [bit_map(proposed)]
-    found = stage(counted(docs, max_words, passes[0], [], text, lang).where(
+    first = bit_map(proposed)
+    found = stage(counted(docs, max_words, first, None, text, lang).where(
         (F.col("k") == 0) | (F.col("f") >= min_count)), "phrases-counted")
-    short = F.col("k").between(1, max_words - 1)
-    news = found.where(short).join(proposed, ["lang", "phrase"], "left_anti")
-    while not news.isEmpty():
-        passes.append(bit_map(found.where(short)))
-        more = stage(counted(docs, max_words, passes[-1], passes[:-1], text, lang).where(F.col("f") >= min_count), "phrases-counted")
-        found, news = found.unionByName(more), more.where(short)
+    short = found.where(F.col("k").between(1, max_words - 1))
+    if not short.join(proposed, ["lang", "phrase"], "left_anti").isEmpty():  # the border failed
+        more = counted(docs, max_words, bit_map(short), first, text, lang).where(F.col("f") >= min_count)
+        found = found.unionByName(stage(more, "phrases-counted"))
     return found
 
 
@@ -202,8 +213,10 @@ def collocations(docs: DataFrame, min_count: int = 30, max_words: int = 4, top:
     held = held.select("lang", part(F.col("at"), F.col("m")).alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = scored.join(held, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (whole(F.col("longer"), 19) * 100 < whole(F.col("a"), 19) * 80))
-    order = Window.partitionBy("lang").orderBy(F.desc("s.score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("s.score"), F.desc("a"), "phrase"]
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SHARES))
+    some = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang", share).orderBy(*order))).where(F.col("rank") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(size, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("s.l").alias("l"), F.col("s.r").alias("r"), "n",
         F.col("s.score").cast("long").alias("score"))
