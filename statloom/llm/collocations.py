@@ -35,7 +35,7 @@ from ..sources.workspace import stage
 SAMPLE_ONE_IN = 8
 BITS = 1 << 26
 PROPOSE = 0.8
-FLUSH_WORDS = 4_500_000
+FLUSH_WORDS = 1_800_000
 #: The top phrases of a language are first taken in this many shares, so that a large language is not one task's.
 SHARES = 64
 ROWS_OUT = 50_000
@@ -83,7 +83,8 @@ def count_phrases(words: Words, max_words: int, now: Known, before: Known | None
     were not both known before, and each are known now or counted by this pass.
     """
     names = [b"", *list(words.numbers)[1:]]
-    at = np.concatenate(words.parts).astype(np.int64)
+    at = np.concatenate(words.parts)
+    words.parts.clear()
     last, fresh = names, np.zeros(len(names), bool)
     if before is None:
         yield 1, names[1:], np.bincount(at, minlength=len(names))[1:]
@@ -95,7 +96,7 @@ def count_phrases(words: Words, max_words: int, now: Known, before: Known | None
         pairs = held[:-1][np.diff(held) == 1]  # places whose two parts are known
         if not len(pairs):
             return
-        keys, inverse, f = np.unique(at[pairs] * len(names) + at[pairs + 1], return_inverse=True, return_counts=True)
+        keys, inverse, f = np.unique(at[pairs].astype(np.int64) * len(names) + at[pairs + 1], return_inverse=True, return_counts=True)
         left, right = np.divmod(keys, len(names))
         rights = right.tolist()
         longer = [names[a] + b" " + last[b] for a, b in zip(left.tolist(), rights)]
@@ -106,7 +107,8 @@ def count_phrases(words: Words, max_words: int, now: Known, before: Known | None
             new = ~(was[left] & was[right])
             some = np.flatnonzero(new)
             yield k, [longer[i] for i in some.tolist()], f[some]
-        at = np.zeros(len(at), np.int64)
+        del keys, left, right, held
+        at[:] = 0
         at[pairs] = inverse + 1
         last = [b"", *(last[b] for b in rights)]
         names = [b"", *longer]
