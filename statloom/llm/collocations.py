@@ -57,7 +57,7 @@ class Known:
         if self.bits is None:
             return np.ones(len(names), bool)
         seed, crc = self.seed, zlib.crc32
-        at = np.fromiter((crc(x, seed) for x in names), np.int64, len(names)) % BITS
+        at = np.fromiter((crc(x, seed) for x in names), np.int64, len(names)) % (8 * len(self.bits))
         return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 

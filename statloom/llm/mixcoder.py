@@ -272,7 +272,10 @@ class Lanes:
     def count(nodes: np.ndarray, rest: np.ndarray) -> np.ndarray:
         """Which child of its node holds each place: how many starts are at or below it, less one."""
         ones = np.bitwise_count((nodes <= rest).view(np.uint64))
-        return (ones[:, 0] + ones[:, 1]).astype(np.int64) - 1
+        found = ones[:, 0] + ones[:, 1]
+        for more in range(2, ones.shape[1]):
+            found = found + ones[:, more]
+        return found.astype(np.int64) - 1
 
     def update(self, ids: np.ndarray) -> None:
         """Learn the ids that came."""
