@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..operators.aggs import code_profile
 from ..operators.frames import union_all
 from ..operators.windows import pick_spread
-from ..sources.scan import headers, scan_columns, scan_vintages
+from ..sources.leading import headers
+from ..sources.scan import scan_columns, scan_vintages
 from ..sources.sinks import distinct_labels, publish
 
 # fixed values: the tables that go into the dashboard bundle

@@ -14,6 +14,7 @@ from ..operators.joins import pending
 from ..operators.reshape import period_columns, unpivot_except
 from ..plans import trade as T
 from ..sources import landing as G
+from ..sources import leading as L
 from ..sources import scan as S
 from ..sources import sinks as K
 from ..sources.workspace import fresh_dir
@@ -168,12 +169,9 @@ SELECT DISTINCT c_nationkey, true AS is_parquet, false AS is_zip FROM customer""
 def s8(spark: SparkSession, sf: str) -> DataFrame:
     root = fresh_dir(spark, "binary")
     table(spark, sf, "customer").repartition("c_nationkey").write.partitionBy("c_nationkey").parquet(root)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
-        "pathGlobFilter", "*.parquet").load(root)
     key = F.regexp_extract("path", "c_nationkey=(\\d+)", 1).cast("int").alias("c_nationkey")
-    as_parquet = S.valid_binary(files, b"PAR1", 100).withColumnRenamed("valid", "is_parquet")
-    as_zip = S.valid_binary(files, b"PK", 100).withColumnRenamed("valid", "is_zip")
-    return as_parquet.join(as_zip, ["path", "length"]).select(key, "is_parquet", "is_zip").distinct()
+    return L.leading(spark, [root], n=4, glob="*.parquet").select(
+        key, L.has_magic(b"PAR1", 100).alias("is_parquet"), L.has_magic(b"PK", 100).alias("is_zip")).distinct()
 
 
 BASE = "https://stats.example.org"

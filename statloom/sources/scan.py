@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,15 +12,15 @@ from pyspark.sql import types as T
 
 from ..functions.cols import literal, named, quoted
 from ..functions.text import as_double, squish
+from ..operators.frames import union_all
 from ..operators.reshape import period_columns
+from .leading import headers, leading
 
 # fixed values: texts that stand for a missing number, by subject
 AGRI_MARKS = ["..", "-", ":", "...", " ", ""]
 TRADE_MARKS = ["..", "", "NA"]
 PRICE_MARKS = [".."]
 
-HEADER_THREADS = 16
-
 
 def csv_reader(spark: SparkSession):
     return (
@@ -63,50 +62,22 @@ def scan_typed(
     return reader.schema(schema).csv(path)
 
 
-def list_files(
-    spark: SparkSession, root: str | Sequence[str], glob: str = "*.csv", recursive: bool = True
-) -> DataFrame:
-    """Files under a folder with their sizes and scan addresses; contents are not read."""
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", recursive).load(root)
-        .select("path", "length", F.col("_metadata.file_path").alias("uri")))
-
-
-def paths_of(files: DataFrame) -> list[str]:
-    return sorted(r.path for r in files.select("path").toLocalIterator())
-
-
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one CSV; only its first line is read."""
-    return csv_reader(spark).csv(path).columns
-
-
-def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """Headers of many files, several at a time."""
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        return dict(zip(paths, pool.map(lambda p: tuple(header_of(spark, p)), paths)))
+    """Column names of one CSV; only the first lines of its files are read."""
+    return list(headers(spark, [path])[path])
 
 
-URI = "__uri"  # scan column with the address of the file a row came from
-SCHEME = r"^[A-Za-z0-9]*:?/+"  # listings spell the same path with one or three slashes
+SCHEME = r"^[A-Za-z0-9]*:?/+"  # names of one path differ in their slashes
 
 
 def bare(path: str) -> str:
     return re.sub(SCHEME, "", path).rstrip("/")
 
 
-def with_file_facts(
-    rows: DataFrame, facts: Mapping[str, Sequence], schema: str
-) -> DataFrame:
-    """Add what is known per file to the rows of a scan.
-
-    The facts are joined by file address, so nothing is parsed per row. Spark knows their
-    size and broadcasts them or not.
-    """
-    table = rows.sparkSession.createDataFrame(
-        [(uri, *known) for uri, known in facts.items()], f"{URI} string, {schema}")
-    return rows.join(table, URI).drop(URI)
+def folders_below(root: str, path: str, depth: int) -> tuple[str | None, ...]:
+    """Folder names of a path below `root`, outermost first, to a fixed depth."""
+    parts = bare(path).split(bare(root) + "/", 1)[-1].split("/")
+    return tuple((parts + [None] * depth)[:depth])
 
 
 def scan_columns(spark: SparkSession, paths: str | Sequence[str], cols: Sequence[str]) -> DataFrame:
@@ -114,40 +85,52 @@ def scan_columns(spark: SparkSession, paths: str | Sequence[str], cols: Sequence
     return csv_reader(spark).csv(paths).select(*[named(c) for c in cols])
 
 
-def scan_groups(
-    spark: SparkSession, paths: Sequence[str], marks: Sequence[str]
-) -> dict[tuple[str, ...], DataFrame]:
-    """One string scan per distinct header, each row with the address of its file."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in headers(spark, paths).items():
-        groups.setdefault(header, []).append(path)
-    out = {}
-    for header, members in groups.items():
-        df = csv_reader(spark).csv(members).withColumn(URI, F.col("_metadata.file_path"))
-        out[header] = nulls_for_marks(df, marks)
-    return out
+@dataclass(frozen=True)
+class Placed:
+    """Paths with one header and one place in a tree."""
 
+    header: tuple[str, ...]
+    place: tuple[str | None, ...]
+    paths: list[str]
 
-def path_facts(
-    spark: SparkSession, root: str, paths: str | Sequence[str], depth: int
-) -> dict[str, list[str]]:
-    """Folder names below `root`, outermost first, by file address."""
-    top = bare(root) + "/"
-    out = {}
-    for r in list_files(spark, paths, glob="*").toLocalIterator():
-        parts = bare(r.path).split(top, 1)[-1].split("/")
-        out[r.uri] = (parts + [None] * depth)[:depth]
-    return out
+    def scan(self, spark: SparkSession, names: Sequence[str], marks: Sequence[str]) -> DataFrame:
+        """One string scan; the place is known, so its names are literals and not looked up for each row."""
+        rows = nulls_for_marks(csv_reader(spark).csv(self.paths), marks)
+        return rows.select("*", *[F.lit(v).cast("string").alias(n) for n, v in zip(names, self.place)])
+
+
+def place_files(
+    root: str, headers_of: Mapping[str, tuple[str, ...]], depth: int
+) -> list[Placed]:
+    """Paths below `root` by header and folder names."""
+    groups: dict[tuple, list[str]] = {}
+    for path, header in headers_of.items():
+        groups.setdefault((header, folders_below(root, path, depth)), []).append(path)
+    return [Placed(header, place, sorted(paths)) for (header, place), paths in groups.items()]
+
+
+def tree_headers(spark: SparkSession, root: str, glob: str = "*.csv") -> dict[str, tuple[str, ...]]:
+    """Headers below `root`: by folder, and by file only where the files of one folder differ.
+
+    So the driver holds a name for each folder, not for each part.
+    """
+    found = leading(spark, [root], header=True, glob=glob).where("header IS NOT NULL").withColumn(
+        "folder", F.regexp_replace("path", "/[^/]*$", ""))
+    by_folder = found.groupBy("folder").agg(F.min("header").alias("one"), F.max("header").alias("other"))
+    out = {r.folder: tuple(r.one) for r in by_folder.where("one = other").collect()}
+    mixed = found.join(by_folder.where("one <> other").select("folder"), "folder", "left_semi")
+    return out | {r.path: tuple(r.header) for r in mixed.select("path", "header").collect()}
 
 
 def scan_tree(
     spark: SparkSession, root: str, depth_cols: Sequence[str], marks: Sequence[str] = AGRI_MARKS
 ) -> dict[tuple[str, ...], DataFrame]:
     """Every CSV below `root`, grouped by header, with columns from the folder names."""
-    groups = scan_groups(spark, paths_of(list_files(spark, root)), marks)
-    facts = path_facts(spark, root, root, len(depth_cols))
-    schema = ", ".join(f"{quoted(c)} string" for c in depth_cols)
-    return {h: with_file_facts(df, facts, schema) for h, df in groups.items()}
+    out: dict[tuple[str, ...], DataFrame] = {}
+    for placed in place_files(root, tree_headers(spark, root), len(depth_cols)):
+        rows = placed.scan(spark, depth_cols, marks)
+        out[placed.header] = out[placed.header].unionByName(rows) if placed.header in out else rows
+    return out
 
 
 @dataclass(frozen=True)
@@ -156,6 +139,7 @@ class Layout:
 
     accepted: list[str]
     rejects: DataFrame
+    headers: Mapping[str, tuple[str, ...]]
 
 
 REJECTS_SCHEMA = "file string, reason string"
@@ -166,7 +150,8 @@ def partition_valid(
 ) -> Layout:
     """Keep files that have period columns and enough category columns; report the rest."""
     accepted, rejects = [], []
-    for path, header in headers(spark, paths).items():
+    known = headers(spark, paths)
+    for path, header in known.items():
         periods = period_columns(header)
         if not periods:
             rejects.append((path, "no period columns"))
@@ -174,7 +159,7 @@ def partition_valid(
             rejects.append((path, f"fewer than {min_categories} category columns"))
         else:
             accepted.append(path)
-    return Layout(accepted, spark.createDataFrame(rejects, REJECTS_SCHEMA))
+    return Layout(accepted, spark.createDataFrame(rejects, REJECTS_SCHEMA), known)
 
 
 @dataclass(frozen=True)
@@ -208,36 +193,23 @@ def scan_vintages(
 ) -> DataFrame:
     """Leaf records of a family of per-year files, by direction.
 
-    Each path, a file or a folder of parts with one header, names its value column after
-    its year, so headers differ. Paths are grouped by where the three roles stand, and
-    each group is one scan: the number of scans depends on the number of layouts, not of
-    years.
+    Each path, a file or a folder of parts, names its value column after its year, so headers
+    differ. One job reads all headers and checks that the parts of a path agree. Each path is
+    a scan of its own with direction and year as literals: nothing is looked up for a row.
     """
-    layouts: dict[tuple, list[tuple[str, str, int]]] = {}
-    for direction, paths in files.items():
-        for path, header in headers(spark, list(paths)).items():
-            code, country, value, year = find_roles(header, roles)
-            spots = tuple(header.index(c) for c in (code, country, value))
-            layouts.setdefault((len(header), spots), []).append((path, direction, year))
     scans = []
-    for (width, (code, country, value)), members in layouts.items():
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-        rows = csv_reader(spark).schema(schema).csv([m[0] for m in members]).select(
-            squish(null_marks(F.col(f"c{code}"), marks)).alias("code"),
-            null_marks(F.col(f"c{country}"), marks).alias("country"),
-            as_double(null_marks(F.col(f"c{value}"), marks)).alias("value"),
-            F.col("_metadata.file_path").alias(URI))
-        owner = {bare(p): (d, y) for p, d, y in members}
-        listed = list_files(spark, [m[0] for m in members], glob="*").toLocalIterator()
-        facts = {
-            r.uri: owner.get(bare(r.path)) or owner[bare(r.path).rsplit("/", 1)[0]]
-            for r in listed}
-        scans.append(with_file_facts(rows, facts, "direction string, year int").select(
-            "year", "direction", "country", "code", "value"))
-    out = scans[0]
-    for s in scans[1:]:
-        out = out.unionByName(s)
-    return out
+    owned = [(d, p) for d, paths in files.items() for p in paths]
+    known = headers(spark, [p for _, p in owned])
+    for direction, path in owned:
+        header = known[path]
+        code, country, value, year = find_roles(header, roles)
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
+        at = [f"c{header.index(c)}" for c in (code, country, value)]
+        scans.append(csv_reader(spark).schema(schema).csv(path).select(
+            F.lit(year).alias("year"), F.lit(direction).alias("direction"),
+            null_marks(F.col(at[1]), marks).alias("country"), squish(null_marks(F.col(at[0]), marks)).alias("code"),
+            as_double(null_marks(F.col(at[2]), marks)).alias("value")))
+    return union_all(scans)
 
 
 def grid_block(df: DataFrame, skip: int, n: int | None, names: Sequence[str]) -> DataFrame:
