@@ -85,13 +85,28 @@ def until(df: DataFrame, date_col: ColumnLike, as_of: ColumnLike, unit: str = "m
 # -- ordering ---------------------------------------------------------------------------
 
 
-def sort_na_last(df: DataFrame, *keys: str) -> DataFrame:
-    """Sort by several keys, `-name` for descending, missing values always last."""
-    order = [
+def sort_order(*keys: str) -> list[Column]:
+    """Order by several keys, `-name` for descending, missing values always last."""
+    return [
         named(k[1:]).desc_nulls_last() if k.startswith("-") else named(k).asc_nulls_last()
         for k in keys
     ]
-    return df.orderBy(*order)
+
+
+def sort_na_last(df: DataFrame, *keys: str) -> DataFrame:
+    """Sort by several keys, `-name` for descending, missing values always last."""
+    return df.orderBy(*sort_order(*keys))
+
+
+def in_ranges(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows in ranges of an order, one task each, and in order within them.
+
+    Files written from it hold the order from the first part to the last. The other columns
+    break ties, so rows that are equal in the keys can still be dealt to several tasks.
+    """
+    listed = {k.lstrip("-") for k in keys}
+    order = sort_order(*keys, *[c for c in df.columns if c not in listed])
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def head_n(df: DataFrame, n: int, *keys: str) -> DataFrame:

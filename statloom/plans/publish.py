@@ -12,7 +12,8 @@ from ..operators.frames import union_all
 from ..operators.windows import pick_spread
 from ..sources.leading import headers
 from ..sources.scan import scan_columns, scan_vintages
-from ..sources.sinks import distinct_labels, publish
+from ..sources.sinks import distinct_labels, publish_version
+from .trade import TABLE_ORDER
 
 # fixed values: the tables that go into the dashboard bundle
 DASHBOARD_TABLES = [
@@ -28,8 +29,9 @@ DASHBOARD_TABLES = [
 
 
 def compile_dashboard(tables: Mapping[str, DataFrame], folder: str) -> list[str]:
-    """Write the dashboard tables of a bundle and nothing else."""
-    return publish(tables, DASHBOARD_TABLES, folder)
+    """Write the dashboard tables of a bundle and nothing else, as a new version of what is published."""
+    publish_version(tables, DASHBOARD_TABLES, folder, TABLE_ORDER)
+    return list(DASHBOARD_TABLES)
 
 
 def header_signatures(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -276,9 +276,10 @@ def build_trade(fact: DataFrame, cfg: TradeConfig = TradeConfig()) -> dict[str,
     """All seven tables.
 
     The base and the partner table are written once and read by what follows, so the leaf
-    records are scanned and shuffled one time.
+    records are scanned and shuffled one time. The base is partitioned by direction and year,
+    so what asks for some years reads no others.
     """
-    base = stage(trade_base(fact, cfg), "trade-base")
+    base = stage(trade_base(fact, cfg).hint("rebalance", "direction", "year"), "trade-base", ["direction", "year"])
     tables = {name: build(base, cfg) for name, build in MARGINAL_TABLES.items()}
     tables["trade_by_partner"] = stage(tables["trade_by_partner"], "trade-partner")
     tables["trade_by_region"] = build_region(tables["trade_by_partner"])

@@ -6,6 +6,6 @@ from .registry import REGISTRY, Query
 
 
 def all_queries() -> dict[str, Query]:
-    from . import aggs, domain, frames, joins, reshape, scalars, scans, windows  # noqa: F401
+    from . import aggs, domain, frames, joins, outputs, reshape, scalars, scans, windows  # noqa: F401
 
     return dict(REGISTRY)

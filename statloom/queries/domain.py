@@ -20,13 +20,14 @@ from ..plans import publish as PU
 from ..plans import social as SO
 from ..plans import trade as T
 from ..plans import trade_values as V
-from ..sources.sinks import read_bundle
+from ..sources.sinks import read_version
 from ..sources.workspace import fresh_dir
 from .common import (
     ANNUAL, COMMODITY, COUNTRY_OF, FACT, GDP, LABELLED, PARTNER, USD, canon_sql, cell_text, cents,
     chapter_label_sql, clean_country_sql, country_label, ctes, europe_sql, gdp, group_sql,
     mineral_sql, region_sql, residual_sql, span, sql_in, sql_list, table, trade_fact, wide,
 )
+from .contents import contents, contents_sql
 from .registry import query
 from .scans import csv_out, landed_vintages
 
@@ -940,16 +941,14 @@ DASHBOARD = {
     "trade_by_commodity": (None, COMMODITY_SQL),
     "trade_semiconductors": (None, SEMI_SQL),
 }
-D26_SQL = "\nUNION ALL\n".join(
-    f"SELECT '{name}' AS \"table\", count(*) AS rows FROM ({sql})" for name, (_, sql) in DASHBOARD.items())
+D26_SQL = contents_sql({name: sql for name, (_, sql) in DASHBOARD.items()})
 
 
 @query("d26_compile", D26_SQL)
 def d26(spark: SparkSession, sf: str) -> DataFrame:
+    """Contents of all published tables, as read from the published files."""
     tables = T.build_trade(trade_fact(spark, sf))
     tables |= {n: build(spark, sf) for n, (build, _) in DASHBOARD.items() if build}
     folder = fresh_dir(spark, "dashboard")
-    names = PU.compile_dashboard(tables, folder)
-    parts = read_bundle(spark, folder, names)
-    return union_all([
-        df.agg(F.lit(n).alias("table"), F.count("*").alias("rows")) for n, df in parts.items()])
+    PU.compile_dashboard(tables, folder)
+    return contents(read_version(spark, folder))

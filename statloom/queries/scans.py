@@ -293,16 +293,6 @@ def bundle(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return T.build_trade(trade_fact(spark, sf))
 
 
-@query("s15_write_tables", ctes(PARTNER) + """
-SELECT year, direction, region, sum(value_usd) AS value_usd FROM partner GROUP BY ALL""")
-def s15(spark: SparkSession, sf: str) -> DataFrame:
-    tables = bundle(spark, sf)
-    folder = fresh_dir(spark, "csv")
-    picked = {n: tables[n] for n in ("trade_by_region", "trade_annual")}
-    K.write_tables(picked, folder)
-    return S.scan_typed(spark, f"{folder}/trade_by_region.csv", picked["trade_by_region"].schema)
-
-
 @query("s16_write_bundle", ctes(PARTNER, COMMODITY) + """
 SELECT unnest(list_sort(list(DISTINCT p.year))) AS year, 6 AS hs_digits, true AS include_pre_hs,
        (SELECT min(year) FROM commodity WHERE classification = 'HS') AS hs_era_from,
@@ -328,45 +318,6 @@ def s17(spark: SparkSession, sf: str) -> DataFrame:
     return K.read_bundle(spark, folder, names)["trade_annual"]
 
 
-NOTES = {("", "value_usd"): "current USD", ("trade_annual", "balance"): "exports less imports"}
-
-
-@query("s18_data_dictionary", ctes(PARTNER, COMMODITY) + """
-SELECT * FROM (VALUES
-  ('trade_annual', 1, 'year', 'int', NULL), ('trade_annual', 2, 'Exports', 'double', NULL),
-  ('trade_annual', 3, 'Imports', 'double', NULL),
-  ('trade_annual', 4, 'balance', 'double', 'exports less imports'),
-  ('trade_annual', 5, 'total_trade', 'double', NULL),
-  ('trade_by_region', 1, 'year', 'int', NULL), ('trade_by_region', 2, 'direction', 'string', NULL),
-  ('trade_by_region', 3, 'region', 'string', NULL),
-  ('trade_by_region', 4, 'value_usd', 'double', 'current USD')) t("table", position, "column", type, note)
-UNION ALL
-SELECT 'coverage', 0, NULL, NULL, 'Coverage: ' || min(year) || '-' || max(year) ||
-  '; commodity by HS classification from ' || (SELECT min(year) FROM commodity WHERE classification = 'HS')
-  || ' onward, PSCC before that.'
-FROM partner""")
-def s18(spark: SparkSession, sf: str) -> DataFrame:
-    tables = bundle(spark, sf)
-    described = K.data_dictionary(
-        spark, {n: tables[n] for n in ("trade_annual", "trade_by_region")}, NOTES)
-    cover = K.coverage_text(tables["trade_annual"], tables["trade_by_commodity"])
-    return described.unionByName(cover.select(
-        F.lit("coverage").alias("table"), F.lit(0).alias("position"),
-        F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("type"),
-        F.col("coverage").alias("note")))
-
-
-@query("s19_output_inventory", ctes(PARTNER) + """
-SELECT 'trade_by_partner.csv' AS file, count(*) AS rows, true AS has_size FROM partner
-UNION ALL SELECT 'trade_by_region.csv', count(*), true
-FROM (SELECT year, direction, region FROM partner GROUP BY ALL)""")
-def s19(spark: SparkSession, sf: str) -> DataFrame:
-    tables = {n: t for n, t in bundle(spark, sf).items() if n in ("trade_by_partner", "trade_by_region")}
-    folder = fresh_dir(spark, "inventory")
-    K.write_tables(tables, folder)
-    return K.output_inventory(tables, folder).select("file", "rows", F.col("MB").isNotNull().alias("has_size"))
-
-
 @query("s20_distinct_labels", ctes(FACT) + """
 SELECT DISTINCT country FROM fact""")
 def s20(spark: SparkSession, sf: str) -> DataFrame:
