@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import ColumnLike, as_col, named
 from ..functions.numbers import round_even, total
+from ..sources.workspace import stage
+from .joins import natural_join
 
 
 @dataclass(frozen=True)
@@ -24,16 +26,33 @@ class Marginal:
 def marginals(
     base: DataFrame, specs: Mapping[str, Marginal], value: str, digits: int | None = None
 ) -> dict[str, DataFrame]:
-    """Several marginals of one fact.
+    """Several marginals of one fact, from one aggregation of it.
 
-    `base` should already be summed to the union of the keys, so that each marginal
-    re-reads that small table and not the leaf records.
+    All key sets are grouping sets of one pass over `base`: one scan and one shuffle, of rows that
+    each task has already summed. The rows that a marginal covers are a condition in its sum, and
+    a count by the same condition leaves out groups without such rows. The result, small beside
+    the fact, is written once and each marginal reads its part.
     """
+    keys = list(dict.fromkeys(k for m in specs.values() for k in m.keys))
+    sets = list(dict.fromkeys(frozenset(m.keys) for m in specs.values()))
+    rows = base.withColumns({f"__k{i}": named(k) for i, k in enumerate(keys)})
+    covers = {
+        name: F.lit(True) if m.where is None else F.coalesce(m.where, F.lit(False)) for name, m in specs.items()}
+    rows = rows.withColumns({f"__in{j}": c for j, c in enumerate(covers.values())})
+    own = [f"__k{i}" for i in range(len(keys))]
+    sums = [c for j in range(len(specs)) for c in (
+        total(F.when(F.col(f"__in{j}"), named(value)), digits).alias(f"__v{j}"),
+        F.count_if(F.col(f"__in{j}")).alias(f"__n{j}"))]
+    grouped = rows.groupingSets([[F.col(f"__k{keys.index(k)}") for k in s] for s in sets], *own).agg(
+        F.grouping_id(*own).alias("__set"), *sums)
+    summed = stage(grouped, "marginals")
     out = {}
-    for name, m in specs.items():
-        rows = base if m.where is None else base.where(m.where)
-        agg = rows.groupBy(*[named(k) for k in m.keys]).agg(total(value, digits).alias(value))
-        out[name] = agg.withColumnsRenamed(dict(m.rename))
+    for j, (name, m) in enumerate(specs.items()):
+        # Bits of the grouping id mark the keys that a set leaves out, the first key the highest.
+        left_out = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in m.keys)
+        part = summed.where((F.col("__set") == left_out) & (F.col(f"__n{j}") > 0)).select(
+            *[F.col(f"__k{keys.index(k)}").alias(k) for k in m.keys], F.col(f"__v{j}").alias(value))
+        out[name] = part.withColumnsRenamed(dict(m.rename))
     return out
 
 
@@ -126,17 +145,38 @@ def coverage_audit(annual: DataFrame, partner: DataFrame, commodity: DataFrame)
                 cover.alias("commodity_cover")))
 
 
+def rounding_tolerance(n: Column) -> Column:
+    """How far a sum of n values, each rounded to a whole unit, may lie from the sum of the exact ones."""
+    return n * F.lit(0.5)
+
+
 def reconcile(
-    a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, tolerance: float = 0.0
+    a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, tolerance: float | None = 0.0
 ) -> DataFrame:
-    """Totals of two tables side by side per key, their gap and whether it is tolerated."""
-    left = a.groupBy(*[named(k) for k in keys]).agg(F.sum(named(value)).alias("left_total"))
-    right = b.groupBy(*[named(k) for k in keys]).agg(F.sum(named(value)).alias("right_total"))
+    """Totals of two tables side by side per key, their gap and whether it is tolerated.
+
+    Missing keys match each other. Without a tolerance the two are taken for tables of whole
+    units whose exact totals are the same: the gap may be half a unit for each row of either.
+    """
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*[named(k) for k in keys]).agg(
+            F.sum(named(value)).alias(f"{name}_total"), F.count(named(value)).alias(f"__{name}_n"))
+
+    both = natural_join(side(a, "left"), side(b, "right"), "full", list(keys), unique_keys=True)
     gap = F.abs(F.coalesce(F.col("left_total"), F.lit(0.0)) - F.coalesce(F.col("right_total"), F.lit(0.0)))
-    return left.join(right, list(keys), "full").withColumns(
-        {"gap": gap, "agrees": gap <= F.lit(tolerance)})
+    rows = F.coalesce("__left_n", F.lit(0)) + F.coalesce("__right_n", F.lit(0))
+    allowed = rounding_tolerance(rows) if tolerance is None else F.lit(tolerance)
+    return both.withColumns({"gap": gap, "agrees": gap <= allowed}).drop("__left_n", "__right_n")
 
 
 def residual_share(partner: DataFrame) -> DataFrame:
     """Share of each year's trade under residual (non-country) labels."""
     return partner.groupBy("year").agg(share_where("is_resid", "value_usd").alias("share"))
+
+
+def residual_summary(shares: DataFrame) -> DataFrame:
+    """One row: the largest share and its year (the first of equal ones), the last year and its share."""
+    return shares.agg(
+        F.max("share").alias("max_share"), arg_max("year", "share").alias("max_year"),
+        F.max("year").alias("last_year"), F.max_by("share", "year").alias("last_share"))

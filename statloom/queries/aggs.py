@@ -9,27 +9,50 @@ from ..functions.numbers import round_even, total
 from ..operators import aggs as A
 from ..operators.frames import top_partners, union_all
 from ..plans import trade as T
+from ..plans import trade_values as V
 from .common import (
-    ANNUAL, COMMODITY, FACT, MONTHLY, PARTNER, cents, ctes, monthly, table, trade_fact,
+    ANNUAL, COMMODITY, FACT, MONTHLY, PARTNER, cents, ctes, monthly, sql_in, table, trade_fact,
 )
 from .registry import query
 
-@query("a1_marginals", ctes(FACT) + f"""
-SELECT 'partner' AS marginal, year, direction, country, CAST(NULL AS VARCHAR) AS code,
-       {cents('value')} AS value FROM fact GROUP BY ALL
-UNION ALL SELECT 'code', year, direction, NULL, code, {cents('value')} FROM fact GROUP BY ALL
-UNION ALL SELECT 'late_partner', NULL, NULL, country, NULL, {cents('value')} FROM fact
-WHERE year >= 1998 GROUP BY ALL""")
+# the five marginals of the trade records: partners, commodities, partners by chapter, and two slices of products
+MARGINAL_SPECS = {
+    "partner": A.Marginal(["year", "direction", "country"]),
+    "commodity": A.Marginal(["year", "direction", "classification", "code"]),
+    "partner_chapter": A.Marginal(["year", "direction", "country", "chapter"], F.col("classification") == "HS"),
+    "semiconductors": A.Marginal(["year", "direction", "country"], T.semi_heading("heading")),
+    "minerals": A.Marginal(["year", "direction", "country", "heading"], T.mineral_heading("heading")),
+}
+MARGINAL_SQL = f"""
+coded AS (
+  SELECT *, CASE WHEN length(code) >= 10 THEN 'HS' ELSE 'PSCC' END AS classification,
+         CASE WHEN length(code) >= 10 THEN substr(code, 1, 4) END AS heading FROM fact WHERE value > 0),
+marginal AS (
+  SELECT 'partner' AS marginal, year, direction, country, CAST(NULL AS VARCHAR) AS classification, CAST(NULL AS VARCHAR) AS code,
+         CAST(NULL AS VARCHAR) AS chapter, CAST(NULL AS VARCHAR) AS heading, {cents('value')} AS value FROM coded GROUP BY ALL
+  UNION ALL SELECT 'commodity', year, direction, NULL, classification, code, NULL, NULL, {cents('value')} FROM coded GROUP BY ALL
+  UNION ALL SELECT 'partner_chapter', year, direction, country, NULL, NULL, substr(heading, 1, 2), NULL, {cents('value')}
+  FROM coded WHERE classification = 'HS' GROUP BY ALL
+  UNION ALL SELECT 'semiconductors', year, direction, country, NULL, NULL, NULL, NULL, {cents('value')}
+  FROM coded WHERE heading IN {sql_in(V.SEMI_PREFIXES)} GROUP BY ALL
+  UNION ALL SELECT 'minerals', year, direction, country, NULL, NULL, NULL, heading, {cents('value')}
+  FROM coded WHERE substr(heading, 1, 2) IN {sql_in(V.MINERAL_CHAPTERS)} OR heading IN {sql_in(V.MINERAL_HEADINGS)} GROUP BY ALL)"""
+
+
+def five_marginals(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """All five from one pass over the records."""
+    rows = trade_fact(spark, sf).where(F.col("value") > 0).withColumns({
+        "classification": T.classification("code"),
+        "heading": F.when(T.classification("code") == "HS", F.substring("code", 1, 4)),
+    })
+    rows = rows.withColumn("chapter", F.substring("heading", 1, 2))
+    return A.marginals(rows, MARGINAL_SPECS, "value", 2)
+
+
+@query("a1_marginals", ctes(FACT, MARGINAL_SQL) + """
+SELECT * FROM marginal""")
 def a1(spark: SparkSession, sf: str) -> DataFrame:
-    base = trade_fact(spark, sf).groupBy("year", "direction", "country", "code").agg(
-        total("value", 2).alias("value"))
-    specs = {
-        "partner": A.Marginal(["year", "direction", "country"]),
-        "code": A.Marginal(["year", "direction", "code"]),
-        "late_partner": A.Marginal(["country"], F.col("year") >= 1998),
-    }
-    parts = A.marginals(base, specs, "value", 2)
-    return union_all([df.withColumn("marginal", F.lit(n)) for n, df in parts.items()])
+    return union_all([df.withColumn("marginal", F.lit(n)) for n, df in five_marginals(spark, sf).items()])
 
 
 def partner(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,17 +157,48 @@ def a10(spark: SparkSession, sf: str) -> DataFrame:
     return A.coverage_audit(t["trade_annual"], t["trade_by_partner"], t["trade_by_commodity"])
 
 
-@query("a11_reconcile", ctes(PARTNER, COMMODITY) + """,
-l AS (SELECT year, direction, sum(value_usd) AS t FROM partner GROUP BY ALL),
-r AS (SELECT year, direction, sum(value_usd) AS t FROM commodity GROUP BY ALL)
-SELECT year, direction, l.t AS left_total, r.t AS right_total,
-       abs(coalesce(l.t, 0) - coalesce(r.t, 0)) AS gap,
-       abs(coalesce(l.t, 0) - coalesce(r.t, 0)) <= 1000 AS agrees
-FROM l FULL JOIN r USING (year, direction)""")
+@query("a11_reconcile", ctes(FACT, MARGINAL_SQL) + """,
+p AS (SELECT year, direction, country, round_even(value, 0) AS v FROM marginal WHERE marginal = 'partner'),
+c AS (SELECT year, direction, code, round_even(value, 0) AS v FROM marginal WHERE marginal = 'commodity'),
+g AS (SELECT year, direction, country, chapter, round_even(value, 0) AS v FROM marginal WHERE marginal = 'partner_chapter'),
+h AS (SELECT year, direction, code, round_even(value, 0) AS v FROM marginal WHERE marginal = 'commodity' AND classification = 'HS'),
+sides AS (
+  SELECT 'partner and commodity' AS pair, year, direction, sum(v) FILTER (s = 1) AS left_total, sum(v) FILTER (s = 2) AS right_total, count(*) AS n
+  FROM (SELECT year, direction, v, 1 AS s FROM p UNION ALL SELECT year, direction, v, 2 FROM c) GROUP BY ALL
+  UNION ALL
+  SELECT 'chapter and code', year, direction, sum(v) FILTER (s = 1), sum(v) FILTER (s = 2), count(*)
+  FROM (SELECT year, direction, v, 1 AS s FROM g UNION ALL SELECT year, direction, v, 2 FROM h) GROUP BY ALL)
+SELECT pair, year, direction, left_total, right_total,
+       abs(coalesce(left_total, 0) - coalesce(right_total, 0)) AS gap,
+       abs(coalesce(left_total, 0) - coalesce(right_total, 0)) <= 0.5 * n AS agrees
+FROM sides""")
 def a11(spark: SparkSession, sf: str) -> DataFrame:
-    leaf = T.trade_leaf(trade_fact(spark, sf))
-    return A.reconcile(T.partner_table(leaf), T.commodity_table(leaf), ["year", "direction"],
-                       "value_usd", 1000.0)
+    """Partners against commodities, and partner chapters against HS codes: both from the marginals' one pass."""
+    parts = {n: df.withColumn("value", round_even("value")) for n, df in five_marginals(spark, sf).items()}
+    by, none = ["year", "direction"], None
+    pairs = {
+        "partner and commodity": (parts["partner"], parts["commodity"]),
+        "chapter and code": (parts["partner_chapter"], parts["commodity"].where("classification = 'HS'")),
+    }
+    return union_all([
+        A.reconcile(a, b, by, "value", none).withColumn("pair", F.lit(n)) for n, (a, b) in pairs.items()])
+
+
+SHARES = """,
+shares AS (SELECT year, coalesce(sum(value_usd) FILTER (is_resid), 0) / nullif(sum(value_usd), 0) AS share FROM partner GROUP BY year)"""
+
+
+@query("a11_residual_share", ctes(PARTNER) + SHARES + """
+SELECT year, share FROM shares""")
+def a11_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return A.residual_share(partner(spark, sf))
+
+
+@query("a11_residual_summary", ctes(PARTNER) + SHARES + """
+SELECT max(share) AS max_share, (SELECT min(year) FROM shares WHERE share = (SELECT max(share) FROM shares)) AS max_year,
+       max(year) AS last_year, arg_max(share, year) AS last_share FROM shares""")
+def a11_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return A.residual_summary(A.residual_share(partner(spark, sf)))
 
 
 @query("o3_top_partners", ctes(PARTNER) + """
