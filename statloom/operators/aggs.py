@@ -91,6 +91,26 @@ def n_distinct(c: ColumnLike) -> Column:
     return F.count_distinct(col) + F.max(col.isNull().cast("bigint"))
 
 
+def distinct_sketch(c: ColumnLike, log2_slots: int = 12) -> Column:
+    """A sketch of the distinct values, a missing value counting as one, of a few kilobytes whatever their number.
+
+    Sketches of parts merge (`merged_sketch`) to the sketch of the whole, so distinct counts of any
+    coarser grouping follow from stored ones without the rows. The standard error of a count is
+    about 0.83 / sqrt(2^log2_slots): 1.3 % by default.
+    """
+    col = as_col(c)
+    tagged = F.coalesce(F.concat(F.lit("v"), col.cast("string")), F.lit("missing"))
+    return F.hll_sketch_agg(tagged, F.lit(log2_slots))
+
+
+def merged_sketch(c: ColumnLike) -> Column:
+    return F.hll_union_agg(as_col(c))
+
+
+def sketch_count(c: ColumnLike) -> Column:
+    return F.hll_sketch_estimate(as_col(c))
+
+
 def share_where(flag: ColumnLike, value: ColumnLike) -> Column:
     """Part of the total that carries the flag."""
     v = as_col(value)

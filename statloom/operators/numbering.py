@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cols import named
+from ..sources.workspace import stage
 
 CHUNK_ROWS = 65_536
 
@@ -97,3 +98,25 @@ def carried_down(
         .withColumn(col, F.coalesce(F.last(named(col), ignorenulls=True).over(inside), F.col("__carry")))
         .drop("__chunk", "__carry")
     )
+
+
+def ranked(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, parts: int | None = None
+) -> DataFrame:
+    """Row number within `keys` by any order, also of texts; rows equal in keys and order are numbered in any way.
+
+    Rows are dealt to ranges of (keys, order) and written down with the number of their range. A
+    group that spans several ranges is counted in each, and what stands in the ranges before is added: one
+    row per group and range is windowed over a group, and no task holds more rows of it than a range has.
+    """
+    cols = [*keys, *order]
+    by = [named(c).asc_nulls_last() for c in cols]
+    dealt = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
+    placed = stage(dealt.withColumn("__chunk", F.spark_partition_id()), "ranked")
+    cells = [*keys, "__chunk"]
+    counts = placed.groupBy(*[named(c) for c in cells]).agg(F.count("*").alias("__n"))
+    over = Window.partitionBy(*[named(k) for k in keys]).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*[named(c) for c in cells], F.coalesce(F.sum("__n").over(over), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy(*[named(c) for c in cells]).orderBy(*[named(o).asc_nulls_last() for o in order])
+    return _join_same(placed, before, cells).withColumn(
+        name, F.row_number().over(inside) + F.col("__before")).drop("__chunk", "__before")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping, Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,35 +20,46 @@ HAS_YEAR = re.compile(r"\d{4}")
 Derive = Callable[[Column], Column]
 
 
+# what a function tells of a header, as a SQL literal: it depends on nothing else
+_known_facts: WeakKeyDictionary[Derive, dict[str, str]] = WeakKeyDictionary()
+
+
 def _header_facts(
     df: DataFrame, cols: Sequence[str], derived: Mapping[str, Derive]
-) -> dict[str, list[str]]:
-    """What each header tells, as SQL literals: worked out once per header, not per cell."""
-    if not derived:
-        return {c: [] for c in cols}
-    heads = df.sparkSession.createDataFrame([(c,) for c in cols], "h string")
-    facts = heads.select("h", *[fn(F.col("h")).alias(k) for k, fn in derived.items()])
-    types = dict(facts.dtypes)
-    return {
-        r["h"]: [x for k in derived for x in (literal(k), literal(r[k], types[k]))]
-        for r in facts.collect()}
+) -> dict[str, dict[str, str]]:
+    """What each header tells, as SQL literals: worked out once per distinct header, not per cell or table."""
+    known = {k: _known_facts.setdefault(fn, {}) for k, fn in derived.items()}
+    new = sorted({c for c in cols for k in derived if c not in known[k]})
+    if new:
+        heads = df.sparkSession.createDataFrame([(c,) for c in new], "h string")
+        facts = heads.select("h", *[fn(F.col("h")).alias(k) for k, fn in derived.items()])
+        types = dict(facts.dtypes)
+        for r in facts.collect():
+            for k in derived:
+                known[k][r["h"]] = literal(r[k], types[k])
+    return {c: {k: known[k][c] for k in derived} for c in cols}
 
 
 def _melt(
     df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str, value: str,
     cast: Derive | None, derived: Mapping[str, Derive] | None = None,
+    only: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One row per (row, column), with `derived` columns computed from the header alone.
 
     Generating rows, unlike `unpivot`, keeps the frame's partitioning by its id columns,
-    so a window over them needs no second shuffle.
+    so a window over them needs no second shuffle. Columns whose header does not tell what `only` asks
+    for are left before that, so their cells are never made rows, nor read from a file by columns.
     """
     facts = _header_facts(df, cols, derived or {})
+    wanted = [c for c in cols if all(facts[c][k] == literal(v) for k, v in (only or {}).items())]
     cells = ", ".join(
         "named_struct(" + ", ".join(
-            [literal(name), literal(c), literal(value), quoted(c), *facts[c]]) + ")"
-        for c in cols)
+            [literal(name), literal(c), literal(value), quoted(c), *[x for k, v in facts[c].items() for x in (literal(k), v)]]) + ")"
+        for c in wanted or cols[:1])
     long = df.selectExpr(*[quoted(i) for i in ids], f"inline(array({cells}))")
+    if not wanted:
+        long = long.where(F.lit(False))
     return long.withColumn(value, cast(named(value))) if cast else long
 
 
@@ -66,17 +78,19 @@ PERIOD_PARTS: Mapping[str, Derive] = {"Yr": header_year, "PeriodLabel": period_l
 
 
 def unpivot_periods(
-    df: DataFrame, value: str = "Value", derived: Mapping[str, Derive] = PERIOD_PARTS
+    df: DataFrame, value: str = "Value", derived: Mapping[str, Derive] = PERIOD_PARTS,
+    only: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Long form of a wide period table: header, number, and what the header tells.
 
-    By default that is the year and the period label. Empty cells stay, as NULL.
+    By default that is the year and the period label. Empty cells stay, as NULL. `only` names
+    what a header must tell, such as a period type, for its column to be taken.
     """
     periods = period_columns(df.columns)
     if not periods:
         raise ValueError("no period columns")
     ids = [c for c in df.columns if c not in periods]
-    return _melt(df, ids, periods, "PeriodRaw", value, parse_number, derived)
+    return _melt(df, ids, periods, "PeriodRaw", value, parse_number, derived, only)
 
 
 def unpivot_except(

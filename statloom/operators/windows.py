@@ -31,16 +31,16 @@ def yoy(
 ) -> DataFrame:
     """Growth over the value n rows back; a gap in the series shifts it.
 
-    `calendar="month"` looks up the period exactly n months back instead.
+    `calendar="month"` looks up the period exactly n months back instead: a frame of one period in
+    the window of the series, so it takes one shuffle, missing keys are a series of their own, and a
+    period that is not there gives NULL. A series has one row for each period.
     """
     if calendar is None:
         return df.withColumn(name, growth(value, keys, time, n))
     months = {"month": 1, "quarter": 3, "year": 12}[calendar] * n
-    base = df.select(
-        *[named(k) for k in keys], F.add_months(named(time), months).alias(time),
-        named(value).alias("__base"))
-    out = df.join(base, [*keys, time], "left")
-    return out.withColumn(name, ratio(named(value), named("__base")) - F.lit(1.0)).drop("__base")
+    number = F.year(named(time)) * 12 + F.month(named(time))
+    at = Window.partitionBy(*[named(k) for k in keys]).orderBy(number).rangeBetween(-months, -months)
+    return df.withColumn(name, ratio(named(value), F.first(named(value)).over(at)) - F.lit(1.0))
 
 
 def yoy_many(

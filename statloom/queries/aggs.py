@@ -106,6 +106,19 @@ def a6(spark: SparkSession, sf: str) -> DataFrame:
         A.n_distinct("l_partkey").alias("parts"), A.n_distinct("flag").alias("flags"))
 
 
+@query("a6_distinct_sketches", ctes(FACT) + """
+SELECT year, count(DISTINCT code) AS codes, true AS merged_near, true AS parts_near FROM fact GROUP BY year""")
+def a6_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct codes of a year, exactly and from merged sketches of its directions: both within 4 standard errors."""
+    rows = trade_fact(spark, sf)
+    parts = rows.groupBy("year", "direction").agg(A.distinct_sketch("code").alias("sketch"), A.n_distinct("code").alias("codes"))
+    near = lambda estimate, exact: F.abs(estimate - exact) <= F.greatest(F.lit(1.0), exact * 4 * 0.013)
+    parts = parts.withColumn("near", near(A.sketch_count("sketch"), F.col("codes")))
+    merged = parts.groupBy("year").agg(A.sketch_count(A.merged_sketch("sketch")).alias("estimate"), F.every("near").alias("parts_near"))
+    exact = rows.groupBy("year").agg(A.n_distinct("code").alias("codes"))
+    return exact.join(merged, "year").select("year", "codes", near(F.col("estimate"), F.col("codes")).alias("merged_near"), "parts_near")
+
+
 @query("a7_share_where", """
 SELECT l_suppkey, round(CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(18,2)))
          FILTER (l_returnflag = 'R'), 0) AS DOUBLE)

@@ -21,7 +21,7 @@ from ..plans import social as SO
 from ..plans import trade as T
 from ..plans import trade_values as V
 from ..sources.sinks import read_version
-from ..sources.workspace import fresh_dir
+from ..sources.workspace import fresh_dir, stage
 from .common import (
     ANNUAL, COMMODITY, COUNTRY_OF, FACT, GDP, LABELLED, PARTNER, USD, canon_sql, cell_text, cents,
     chapter_label_sql, clean_country_sql, country_label, ctes, europe_sql, gdp, group_sql,
@@ -664,16 +664,14 @@ def agri_heads(spark: SparkSession, sf: str) -> list[str]:
             for p in ("Quarter 1", "Quarter 2", "Quarter 3", "Quarter 4", "Annual")]
 
 
-def agri_cells(spark: SparkSession, sf: str, keys: list[Column], value: Column) -> DataFrame:
-    """Quarterly and annual cells under their headers."""
+def agri_cells(spark: SparkSession, sf: str, keys: dict[str, Column], **measures: Column) -> DataFrame:
+    """Quarterly and annual cells of one or more measures under their headers, from one pass over the line items."""
     src = table(spark, sf, "lineitem")
     year = F.date_format("l_shipdate", "yyyy")
-    heads = {
-        "q": F.concat(year, F.lit(" Quarter "), F.quarter("l_shipdate").cast("string")),
-        "a": F.concat(year, F.lit(" Annual")),
-    }
-    return union_all([
-        src.groupBy(*keys, h.alias("h")).agg(cell_text(value).alias("cell")) for h in heads.values()])
+    heads = F.array(F.concat(year, F.lit(" Quarter "), F.quarter("l_shipdate").cast("string")), F.concat(year, F.lit(" Annual")))
+    rows = src.withColumns(keys).withColumn("h", F.explode(heads))
+    summed = rows.groupBy(*[f"`{k}`" for k in keys], "h").agg(*[cell_text(m).alias(c) for c, m in measures.items()])
+    return stage(summed, "agri-cells")
 
 
 def flag_geo() -> Column:
@@ -714,15 +712,16 @@ SELECT *, {grow} FROM y WINDOW w AS (PARTITION BY {keys} ORDER BY "{time}")"""
 def crops(spark: SparkSession, sf: str, freq: str) -> DataFrame:
     heads = agri_heads(spark, sf)
     name = F.concat(F.lit("Crop "), F.col("l_linenumber").cast("string"))
-    keys = [name.alias("Commodity"), flag_geo().alias("Geolocation")]
+    keys = {"Commodity": name, "Geolocation": flag_geo()}
+
+    cells = agri_cells(spark, sf, keys, Volume=total("l_extendedprice", 2), Area=total("l_quantity", 2))
 
     def sheets(measure: str) -> list[DataFrame]:
-        cells = agri_cells(spark, sf, keys, total(measure, 2))
-        rows = pivot_wide(cells, ["Commodity", "Geolocation"], "h", "cell", heads)
+        rows = pivot_wide(cells, ["Commodity", "Geolocation"], "h", measure, heads)
         major = F.col("Commodity") < "Crop 4"
         return [rows.where(major), rows.where(~major)]
 
-    return AG.build_crops(sheets("l_extendedprice"), sheets("l_quantity"), freq)
+    return AG.build_crops(sheets("Volume"), sheets("Area"), freq)
 
 
 for _freq in ("Annual", "Quarter"):
@@ -773,7 +772,7 @@ FROM lineitem GROUP BY ALL"""
 
 def prices(spark: SparkSession, sf: str, freq: str, national: bool = False) -> DataFrame:
     root, paths = price_tree(spark, sf)
-    return AG.build_prices(AG.price_records(spark, root, paths), freq, national)
+    return AG.build_prices(AG.price_records(spark, root, paths, freq), freq, national)
 
 
 @query("d20_prices_monthly", prices_sql("Month"))
@@ -842,22 +841,24 @@ def livestock_sql(freq: str) -> str:
     if freq == "Annual":
         out += f"""
 UNION ALL
-SELECT a, 0, 'Inventory (head)', y, CASE WHEN a = 'Carabao' THEN n ELSE o END
+SELECT a, 0, 'Inventory (head)', y, CASE a WHEN 'Carabao' THEN n WHEN 'Cattle' THEN o ELSE p END
 FROM (SELECT CAST(date_trunc('year', o_orderdate) AS DATE) AS y, CAST(count(*) FILTER (o_orderstatus = 'F') AS DOUBLE) AS n,
-        CAST(count(*) FILTER (o_orderstatus = 'O') AS DOUBLE) AS o FROM orders GROUP BY 1)
-CROSS JOIN (VALUES ('Carabao'), ('Cattle')) t(a)"""
+        CAST(count(*) FILTER (o_orderstatus = 'O') AS DOUBLE) AS o,
+        CAST(count(*) FILTER (o_orderstatus = 'P') AS DOUBLE) AS p FROM orders GROUP BY 1)
+CROSS JOIN (VALUES ('Carabao'), ('Cattle'), ('Goat')) t(a)"""
     return out
 
 
 def livestock(spark: SparkSession, sf: str, freq: str) -> DataFrame:
     n = F.col("l_linenumber")
     name = F.concat(F.when(n > 1, "..").otherwise(""), F.lit("Animal "), n.cast("string"))
-    cells = agri_cells(spark, sf, [name.alias("Sector/Animal Type")], total("l_extendedprice", 2))
+    cells = agri_cells(spark, sf, {"Sector/Animal Type": name}, cell=total("l_extendedprice", 2))
     production = pivot_wide(cells, ["Sector/Animal Type"], "h", "cell", agri_heads(spark, sf))
     status = F.col("o_orderstatus")
     inventory = table(spark, sf, "orders").groupBy(F.date_format("o_orderdate", "yyyy").alias("Year")).agg(
         F.count(F.when(status == "F", 1)).cast("string").alias("Carabao"),
-        F.count(F.when(status == "O", 1)).cast("string").alias("Cattle"))
+        F.count(F.when(status == "O", 1)).cast("string").alias("Cattle"),
+        F.count(F.when(status == "P", 1)).cast("string").alias("Goat"))
     return AG.build_livestock(production, inventory, freq)
 
 
@@ -872,13 +873,13 @@ UNION ALL SELECT sub, geo, lev, 'Value (PhP000)', t, v FROM s"""
 
 
 def fisheries(spark: SparkSession, sf: str, freq: str) -> DataFrame:
-    keys = [flag_geo().alias("Geolocation"),
-            F.concat(F.lit("..Sub "), F.col("l_linenumber").cast("string")).alias("Subsector")]
+    keys = {"Geolocation": flag_geo(), "Subsector": F.concat(F.lit("..Sub "), F.col("l_linenumber").cast("string"))}
     heads = agri_heads(spark, sf)
+    cells = agri_cells(spark, sf, keys, quantity=total("l_quantity", 2), price=total("l_extendedprice", 2))
     sheet = lambda c: pivot_wide(
-        agri_cells(spark, sf, keys, total(c, 2)), ["Geolocation", "Subsector"], "h", "cell", heads)
+        cells, ["Geolocation", "Subsector"], "h", c, heads)
     return AG.build_fisheries(
-        {"Volume (MT)": sheet("l_quantity"), "Value (PhP000)": sheet("l_extendedprice")}, freq)
+        {"Volume (MT)": sheet("quantity"), "Value (PhP000)": sheet("price")}, freq)
 
 
 for _freq, _word in (("Annual", "annual"), ("Quarter", "quarterly")):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -235,28 +235,26 @@ def f16(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("f17_json_dims", """
-SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, 'segment' AS code,
-       CAST(count(DISTINCT c_mktsegment) AS INTEGER) AS size
+SELECT CAST(n_nationkey AS BIGINT) AS owner, 'segment' AS code, CAST(count(DISTINCT c_mktsegment) AS INTEGER) AS size,
+       CAST(1 AS BIGINT) AS documents
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
 UNION ALL
-SELECT c_nationkey, 'key', CAST(json_extract(props, '$.k') AS INTEGER)
-FROM (SELECT c_nationkey FROM customer GROUP BY 1)
-JOIN (SELECT user_id, min(props) AS props FROM events GROUP BY 1) ON user_id = c_nationkey""")
+SELECT user_id, 'key', CAST(json_extract(props, '$.k') AS INTEGER), count(*)
+FROM events WHERE json_extract(props, '$.k') IS NOT NULL GROUP BY ALL""")
 def f17(spark: SparkSession, sf: str) -> DataFrame:
-    # metadata documents with one list per dimension, its length taken from the tables
-    segments = table(spark, sf, "customer").groupBy("c_nationkey").agg(
+    """Metadata documents with a list for each dimension: of every nation its segments, of every event a list as long as its key."""
+
+    def document(code: str, values: Column) -> Column:
+        return F.to_json(F.struct(F.array(F.struct(F.lit(code).alias("code"), values.alias("values"))).alias("variables")))
+
+    segments = table(spark, sf, "customer").groupBy(F.col("c_nationkey").cast("bigint").alias("owner")).agg(
         F.array_sort(F.collect_set("c_mktsegment")).alias("segments"))
-    events = table(spark, sf, "events").groupBy("user_id").agg(F.min("props").alias("props"))
     size = F.get_json_object("props", "$.k").cast("int")
-    docs = segments.join(events, F.col("c_nationkey") == F.col("user_id"), "left").select(
-        "c_nationkey",
-        F.to_json(F.struct(F.array_compact(F.array(
-            F.struct(F.lit("segment").alias("code"), F.col("segments").alias("values")),
-            F.when(size.isNotNull(), F.struct(
-                F.lit("key").alias("code"),
-                F.array_repeat(F.lit("v"), size).alias("values"))))).alias("variables"))).alias("doc"))
-    dims = N.explode_list(docs.select("c_nationkey", N.json_dims("doc").alias("dims")), "dims", "dim")
-    return dims.select(F.col("c_nationkey").cast("int").alias("n_nationkey"), "dim.code", "dim.size")
+    events = table(spark, sf, "events").where(size.isNotNull())
+    docs = segments.select("owner", document("segment", F.col("segments")).alias("doc")).unionByName(
+        events.select(F.col("user_id").alias("owner"), document("key", F.array_repeat(F.lit("v"), size)).alias("doc")))
+    dims = N.explode_list(docs.select("owner", N.json_dims("doc").alias("dims")), "dims", "dim")
+    return dims.groupBy("owner", F.col("dim.code").alias("code"), F.col("dim.size").alias("size")).agg(F.count("*").alias("documents"))
 
 
 @query("f18_normalise", r"""

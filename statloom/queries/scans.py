@@ -254,7 +254,8 @@ k AS (SELECT q.*, value, row_number() OVER (PARTITION BY q."table" ORDER BY valu
 b AS (SELECT *, CASE status WHEN 'one request' THEN 1
         WHEN 'batched' THEN (k - 1) // greatest(1, 45 // slice) + 1 END AS batch FROM k)
 SELECT "table", dim, status, cells, CAST(batch AS INTEGER) AS batch, count(*) AS n_values,
-       min(value) AS first_value, max(value) AS last_value, count(*) * max(slice) AS batch_cells
+       min(value) AS first_value, max(value) AS last_value, count(*) * max(slice) AS batch_cells,
+       CASE WHEN status <> 'slice too large' THEN string_agg(value, ',' ORDER BY value) END AS "values"
 FROM b GROUP BY "table", dim, status, cells, batch""")
 def s13(spark: SparkSession, sf: str) -> DataFrame:
     parts = []
@@ -266,7 +267,9 @@ def s13(spark: SparkSession, sf: str) -> DataFrame:
     values = parts[0]
     for p in parts[1:]:
         values = values.unionByName(p)
-    return G.plan_batches(values, 50, 0.9)
+    plan = G.plan_batches(values, 50, 0.9)
+    listed = F.when(F.size("values") > 0, F.array_join("values", ","))
+    return plan.withColumns({"cells": F.col("cells").cast("bigint"), "batch_cells": F.col("batch_cells").cast("bigint"), "values": listed})
 
 
 @query("s14_pending", """

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import named
 from ..functions.text import extract
+from ..operators.numbering import ranked
 
 HREF_RX = r'<a\b[^>]*?\bhref="([^"]*)"'
 LISTING_SCHEMA = "array<struct<id:string,type:string,text:string>>"
@@ -79,24 +80,27 @@ def request_grid(years: DataFrame, year: str, periods: int = 13) -> DataFrame:
 
 
 def plan_batches(
-    dim_values: DataFrame, cap: int, safety: float = 1.0, chunk_dim: str | None = None
+    dim_values: DataFrame, cap: int, safety: float = 1.0, chunk_dim: str | None = None, order: str = "value"
 ) -> DataFrame:
     """Split each table's request so that no batch exceeds `cap * safety` cells.
 
-    Input has one row per (table, dim, value). The dimension named `chunk_dim`, or the
-    largest one, is cut into batches. A table one of whose slices is too large by itself
-    gets status `slice too large` instead of batches; small tables get one batch.
+    Input has one row per (table, dim, value), and may have the place of the value in its
+    document, which `order` names. The dimension named `chunk_dim`, or the largest one, is cut
+    into batches in that order. `values` has those of a batch in order, at most `cap * safety`, ready
+    to be sent. A table one of whose slices is too large by itself gets status `slice too large` instead of
+    batches; small tables get one batch. Cells are exact whole decimals.
     """
     limit = int(cap * safety)
-    values = dim_values.select("table", "dim", "value").distinct()
+    values = dim_values.groupBy("table", "dim", "value").agg(F.min(named(order)).alias("__place"))
     sizes = values.groupBy("table", "dim").agg(F.count("*").alias("size"))
     wanted = F.lit(0) if chunk_dim is None else (F.col("dim") == chunk_dim).cast("int")
+    product = F.aggregate(  # over the dimensions of one table
+        F.collect_list("size"), F.lit(1).cast("decimal(38,0)"), lambda acc, x: (acc * x.cast("decimal(19,0)")).cast("decimal(38,0)"))
     dims = sizes.groupBy("table").agg(
-        F.product("size").cast("bigint").alias("cells"),
-        F.max(F.struct(wanted.alias("w"), F.col("size"), F.col("dim"))).alias("__cut"))
+        product.alias("cells"), F.max(F.struct(wanted.alias("w"), F.col("size"), F.col("dim"))).alias("__cut"))
     plan = dims.select(
-        "table", "cells", F.col("__cut.dim").alias("dim"), F.col("__cut.size").alias("size"),
-        (F.col("cells") / F.col("__cut.size")).cast("bigint").alias("slice"))
+        "table", "cells", F.col("__cut.dim").alias("dim"), F.col("__cut.size").alias("size")).withColumn(
+        "slice", (F.col("cells") / F.col("size")).cast("decimal(38,0)"))
     status = (
         F.when(F.col("cells") <= limit, "one request")
         .when(F.col("slice") > limit, "slice too large").otherwise("batched"))
@@ -105,13 +109,15 @@ def plan_batches(
         "batch_values",
         F.when(F.col("status") == "one request", F.col("size"))
         .when(F.col("status") == "batched", width))
-    # a dimension's values come from one metadata document, which bounds this window
-    w = Window.partitionBy("table", "dim").orderBy("value")
-    ranked = values.join(plan, ["table", "dim"]).withColumn("__k", F.row_number().over(w))
+    cut = values.join(plan.select("table", "dim"), ["table", "dim"], "left_semi")
+    # Values of a dimension may be many: they are ranked by ranges, and a batch holds a limited number.
+    placed = ranked(cut, ["table", "dim"], ["__place", "value"], "__k").join(plan, ["table", "dim"])
     batch = (F.floor((F.col("__k") - 1) / F.col("batch_values")) + 1).cast("int")
+    listed = F.when(F.col("status") != "slice too large", F.struct("__k", "value"))
     return (
-        ranked.withColumn("batch", batch)
+        placed.withColumn("batch", batch)
         .groupBy("table", "dim", "status", "cells", "batch")
-        .agg(F.count("*").alias("n_values"), F.min("value").alias("first_value"),
-             F.max("value").alias("last_value"), F.max("slice").alias("__slice"))
+        .agg(F.count("*").alias("n_values"), F.min_by("value", "__k").alias("first_value"),
+             F.max_by("value", "__k").alias("last_value"), F.max("slice").alias("__slice"),
+             F.array_sort(F.collect_list(listed)).getField("value").alias("values"))
         .withColumn("batch_cells", F.col("n_values") * F.col("__slice")).drop("__slice"))
