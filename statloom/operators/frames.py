@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import ColumnLike, as_col, named
 from .joins import natural_join
+from ..sources.workspace import stage
 from .numbering import numbered
 
 # -- projection ---------------------------------------------------------------------
@@ -105,7 +106,8 @@ def in_ranges(df: DataFrame, *keys: str) -> DataFrame:
     break ties, so rows that are equal in the keys can still be dealt to several tasks.
     """
     listed = {k.lstrip("-") for k in keys}
-    order = sort_order(*keys, *[c for c in df.columns if c not in listed])
+    ties = [f.name for f in df.schema if f.name not in listed and f.dataType.typeName() not in ("map", "variant")]
+    order = sort_order(*keys, *ties)
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
@@ -115,8 +117,21 @@ def head_n(df: DataFrame, n: int, *keys: str) -> DataFrame:
 
 
 def nth(df: DataFrame, n: int, *keys: str) -> DataFrame:
-    """The n-th row of an ordering."""
-    return sort_na_last(df, *keys).offset(n - 1).limit(1)
+    """The n-th row of an ordering; none if there are fewer. The other columns break ties.
+
+    Rows are written in ranges of the order. The sizes of the ranges, one number each, tell which
+    one holds the row, and only that one is read and sorted, so n may be in the billions.
+    """
+    placed = stage(in_ranges(df, *keys).withColumn("__range", F.spark_partition_id()), "ranges", ["__range"])
+    before = 0
+    for r in placed.groupBy("__range").agg(F.count("*").alias("size")).orderBy("__range").collect():
+        if n <= before + r["size"]:
+            listed = {k.lstrip("-") for k in keys}
+            rows = placed.where(F.col("__range") == r["__range"]).drop("__range")
+            order = [*keys, *[f.name for f in df.schema if f.name not in listed and f.dataType.typeName() not in ("map", "variant")]]
+            return sort_na_last(rows, *order).offset(n - 1 - before).limit(1)
+        before += r["size"]
+    return df.limit(0)
 
 
 def top_partners(

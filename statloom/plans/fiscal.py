@@ -23,6 +23,7 @@ DEBT_LINES = [
     "Total Obligations", "Actual Obligations", "Domestic Debt", "External Debt",
     "Domestic Guaranteed Obligations", "External Guaranteed Obligations",
 ]
+DEBT_TABLE_LINES = ["Actual Obligations", "Domestic Debt", "External Debt"]
 DEBT_SERVICE = "Debt Service - Interest Payment"
 DEBT_SUMS: Mapping[str, tuple[str, ...]] = {
     "TotalObligations": ("Total Obligations",),
@@ -101,6 +102,19 @@ def ngdebt_quarterly(monthly: DataFrame, gdp: DataFrame, since: int) -> DataFram
     return roll_sum(both, ["__one"], "Month", GDP, 4, GDP + "4Q").drop("__one").where(F.col(GDP) > 0)
 
 
+def debt_table(monthly: DataFrame, gdp: DataFrame, since: int = 1993) -> DataFrame:
+    """Actual obligations, domestic and external debt at quarter ends since a year, beside output.
+
+    The four-quarter output is rolled over the rows of this table; quarters without output stay.
+    """
+    rows = to_quarter_end(monthly.where(F.col("Particulars").isin(*DEBT_TABLE_LINES)), "Month").drop("Quarter")
+    names = [n.replace(" ", "") for n in DEBT_TABLE_LINES]
+    wide = pivot_wide(rows.withColumn("Particulars", ident("Particulars")), ["Month"], "Particulars", "MillionPesos", names)
+    placed = wide.withColumn("Quarter", quarter_start("Month")).where(F.year("Quarter") >= since)
+    both = placed.join(gdp.select("Quarter", GDP), "Quarter", "left").withColumn("__one", F.lit(1))
+    return roll_sum(both, ["__one"], "Month", GDP, 4, GDP + "4Q").select("Month", "Quarter", *names, GDP, GDP + "4Q")
+
+
 def annual_long(raw: DataFrame, first: int) -> DataFrame:
     """Year-end stocks from a table with one column per year."""
     long = unpivot_except(raw, ["Particulars"], "Year", "MillionPesos", as_double)

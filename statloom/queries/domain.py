@@ -233,6 +233,24 @@ for _name, (_kind, _unit) in ACCOUNT_KEYS.items():
         lambda spark, sf, kind=_kind, unit=_unit: accounts(spark, sf, kind, unit))
 
 
+TWO_SHEETS = [
+    NA.Block("Current Prices", 9, 5, "Current_2018based"), NA.Block("Constant 2018 Prices", 9, 5, "Constant_2018based")]
+
+
+@query("d9_accounts_two_sheets", f"""
+WITH a AS ({accounts_sql('Industry', 'year')}),
+names AS (SELECT list_transform({sql_list(INDUSTRIES)}, lambda x: trim(regexp_replace(regexp_replace(x, ',.+', ''), '\\s+', ' ', 'g'))) AS l)
+SELECT a.*, CAST(list_position(l, "Industry") AS INTEGER) AS "IndustryRank" FROM a, names""")
+def d9_two_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """Each valuation on a sheet of its own, in the same rows, and the labels in their published order."""
+    landed = accounts_grid(spark, sf, INDUSTRIES, "year")
+    sheets = {
+        "Current_2018based": landed.where("row_idx < 49").withColumn("row_idx", F.col("row_idx") - 2),
+        "Constant_2018based": landed.where("row_idx >= 49").withColumn("row_idx", F.col("row_idx") - 40)}
+    periods = [d.isoformat() for d in span(spark, sf, "year")]
+    return NA.build_accounts(sheets, TWO_SHEETS, periods, "Industry", "Year", 1, strip=NA.AFTER_COMMA, rank="IndustryRank")
+
+
 PC_LABELS = [
     "Per Capita Gross Domestic Product at current prices",
     "Per Capita Gross National Income at current prices",
@@ -614,6 +632,30 @@ SELECT m AS "Month", q AS "Quarter", t AS "TotalObligations", round(d, 2) AS "Do
 FROM un"""
 
 
+def debt_table_sql() -> str:
+    picks = []
+    for name in FI.DEBT_TABLE_LINES:
+        (status, flag), = [k for k, v in DEBT.items() if v == name]
+        picks.append(f"CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) FILTER (l_linestatus = '{status}' "
+                     f"""AND l_returnflag = '{flag}') AS DOUBLE) AS "{name.replace(' ', '')}\"""")
+    names = ", ".join(f'"{n.replace(" ", "")}"' for n in FI.DEBT_TABLE_LINES)
+    return ctes(GDP) + f""",
+q AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS m, {', '.join(picks)} FROM lineitem
+      WHERE l_linestatus || l_returnflag IN ({', '.join(f"'{s}{r}'" for (s, r), v in DEBT.items() if v in FI.DEBT_TABLE_LINES)}) GROUP BY 1),
+j AS (SELECT q.*, date_trunc('quarter', m)::DATE AS qt, NominalGDP AS g FROM q LEFT JOIN gdp ON gdp.Quarter = date_trunc('quarter', m)
+      WHERE month(m) IN (3, 6, 9, 12) AND year(m) >= {CUT_YEAR})
+SELECT m AS "Month", qt AS "Quarter", {names}, g AS "NominalGDP",
+       round(CASE WHEN count(g) OVER w = 4 THEN sum(g) OVER w END, 2) AS "NominalGDP4Q"
+FROM j WINDOW w AS (ORDER BY m ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)"""
+
+
+@query("d17_debt_table", debt_table_sql())
+def d17_table(spark: SparkSession, sf: str) -> DataFrame:
+    monthly_sheet, _ = debt_raw(spark, sf)
+    out = FI.debt_table(FI.monthly_long(monthly_sheet), gdp(spark, sf), CUT_YEAR)
+    return out.withColumn("NominalGDP4Q", F.round("NominalGDP4Q", 2))
+
+
 @query("d17_ngdebt", D17_SQL)
 def d17(spark: SparkSession, sf: str) -> DataFrame:
     monthly_sheet, yearly = debt_raw(spark, sf)

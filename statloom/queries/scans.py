@@ -202,6 +202,36 @@ def s10(spark: SparkSession, sf: str) -> DataFrame:
     return G.resolve_one(G.extract_links(table(spark, sf, "pages"), "", BASE), PATTERNS)
 
 
+RESOLVED = ctes(LINKS) + """,
+p AS (SELECT DISTINCT '/' || c_mktsegment || '$' AS name, c_mktsegment AS word FROM customer
+      UNION SELECT DISTINCT link, regexp_extract(link, '/([^/]*)$', 1) FROM links WHERE regexp_matches(link, '/[a-z]+$')),
+m AS (SELECT name, link FROM p JOIN links ON ends_with(link, '/' || word)),
+n AS (SELECT name, count(link) AS matches, min(link) AS first_link FROM p LEFT JOIN m USING (name) GROUP BY name)"""
+
+
+def link_patterns(links: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """A pattern for the last part of every link in small letters, and some that match nothing."""
+    word = F.regexp_extract("link", "/([^/]*)$", 1)
+    made = links.where(F.col("link").rlike("/[a-z]+$")).select(F.col("link").alias("name"), F.concat(F.lit("/"), word, F.lit("$")).alias("pattern"))
+    none = table(spark, sf, "customer").select(F.concat(F.lit("/"), "c_mktsegment", F.lit("$")).alias("name")).distinct()
+    return made.unionByName(none.select("name", F.col("name").alias("pattern")))
+
+
+@query("s10_resolve_first", RESOLVED + """
+SELECT name, matches, CASE matches WHEN 0 THEN 'missing' WHEN 1 THEN 'unique' ELSE 'ambiguous' END AS status, first_link AS link FROM n""")
+def s10_first(spark: SparkSession, sf: str) -> DataFrame:
+    links = G.extract_links(table(spark, sf, "pages"), "", BASE)
+    return G.resolve_links(links, link_patterns(links, spark, sf), "first")
+
+
+@query("s10_resolve_all", RESOLVED + """
+SELECT name, matches, CASE matches WHEN 0 THEN 'missing' WHEN 1 THEN 'unique' ELSE 'ambiguous' END AS status, link
+FROM n LEFT JOIN m USING (name)""")
+def s10_all(spark: SparkSession, sf: str) -> DataFrame:
+    links = G.extract_links(table(spark, sf, "pages"), "", BASE)
+    return G.resolve_links(links, link_patterns(links, spark, sf), "all")
+
+
 @query("s11_list_vintages", """
 SELECT DISTINCT o_orderstatus || '-' || year(o_orderdate) AS id,
        'Value of orders ' || year(o_orderdate) || ' by status' AS text,

@@ -2,43 +2,147 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.cols import named
+from ..functions.links import hrefs, resolved
 from ..functions.text import extract
 from ..operators.numbering import ranked
+from .workspace import stage
 
-HREF_RX = r'<a\b[^>]*?\bhref="([^"]*)"'
 LISTING_SCHEMA = "array<struct<id:string,type:string,text:string>>"
 
+#: Characters of the piece of a pattern by which links are looked up.
+PIECE = 3
+#: Patterns without such a piece are tested on every link, so there may not be many.
+MAX_OPEN = 200
 
-def extract_links(pages: DataFrame, suffix: str, base: str, html: str = "html") -> DataFrame:
-    """Distinct links of the pages that end in `suffix`; relative ones get `base`."""
-    links = pages.select(F.explode(F.regexp_extract_all(named(html), F.lit(HREF_RX), 1)).alias("href"))
-    absolute = F.when(F.col("href").startswith("http"), F.col("href")).otherwise(
-        F.concat(F.lit(base), F.col("href")))
-    return links.where(F.col("href").endswith(suffix)).select(absolute.alias("link")).distinct()
 
+def extract_links(
+    pages: DataFrame, suffix: str, base: str | Column, html: str = "html"
+) -> DataFrame:
+    """Distinct links of the pages that end in `suffix`, resolved against `base`, the address of the page or of all pages."""
+    at = F.lit(base) if isinstance(base, str) else base
+    links = pages.select(at.alias("__base"), F.explode(hrefs(html)).alias("href"))
+    return links.where(F.col("href").endswith(suffix)).select(resolved("__base", "href").alias("link")).distinct()
 
-def resolve_one(links: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
-    """Resolve each named pattern to a link, demanding exactly one match.
 
-    Each link emits only the patterns it matches; matches are counted before the shuffle.
+def required_text(pattern: str) -> str:
+    """The longest text that every match of a pattern surely holds; empty where none is sure.
+
+    It reads plain characters outside groups, classes and alternatives, and takes nothing from a pattern
+    with flags or quoted stretches: too short a text costs time, a wrong one would lose links.
+    """
+    if re.search(r"\(\?[a-zA-Z-]+[:)]|\\[QE]", pattern):
+        return ""
+    best, run, i, depth = "", "", 0, 0
+    while i < len(pattern):
+        c, plain, width = pattern[i], None, 1
+        if c == "|" and depth == 0:
+            return ""
+        if c == "\\":
+            following = pattern[i + 1:i + 2]
+            width = 2
+            if following and not following.isalnum():
+                plain = following
+            elif following in tuple("pPxucN0123456789k"):
+                return best if len(best) >= len(run) else run  # what such an escape takes up is not read
+        elif c == "[":
+            end = i + 1 + (pattern[i + 1:i + 2] == "^")
+            end += pattern[end:end + 1] == "]"
+            inner = 1
+            while end < len(pattern) and inner:
+                inner += {"[": 1, "]": -1}.get(pattern[end], 0)
+                end += 2 if pattern[end] == "\\" else 1
+            width = end - i
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c not in ".^$*+?{}":
+            plain = c
+        i += width
+        quantifier = re.match(r"[*+?]|\{[0-9]+(,[0-9]*)?\}", pattern[i:])
+        if quantifier:
+            i += quantifier.end()
+            i += pattern[i:i + 1] in ("?", "+")
+        if plain is None or depth:
+            best, run = (run if len(run) > len(best) else best), ""
+        elif quantifier is None:
+            run += plain
+        else:
+            sure = quantifier.group()[0] == "+" or re.match(r"\{0*[1-9]", quantifier.group())
+            run += plain if sure else ""
+            best, run = (run if len(run) > len(best) else best), ""
+    return run if len(run) > len(best) else best
+
+
+def pattern_pieces(patterns: DataFrame) -> DataFrame:
+    """(name, pattern, pieces): the pieces of the text that each pattern requires."""
+
+    def run(batches):
+        for b in batches:
+            for name, rx in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                text = required_text(rx)
+                pieces = sorted({text[k:k + PIECE] for k in range(len(text) - PIECE + 1)})
+                yield pa.RecordBatch.from_pylist([{"name": name, "pattern": rx, "pieces": pieces}], schema=schema)
+
+    schema = pa.schema([("name", pa.string()), ("pattern", pa.string()), ("pieces", pa.list_(pa.string()))])
+    given = patterns.select("name", "pattern").where("pattern IS NOT NULL")
+    return given.mapInArrow(run, "name string, pattern string, pieces array<string>")
+
+
+def matching_links(links: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(name, link) of every link that matches a pattern of (name, pattern).
+
+    A pattern meets only the links that hold its rarest required piece, found by an equi-join;
+    then the pattern itself decides. Links that stand nowhere in an index of pieces cost it nothing.
     """
-    tests = F.array(*[
-        F.when(F.col("link").rlike(rx), F.lit(name)) for name, rx in patterns.items()])
-    hits = links.select("link", F.explode(F.array_compact(tests)).alias("name"))
-    found = hits.groupBy("name").agg(
-        F.count("*").alias("matches"), F.min("link").alias("first_link"))
-    wanted = links.sparkSession.createDataFrame([(n,) for n in patterns], "name string")
+    own = stage(pattern_pieces(patterns), "patterns")
+    given = links.select("link").where("link IS NOT NULL").distinct()
+    places = F.sequence(F.lit(1), F.length("link") - (PIECE - 1))
+    pieces = stage(given.where(F.length("link") >= PIECE).select("link", F.explode(F.array_distinct(
+        F.transform(places, lambda i: F.substring("link", i, F.lit(PIECE))))).alias("piece")), "link-pieces")
+    wanted = own.select("name", "pattern", F.explode("pieces").alias("piece"))
+    counts = pieces.join(wanted.select("piece").distinct(), "piece", "left_semi").groupBy("piece").agg(F.count("*").alias("n"))
+    rarest = wanted.join(counts, "piece", "left").groupBy("name", "pattern").agg(
+        F.min_by("piece", F.struct(F.coalesce("n", F.lit(0)), "piece")).alias("piece"))
+    found = rarest.join(pieces, "piece").where(F.expr("link RLIKE pattern")).select("name", "link")
+    open_ones = own.where(F.size("pieces") == 0).select("name", "pattern").limit(MAX_OPEN + 1).collect()
+    if len(open_ones) > MAX_OPEN:
+        raise ValueError(f"more than {MAX_OPEN} patterns require no text of {PIECE} characters")
+    if open_ones:
+        tests = F.array(*[F.when(F.col("link").rlike(r.pattern), F.lit(r.name)) for r in open_ones])
+        found = found.unionByName(given.select(F.explode(F.array_compact(tests)).alias("name"), "link"))
+    return found.distinct()
+
+
+def resolve_links(links: DataFrame, patterns: DataFrame, how: str = "one") -> DataFrame:
+    """Links of each pattern of (name, pattern): `one` demands a single match, `first` takes the smallest, `all` has a row for each.
+
+    Every pattern has at least one row: name, matches, status (unique, missing, ambiguous), link.
+    """
+    if how not in ("one", "first", "all"):
+        raise ValueError(f"how is one, first or all, not {how!r}")
+    found = matching_links(links, patterns)
+    counted = found.groupBy("name").agg(F.count("*").alias("matches"), F.min("link").alias("first_link"))
     n = F.coalesce(F.col("matches"), F.lit(0))
-    return wanted.join(found, ["name"], "left").select(
-        "name", n.alias("matches"),
-        F.when(n == 1, "unique").when(n == 0, "missing").otherwise("ambiguous").alias("status"),
-        F.when(n == 1, F.col("first_link")).alias("link"))
+    status = F.when(n == 1, "unique").when(n == 0, "missing").otherwise("ambiguous")
+    out = patterns.select("name").distinct().join(counted, "name", "left").select(
+        "name", n.alias("matches"), status.alias("status"), "first_link")
+    if how == "all":
+        return out.join(found, "name", "left").select("name", "matches", "status", "link")
+    link = F.col("first_link") if how == "first" else F.when(F.col("status") == "unique", F.col("first_link"))
+    return out.select("name", "matches", "status", link.alias("link"))
+
+
+def resolve_one(links: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
+    """Resolve each named pattern to a link, demanding exactly one match."""
+    table = links.sparkSession.createDataFrame(list(patterns.items()), "name string, pattern string")
+    return resolve_links(links, table)
 
 
 def list_vintages(

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from statloom.operators.frames import in_ranges, sort_na_last
+from statloom.operators.frames import in_ranges, nth, sort_na_last
+from statloom.plans import accounts as NA
 from statloom.plans import trade as T
 from statloom.queries.common import trade_fact
 from statloom.sources import sinks as K
@@ -118,3 +119,30 @@ def test_versions_replace_each_other_whole(spark):
     assert {tuple(r) for r in K.verify_version(spark, folder, 1).collect()} == {("a", 5, True), ("b", 3, False)}
     with pytest.raises(KeyError):
         K.publish_version(one, ["absent"], folder)
+
+
+def test_nth_reads_one_range(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("v"), F.lit("x").alias("k")).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        want = sorted(r.v for r in df.collect())
+        for n in (1, 2, 777, 2500, 4999, 5000):
+            assert [r.v for r in nth(df, n, "k", "v").collect()] == [want[n - 1]]
+            assert [r.v for r in nth(df, n, "-v").collect()] == [want[-n]]
+        assert nth(df, 5001, "v").collect() == []
+        plan = nth(df, 2500, "v")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(__range" in plan
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_labels_of_two_sheets_are_ranked_by_first_appearance(spark):
+    def sheet(*rows):
+        return spark.createDataFrame([(i, list(r)) for i, r in rows], "row_idx int, cells array<string>")
+
+    grids = {"a": sheet((2, ("Zinc, all", "1", "2")), (3, ("Apples", "3", None))), "b": sheet((2, ("Apples", "5", "6")), (3, ("Mills", "7", "8")))}
+    blocks = [NA.Block("cur", 1, 2, "a"), NA.Block("con", 1, 2, "b")]
+    out = NA.build_accounts(grids, blocks, ["2000-01-01", "2001-01-01"], "Industry", "Year", 1, strip=NA.AFTER_COMMA, rank="r")
+    assert {(r.Industry, r.r) for r in out.collect()} == {("Zinc", 1), ("Apples", 2), ("Mills", 3)}
+    got = {(r.Valuation, r.Industry, r.Year.year): (r.MillionPesos, r.GrowthRate) for r in out.collect()}
+    assert got["cur", "Zinc", 2001] == (2.0, 1.0) and got["con", "Apples", 2000] == (5.0, None) and got["cur", "Apples", 2001] == (None, None)
