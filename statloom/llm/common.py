@@ -39,9 +39,17 @@ def parts_for(df: DataFrame, text: str, part_bytes: int = PART_BYTES) -> int:
     return max(1, math.ceil(total / part_bytes))
 
 
+def spread(text: Column, chars: int, parts: int = 8) -> Column:
+    """A text of at most `chars` characters whole; of a longer one `parts` stretches, `chars` in all, spread from its start to its end."""
+    piece = chars // parts
+    free = F.length(text) - piece
+    starts = [(F.floor(free * F.lit(i) / F.lit(parts - 1)) + 1).cast("int") for i in range(parts)]
+    return F.when(F.length(text) <= chars, text).otherwise(F.concat(*[F.substring(text, at, F.lit(piece)) for at in starts]))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_value: int, usable: Column | None = None,
-                    text: str = "text", key: str = "doc_id", text_bytes: int = 8000) -> DataFrame:
-    """(y, x): at most `per_value` labelled texts of each label 0 and 1, cut to `text_bytes` characters.
+                    text: str = "text", key: str = "doc_id", chars: int | None = None) -> DataFrame:
+    """(y, x): at most `per_value` labelled texts of each label 0 and 1; with `chars`, that much of each, from all over it.
 
     Labelled rows are taken by the smallest hash of their key, so the choice does not depend on
     their order; the bound does not depend on the table. Only this bounded list is broadcast.
@@ -53,5 +61,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_value: i
     for y in (0, 1):
         top = rows.where(F.col("y") == y).distinct().orderBy(F.xxhash64("k"), "k").limit(per_value)
         picked = top if picked is None else picked.unionByName(top)
-    texts = docs.select(F.col(key).alias("k"), F.substring(F.coalesce(F.col(text), F.lit("")), 1, text_bytes).alias("x"))
+    own = F.coalesce(F.col(text), F.lit(""))
+    texts = docs.select(F.col(key).alias("k"), (own if chars is None else spread(own, chars)).alias("x"))
     return texts.join(F.broadcast(picked), "k").orderBy(F.xxhash64("k"), "k", "x").limit(4 * per_value).select("y", "x")

@@ -4,9 +4,10 @@ A text's bytes are dealt into windows of a fixed length; in each, one network re
 one backwards, both states together give every position probabilities of the languages, and a
 document's probabilities are the mean over all its positions. The windows cover the whole text, so
 time is linear and memory bounded by one block of windows. Training is backpropagation through
-time, with Adam, in numpy on the driver: on at most `per_language` labelled texts of each language
-(those with the smallest hash of the text) and at most `train_chars` characters of each, a bound
-that does not grow with the table. Every document is then predicted from its whole text.
+time, with Adam, in numpy on the driver: on at most `per_language` distinct labelled texts of each language
+(those with the smallest hash of the text) and, of a long one, `train_chars` characters from all over it: a bound
+that grows with the number of languages and not with the table. Every labelled language is learned; the networks'
+states and the steps of training grow with their number. Every document is then predicted from its whole text.
 
 A null text, or one without a letter, gets `und` and score 0. With no labelled text at all every
 document gets `und`. Rows are treated one by one: repeated rows and ids give repeated rows. Other
@@ -15,13 +16,15 @@ columns are not looked at.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_batches
+from .common import map_batches, spread
 
 WINDOW = 64
 HIDDEN = 8
@@ -42,8 +45,9 @@ class ByteGru:
     Gates of a direction lie side by side: update z, reset r, candidate n.
     """
 
-    def __init__(self, labels: list[str], hidden: int = HIDDEN, seed: int = 7):
+    def __init__(self, labels: list[str], hidden: int | None = None, seed: int = 7):
         rng = np.random.default_rng(seed)
+        hidden = hidden or max(HIDDEN, 4 * math.ceil(math.log2(max(2, len(labels)))))
         self.labels, self.hidden = labels, hidden
         self.p = {"out": rng.normal(0, 0.3, (2 * hidden, len(labels))), "bias": np.zeros(len(labels))}
         for d in "fb":
@@ -144,8 +148,12 @@ class ByteGru:
         rng = np.random.default_rng(seed)
         m = {n: np.zeros_like(v) for n, v in self.p.items()}
         v = {n: np.zeros_like(w) for n, w in self.p.items()}
+        order = np.argsort(y, kind="stable")
+        sizes = np.bincount(y)
+        ends, present = np.cumsum(sizes), np.flatnonzero(sizes)
         for step in range(1, steps + 1):
-            at = rng.integers(0, len(x), batch)
+            c = rng.choice(present, batch)
+            at = order[ends[c] - sizes[c] + (rng.random(batch) * sizes[c]).astype(np.int64)]
             _, g = self.gradients(np.ascontiguousarray(x[at].T), y[at])
             lr = rate * min(1.0, 2 * (1 - step / (steps + 1)))
             for n, d in g.items():
@@ -176,9 +184,10 @@ class ByteGru:
 
     def _add(self, windows, owners, total) -> None:
         x, own = np.concatenate(windows), np.concatenate(owners)
-        for at in range(0, len(x), BLOCK):
-            o = own[at:at + BLOCK]
-            y = np.ascontiguousarray(x[at:at + BLOCK].T).astype(np.intp)
+        block = max(64, BLOCK * 8 // max(8, len(self.labels)))  # what is held grows with windows times labels
+        for at in range(0, len(x), block):
+            o = own[at:at + block]
+            y = np.ascontiguousarray(x[at:at + block].T).astype(np.intp)
             y[np.arange(WINDOW)[:, None] >= o[None, :, 1]] = 256
             np.add.at(total, o[:, 0], self.position_probabilities(y).T)
 
@@ -194,42 +203,39 @@ def cut(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return w.reshape(n, WINDOW), size
 
 
+def training_windows(text: bytes) -> np.ndarray:
+    """Windows that cover a whole text; the last one of a longer text lies back over the one before."""
+    w, size = cut(text)
+    if len(w) > 1 and size[-1] < WINDOW:
+        w[-1] = np.frombuffer(text[-WINDOW:], np.uint8)
+    return w
+
+
 def train(labelled: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", per_language: int = 150,
-          train_chars: int = 4096, steps: int = 400, max_languages: int = 200) -> ByteGru | None:
-    """The network, from a bounded sample of the labelled texts; None if there are none.
+          train_chars: int = 4096, steps: int | None = None) -> ByteGru | None:
+    """The network, from a bounded sample of the texts of every labelled language; None if there are none.
 
-    The sample is the `per_language` texts of each language with the smallest hash, cut to
-    `train_chars` characters; at most `max_languages` languages, the most frequent, are learned.
+    The sample is the `per_language` distinct texts of each language with the smallest hash; of long ones
+    `train_chars` characters. Equal texts are one, so copies do not fill it.
     """
     known = labelled.select(
         F.col(key).alias("k"), F.col(label).alias("y"), F.col(text).alias("x"),
     ).where("y IS NOT NULL AND x RLIKE '\\\\p{L}'")
-    names = [r.y for r in labelled.groupBy(F.col(label).alias("y")).count().where("y IS NOT NULL")
-             .orderBy(F.desc("count"), "y").limit(max_languages).collect()]
     # Spark keeps the first rows of each language in every task before it deals them by language.
-    first = Window.partitionBy("y").orderBy("o", "k")
+    first = Window.partitionBy("y").orderBy("o")
     picked = (
-        known.where(F.col("y").isin(names)).select("k", "y", F.xxhash64("x").alias("o"))
+        known.select("y", F.xxhash64("x").alias("o")).distinct()
         .withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).drop("n"))
-    rows = (
-        known.select("k", "y", F.xxhash64("x").alias("o"), F.substring("x", 1, train_chars).alias("x"))
-        .join(F.broadcast(picked.distinct()), ["k", "y", "o"]).orderBy("o", "k")
-        .limit(per_language * max(1, len(names))).collect())
+    texts = known.select("y", F.xxhash64("x").alias("o"), spread(F.col("x"), train_chars).alias("x"))
+    rows = texts.join(picked, ["y", "o"]).groupBy("y", "o").agg(F.min("x").alias("x")).orderBy("o", "y").collect()
     if not rows:
         return None
-    names = sorted({r.y for r in rows})
-    labels = sorted(names)
-    xs, ys = [], []
-    for r in rows:
-        w, size = cut(r.x.encode("utf-8"))
-        w = w[size == WINDOW] if (size == WINDOW).any() else w
-        xs.append(w)
-        ys.append(np.full(len(w), labels.index(r.y)))
-    x, y = np.concatenate(xs), np.concatenate(ys)
-    # Every language weighs the same, however long its texts are.
-    rng, most = np.random.default_rng(7), max(np.bincount(y))
-    pick = np.concatenate([rng.choice(np.flatnonzero(y == c), most) for c in range(len(labels))])
-    return ByteGru(labels).fit(x[pick], y[pick], steps)
+    labels = sorted({r.y for r in rows})
+    place = {y: i for i, y in enumerate(labels)}
+    xs = [training_windows(r.x.encode("utf-8")) for r in rows]
+    x, y = np.concatenate(xs), np.concatenate([np.full(len(w), place[r.y]) for w, r in zip(xs, rows)])
+    # Every language weighs the same, however long its texts are: one is drawn, then a window of it.
+    return ByteGru(labels).fit(x, y, steps or 400 + 2 * max(0, len(labels) - 8))
 
 
 def identify(docs: DataFrame, model: ByteGru | None, text: str = "text", key: str = "doc_id") -> DataFrame:

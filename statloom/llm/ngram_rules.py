@@ -72,7 +72,7 @@ def log_ratios(trusted: list[int], raw: list[int]) -> list[float]:
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> list[float]:
     """Log ratios of all buckets: trusted text is what `labels` calls good, raw text is all of `docs`."""
-    trusted = labelled_sample(docs, labels, "quality", TRUSTED, text=text, key=key, text_bytes=1 << 30)
+    trusted = labelled_sample(docs, labels, "quality", TRUSTED, text=text, key=key)
     return log_ratios(bucket_counts(trusted.where("y = 1"), "x"), bucket_counts(docs, text))
 
 

@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def op1_zstd_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    sample = labelled_sample(docs, labels, "quality", zstd_quality.PER_LABEL, crc_mod("k", 5) != 0)
+    sample = labelled_sample(docs, labels, "quality", zstd_quality.PER_LABEL, crc_mod("k", 5) != 0, chars=zstd_quality.TEXT_CHARS)
     scored = zstd_quality.score_quality(docs, zstd_quality.fit(sample))
     return scored.select(
         "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score",

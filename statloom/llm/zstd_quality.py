@@ -4,7 +4,7 @@ One dictionary is built from text labelled good, one from text labelled bad. A d
 pieces of `PIECE` bytes, each is compressed with both, and the score comes from
 (bytes with the bad dictionary - bytes with the good one) / bytes of the text, over the whole text,
 by a logistic curve fitted to labelled texts that neither dictionary has seen. The texts of fitting
-are a bounded sample: `per_label` of each label, the first 8,000 characters of each.
+are a bounded sample: `PER_LABEL` of each label, and of a long text `TEXT_CHARS` characters from all over it.
 
 Null and empty texts have the difference 0 and so the score of the curve at 0. Without good or
 without bad labelled texts, the score is the share of good labels, one added to either count. Rows are treated
@@ -27,6 +27,7 @@ DICTIONARY_BYTES = 112_640
 LEVEL = 3
 #: Labelled texts of each label that are fitted on, at most.
 PER_LABEL = 6_000
+TEXT_CHARS = 8_000
 
 _compressors: dict[bytes, object] = {}
 
