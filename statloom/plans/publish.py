@@ -30,7 +30,10 @@ DASHBOARD_TABLES = [
 
 def compile_dashboard(tables: Mapping[str, DataFrame], folder: str) -> list[str]:
     """Write the dashboard tables of a bundle and nothing else, as a new version of what is published."""
-    publish_version(tables, DASHBOARD_TABLES, folder, TABLE_ORDER)
+    order = {
+        n: keys for n, keys in TABLE_ORDER.items()
+        if n in tables and {k.lstrip("-") for k in keys} <= set(tables[n].columns)}
+    publish_version(tables, DASHBOARD_TABLES, folder, order)
     return list(DASHBOARD_TABLES)
 
 

@@ -15,14 +15,17 @@ from .common import (
 )
 from .registry import query
 
-# the five marginals of the trade records: partners, commodities, partners by chapter, and two slices of products
-MARGINAL_SPECS = {
-    "partner": A.Marginal(["year", "direction", "country"]),
-    "commodity": A.Marginal(["year", "direction", "classification", "code"]),
-    "partner_chapter": A.Marginal(["year", "direction", "country", "chapter"], F.col("classification") == "HS"),
-    "semiconductors": A.Marginal(["year", "direction", "country"], T.semi_heading("heading")),
-    "minerals": A.Marginal(["year", "direction", "country", "heading"], T.mineral_heading("heading")),
-}
+def marginal_specs() -> dict[str, A.Marginal]:
+    """The five marginals of the trade records: partners, commodities, partners by chapter, and two slices of products."""
+    return {
+        "partner": A.Marginal(["year", "direction", "country"]),
+        "commodity": A.Marginal(["year", "direction", "classification", "code"]),
+        "partner_chapter": A.Marginal(["year", "direction", "country", "chapter"], F.col("classification") == "HS"),
+        "semiconductors": A.Marginal(["year", "direction", "country"], T.semi_heading("heading")),
+        "minerals": A.Marginal(["year", "direction", "country", "heading"], T.mineral_heading("heading")),
+    }
+
+
 MARGINAL_SQL = f"""
 coded AS (
   SELECT *, CASE WHEN length(code) >= 10 THEN 'HS' ELSE 'PSCC' END AS classification,
@@ -46,7 +49,7 @@ def five_marginals(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         "heading": F.when(T.classification("code") == "HS", F.substring("code", 1, 4)),
     })
     rows = rows.withColumn("chapter", F.substring("heading", 1, 2))
-    return A.marginals(rows, MARGINAL_SPECS, "value", 2)
+    return A.marginals(rows, marginal_specs(), "value", 2)
 
 
 @query("a1_marginals", ctes(FACT, MARGINAL_SQL) + """

@@ -845,9 +845,9 @@ SELECT *, "MillionPesos" / nullif(lag("MillionPesos", 4) OVER (PARTITION BY "Val
 
 @query("d21_value_production", D21_SQL)
 def d21(spark: SparkSession, sf: str) -> DataFrame:
-    keys = [map_of("l_linestatus", {"F": "Current Prices", "O": "Constant Prices"}).alias("Valuation"),
-            F.concat(F.lit("..Sub "), F.col("l_linenumber").cast("string")).alias("Subsector")]
-    cells = agri_cells(spark, sf, keys, total("l_extendedprice", 2))
+    keys = {"Valuation": map_of("l_linestatus", {"F": "Current Prices", "O": "Constant Prices"}),
+            "Subsector": F.concat(F.lit("..Sub "), F.col("l_linenumber").cast("string"))}
+    cells = agri_cells(spark, sf, keys, cell=total("l_extendedprice", 2))
     return AG.build_value_production(
         pivot_wide(cells, ["Valuation", "Subsector"], "h", "cell", agri_heads(spark, sf)))
 
