@@ -1,14 +1,15 @@
 """Quality rules: base counts, and a hashed n-gram likelihood ratio of trusted against raw text.
 
-The n-grams are pairs of neighbouring words, each by its last two characters, hashed to `BUCKETS`
-buckets. The raw multinomial counts every n-gram of every document; the trusted one those of at most
-`TRUSTED` documents labelled good (a bounded sample; the smallest hashes of the ids). Both are
-smoothed alike. A document's ratio is the mean of log(trusted / raw) over its n-grams, so its length
-does not matter, and every document with a ratio of at least `THRESHOLD` passes: there is no draw.
+The n-grams are whole words and whole pairs of neighbouring words, hashed to `BUCKETS` buckets. The raw
+multinomial counts every n-gram of every document; the trusted one those of at most `TRUSTED`
+documents labelled good (a bounded sample; the smallest hashes of the ids). The trusted counts are
+shrunk towards the raw ones with the weight of `PRIOR` n-grams a bucket, so little trusted text gives
+ratios near 0 and a bucket that it never had by chance weighs little. A document's ratio is the mean of
+log(trusted / raw) over its n-grams, so its length does not matter, and every document with a ratio
+of at least `THRESHOLD` passes: there is no draw.
 
 All is built-in Spark expressions. The counts come back as one array of `BUCKETS` numbers, whatever
-the input's size. A null or empty text has no words and fails the base rule; a text of one word has
-ratio 0. Without trusted text every ratio is 0 and the base rule alone decides. Rows are judged one by
+the input's size. A null or empty text has no words, ratio 0, and fails the base rule. Without trusted text every ratio is 0 and the base rule alone decides. Rows are judged one by
 one, and stay whole with all their columns.
 """
 
@@ -21,12 +22,12 @@ from pyspark.sql import functions as F
 
 from .common import WORD, labelled_sample
 
-BUCKETS = 4096
+BUCKETS = 1 << 16
 TRUSTED = 4_000
-#: Share that smooths both multinomials.
-FLOOR = 1e-5
+#: Weight of the raw multinomial in the trusted one, in n-grams a bucket.
+PRIOR = 4.0
 #: Nats for each n-gram, below which a document goes.
-THRESHOLD = -0.2
+THRESHOLD = -0.1
 #: Fixed value: the characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 REPEAT = 8
@@ -42,20 +43,24 @@ def neighbours(a: Column, n: Column, step: int, f) -> Column:
     return F.zip_with(F.slice(a, 1, F.greatest(n - step, F.lit(0))), F.slice(a, step + 1, F.greatest(n - step, F.lit(0))), f)
 
 
-def endings(w: Column) -> Column:
-    return F.transform(w, lambda x: F.substring(x, -2, 2))
+def hashes(w: Column) -> Column:
+    return F.transform(w, lambda x: F.xxhash64(x))
 
 
-def bucket(a: Column, b: Column) -> Column:
-    return F.pmod(F.hash(a, b), F.lit(BUCKETS))
+def pairs(h: Column, n: Column, step: int = 1) -> Column:
+    """One hash for each element of an array of n hashes and the one `step` after it."""
+    return neighbours(h, n, step, lambda a, b: F.xxhash64(a, b))
+
+
+def buckets(words: Column, two: Column) -> Column:
+    """The bucket of every word and every pair, from their hashes."""
+    return F.transform(F.concat(words, two), lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int"))
 
 
 def bucket_counts(texts: DataFrame, text: str) -> list[int]:
     """How often each bucket occurs over all rows."""
-    w = texts.select(words(text).alias("w"))
-    ends = w.select(endings(F.col("w")).alias("e"))
-    found = ends.select(F.explode(neighbours(F.col("e"), F.size("e"), 1, bucket)).alias("b"))
-    rows = found.groupBy("b").count().collect()
+    h = texts.select(hashes(words(text)).alias("h"))
+    rows = h.select(F.explode(buckets(F.col("h"), pairs(F.col("h"), F.size("h")))).alias("b")).groupBy("b").count().collect()
     counts = [0] * BUCKETS
     for r in rows:
         counts[r.b] = r["count"]
@@ -63,11 +68,12 @@ def bucket_counts(texts: DataFrame, text: str) -> list[int]:
 
 
 def log_ratios(trusted: list[int], raw: list[int]) -> list[float]:
-    """log(trusted share / raw share) of each bucket, both raised by `FLOOR`."""
-    n, m = sum(trusted), sum(raw)
+    """log(trusted share / raw share) of each bucket; the raw counts are raised by 1, the trusted ones shrunk towards them."""
+    n, m, prior = sum(trusted), sum(raw), PRIOR * BUCKETS
     if not n or not m:
         return [0.0] * BUCKETS
-    return [math.log((t / n + FLOOR) / (r / m + FLOOR)) for t, r in zip(trusted, raw)]
+    share = [(r + 1) / (m + BUCKETS) for r in raw]
+    return [math.log((t + prior * p) / ((n + prior) * p)) for t, p in zip(trusted, share)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> list[float]:
@@ -81,18 +87,17 @@ def measured(docs: DataFrame, ratios: list[float], text: str = "text") -> tuple[
     name = "rules"
     while any(c.lower().startswith(name) for c in docs.columns):
         name += "_"
-    w, h, s, e, ls = (f"{name}_{x}" for x in ("words", "windows", "sorted", "ends", "lines"))
+    w, h, s, b, ls = (f"{name}_{x}" for x in ("words", "windows", "sorted", "buckets", "lines"))
     t = F.coalesce(F.col(text), F.lit(""))
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")  # folded to one constant
     df = docs.withColumn(w, words(text)).withColumn(ls, F.filter(F.split(t, "\n"), lambda x: x.rlike(WORD)))
-    df = df.withColumn(e, endings(F.col(w))).withColumn(h, F.transform(F.col(w), lambda x: F.xxhash64(x)))
-    total = F.aggregate(
-        neighbours(F.col(e), F.size(w), 1, lambda a, b: F.get(table, bucket(a, b))),
-        F.lit(0.0), lambda acc, x: acc + x)
-    size = 1
-    while size < REPEAT:  # hashes of 2, 4 and 8 neighbours
-        df = df.withColumn(h, neighbours(F.col(h), F.size(h), size, lambda a, b: F.xxhash64(a, b)))
+    df = df.withColumn(b, hashes(F.col(w))).withColumn(h, pairs(F.col(b), F.size(b)))
+    df = df.withColumn(b, buckets(F.col(b), F.col(h)))
+    size = 2
+    while size < REPEAT:  # hashes of 4 and 8 neighbours
+        df = df.withColumn(h, pairs(F.col(h), F.size(h), size))
         size *= 2
+    total = F.aggregate(F.col(b), F.lit(0.0), lambda acc, x: acc + F.get(table, x))
     # Windows in order of their hash, each with its place; equal neighbours are repeats.
     placed = F.array_sort(F.transform(F.col(h), lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
     df = df.withColumn(s, F.when(F.size(F.array_distinct(h)) < F.size(h), placed))
@@ -107,7 +112,7 @@ def measured(docs: DataFrame, ratios: list[float], text: str = "text") -> tuple[
         lambda acc: acc["n"])
     n_words = F.size(w).cast("long")
     repeats = F.coalesce(covered, F.lit(0)).cast("long")
-    llr = F.when(F.size(w) < 2, F.lit(0.0)).otherwise(total / (F.size(w) - 1))
+    llr = F.when(F.size(w) < 1, F.lit(0.0)).otherwise(total / F.size(b))
     facts = F.struct(
         n_words.alias("n_words"),
         F.length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),

@@ -167,6 +167,25 @@ def test_rules_ratio_keeps_good(spark):
     assert share[1] > 0.99 and share.get(0, 0) < 0.1
 
 
+def test_rules_judge_labels_that_they_were_not_fitted_on(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found, name = ngram_rules.measured(docs, ngram_rules.fit(docs, labels.where(~held)))
+    got = found.join(labels.where(held).select("doc_id", "quality"), "doc_id").where(~F.col(name)["base_failed"])
+    share = {r.quality: r.k for r in got.groupBy("quality").agg(F.avg(F.col(name)["kept"].cast("int")).alias("k")).collect()}
+    assert share[1] > 0.99 and share[0] < 0.1
+
+
+def test_rules_see_words_and_pairs(spark):
+    """Other words with the same endings, and the same words in another order, have other n-grams."""
+    good, other, turned = "red fox sees blue ox " * 8, "led box frees glue fox " * 8, "ox blue sees fox red " * 8
+    docs = spark.createDataFrame([(i, (good, other, turned)[i % 3]) for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 60, 3)], "doc_id bigint, quality int")
+    found, name = ngram_rules.measured(docs, ngram_rules.fit(docs, labels))
+    ratio = {r.k: r.r for r in found.groupBy((F.col("doc_id") % 3).alias("k")).agg(F.avg(F.col(name)["ratio"]).alias("r")).collect()}
+    assert ratio[0] > ratio[2] > ratio[1]
+
+
 def test_rules_edges(spark, edge, none):
     labels = spark.createDataFrame([(7, 1), (None, 1), (5, None)], "doc_id bigint, quality int")
     kept = ngram_rules.keep_good(edge, labels)
