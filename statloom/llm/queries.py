@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, collocations, decontaminate, fuzzy_lines, langid, ngram_rules, phrases, reputation, secrets_forest, setsketch, spelling, token_files, zstd_quality
+from . import bpe, collocations, decontaminate, exact_sql, fuzzy_lines, langid, ngram_rules, phrases, reputation, secrets_forest, setsketch, spelling, token_files, zstd_quality
 from .common import crc_mod, labelled_sample
 
 
@@ -129,4 +129,9 @@ QUERIES = {f.__name__: f for f in (op1_zstd_quality, op2_byte_bpe, op3_phrase_au
     op6_suffix_array_decontamination, op7_secret_forest,
     op8_host_reputation, op9_setsketch_near_duplicates, op10_byte_gru_language, op11_token_files,
     op12_toivonen_collocations, op13_partenum_spelling)}
-ORACLE_SQL: dict[str, str] = {op12_toivonen_collocations.__name__: collocations.oracle_sql()}
+ORACLE_SQL: dict[str, str] = {
+    op3_phrase_automata.__name__: exact_sql.PHRASES,
+    op6_suffix_array_decontamination.__name__: exact_sql.DECONTAMINATION,
+    op9_setsketch_near_duplicates.__name__: exact_sql.NEAR_DUPLICATES,
+    op12_toivonen_collocations.__name__: collocations.oracle_sql(),
+    op13_partenum_spelling.__name__: exact_sql.SPELLING}

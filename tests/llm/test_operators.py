@@ -15,6 +15,7 @@ from statloom.llm import (
     zstd_quality,
 )
 from statloom.llm.components import connected_components
+from tests.oracle import connect, differences
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -484,3 +485,9 @@ def test_pipeline(spark):
     kept = {r.doc_id for r in final.collect()}
     assert 700 < len(kept) < 1000 and kept < {r.doc_id for r in docs.collect()}
     assert final.select("doc_id").distinct().count() == final.count()
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL.keys() - {"op12_toivonen_collocations"}))
+def test_whole_tables_against_sql(spark, name):
+    sf = "/root/testdata/sf0.001"
+    assert differences(queries.QUERIES[name](spark, sf), connect(sf), queries.ORACLE_SQL[name]) == []
