@@ -8,11 +8,14 @@ their parents, within `WEIGHTS`. A url without a rule is blocked when the poster
 beta(a, b), puts the bad share above `LIMIT` with certainty: the lower bound, mean - `SPREAD`
 standard deviations, exceeds it.
 
-The registered domain is the last two labels of a host and the suffix is the last one; an address of
-numbers, and a name of one label, is its own domain. A host without labelled pages has the estimate
+A suffix is the last label of a host, or a longer name under which many domains register: one with at least
+`REGISTERED` names right below it that have hosts below themselves, as `co.uk` has. These are learned from all hosts, or
+given as a table. The registered domain is the suffix and the label before it. An address of numbers and a
+name of one label are their own domains, and addresses have the empty suffix. A host without labelled pages has the estimate
 of its domain, suffix or all pages, the closest that is known. Null urls and urls without `://` have
 the empty host and path, no rule, and are judged as a host of their own. Labels of unknown pages, null
-outcomes and null ids count nothing. Rows are judged one by one; repeated rows stay.
+outcomes and null ids count nothing. Rows are judged one by one, whatever the length of their urls; repeated rows stay, and
+repeated outcomes count each.
 """
 
 from __future__ import annotations
@@ -22,12 +25,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.workspace import stage
+
 #: Bad share from which a host is blocked.
 LIMIT = 0.5
 #: Standard deviations below the posterior mean.
 SPREAD = 1.64
 #: Least and largest weight of a prior, in pages.
 WEIGHTS = (2.0, 1000.0)
+#: Names with hosts below them that stand right below a suffix, at least.
+REGISTERED = 20
+ADDRESS = r"^[\d.]+$|^\["
 
 
 @dataclass(frozen=True)
@@ -56,13 +64,32 @@ def bare(host: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"(:\d*)?\.*$", "")
 
 
-def suffix_of(domain: Column) -> Column:
-    return F.substring_index(domain, ".", -1)
+def names_above(hosts: DataFrame) -> DataFrame:
+    """host, name, below: every name of two labels or more above a host, and the name right below it on the way to the host."""
+    labels = F.split("bare", r"\.")
+    n = F.size(labels)
+    ways = hosts.withColumn("bare", bare(F.col("host"))).where(~F.col("bare").rlike(ADDRESS) & (n > 2))
+    ways = ways.select("host", "bare", F.explode(F.sequence(F.lit(2), n - 1)).alias("k"))
+    below = F.expr("substring_index(bare, '.', -k - 1)")
+    return ways.select("host", F.expr("substring_index(bare, '.', -k)").alias("name"), below.alias("below"), (F.col("bare") != below).alias("deeper"))
+
+
+def suffixes_of(hosts: DataFrame, registered: int = REGISTERED) -> DataFrame:
+    """name: the suffixes of two labels or more that the hosts show."""
+    return names_above(hosts).where("deeper").select("name", "below").distinct().groupBy("name").count().where(
+        F.col("count") >= registered).select("name")
 
 
-def domain_of(host: Column) -> Column:
-    name = bare(host)
-    return F.when(name.rlike(r"^[\d.]+$|^\["), name).otherwise(F.substring_index(name, ".", -2))
+def with_domains(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """Distinct hosts with their suffix, the longest that is known, and their registered domain."""
+    known = names_above(hosts).join(suffixes.distinct(), "name").groupBy("host").agg(
+        F.max(F.struct(F.length("name").alias("size"), "name", "below")).alias("up"))
+    name = bare(F.col("host"))
+    address = name.rlike(ADDRESS)
+    return hosts.join(known, "host", "left").select(
+        *hosts.columns,
+        F.when(address, name).otherwise(F.coalesce("up.below", F.substring_index(name, ".", -2))).alias("domain"),
+        F.when(address, "").otherwise(F.coalesce("up.name", F.substring_index(name, ".", -1))).alias("suffix"))
 
 
 def rule_of(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Column]:
@@ -91,11 +118,14 @@ def _shrunk(children: DataFrame, parents: DataFrame | float, parent: str = "") -
     return both.withColumn("mean", a / (a + b)).withColumn("deviation", F.sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))).drop("prior")
 
 
-def estimate(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, float]:
-    """Posteriors of hosts, domains and suffixes, and the mean of all, from rows (host, bad: 0 or 1)."""
-    # Pages are counted by host first; all levels above sum these counts.
-    hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.sum("bad").alias("bad")).where("n > 0")
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("domain")))
+def counts(outcomes: DataFrame) -> DataFrame:
+    """host, n, bad: labelled pages of each host; pages are counted here once, and all levels above sum these counts."""
+    found = outcomes.groupBy(F.coalesce("host", F.lit("")).alias("host")).agg(F.count("bad").alias("n"), F.sum("bad").alias("bad"))
+    return found.where("n > 0")
+
+
+def estimate(hosts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, float]:
+    """Posteriors of hosts, domains and suffixes, and the mean of all, from rows (host, domain, suffix, n, bad)."""
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(F.sum("n"), F.sum("bad")).first()
@@ -105,21 +135,25 @@ def estimate(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, floa
     return _shrunk(hosts, d, "domain"), d, s, mean
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules: list[Rule], url: str = "url", suffixes: DataFrame | None = None) -> DataFrame:
     """All rows of `pages` with host, path, rule, verdict, bad_share and lower_bound.
 
-    `outcomes` has rows (host, bad). Columns of `pages` with these names are replaced.
+    `outcomes` has rows (host, bad); `suffixes` rows (name), learned from the hosts if not given. Columns of
+    `pages` with the new names are replaced.
     """
-    hosts, domains, suffixes, mean = estimate(outcomes)
     names = ["host", "path", "rule", "verdict", "bad_share", "lower_bound"]
     kept = pages.drop(*(c for c in pages.columns if c.lower() in names))
-    # Each host is judged once, then the verdict is joined to its pages.
-    seen = pages.select(host_of(url).alias("host")).distinct()
-    seen = seen.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("domain")))
+    # Each host is counted and judged once, then the verdict is joined to its pages.
+    labelled = counts(outcomes)
+    hosts = pages.select(host_of(url).alias("host")).distinct().join(labelled, "host", "full").select(
+        "host", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("bad", F.lit(0)).alias("bad"))
+    hosts = stage(hosts, "url-hosts")
+    hosts = stage(with_domains(hosts, suffixes_of(hosts) if suffixes is None else suffixes), "url-domains")
+    level_1, level_2, level_3, mean = estimate(hosts.where("n > 0"))
     level = lambda df, key, n: df.select(key, F.col("mean").alias(f"m{n}"), F.col("deviation").alias(f"d{n}"))
     judged = (
-        seen.join(level(hosts, "host", 1), "host", "left").join(level(domains, "domain", 2), "domain", "left")
-        .join(level(suffixes, "suffix", 3), "suffix", "left")
+        hosts.join(level(level_1, "host", 1), "host", "left").join(level(level_2, "domain", 2), "domain", "left")
+        .join(level(level_3, "suffix", 3), "suffix", "left")
         .select("host", F.coalesce("m1", "m2", "m3", F.lit(mean)).alias("bad_share"), F.coalesce("d1", "d2", "d3", F.lit(0.5)).alias("_d"))
         .select("host", "bad_share", F.greatest(F.col("bad_share") - SPREAD * F.col("_d"), F.lit(0.0)).alias("lower_bound")))
     rows = kept.withColumn("host", host_of(url)).withColumn("path", path_of(url)).join(judged, "host", "left")

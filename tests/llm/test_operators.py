@@ -391,6 +391,62 @@ def test_urls(spark):
     assert reputation.judge(pages.limit(0), bad, []).count() == 0
 
 
+def brute_reputation(outcomes, home):
+    """host: (bad share, lower bound) by the docstring's rules over plain dictionaries; home: host -> (domain, suffix)."""
+    levels = [defaultdict(lambda: [0, 0]) for _ in range(3)]
+    for host, bad in outcomes:
+        domain, suffix = home(host)
+        for level, name in zip(levels, (suffix, (domain, suffix), (host, domain, suffix))):
+            level[name][0] += 1
+            level[name][1] += bad
+    mean = (sum(b for _, b in levels[0].values()) + 0.5) / (len(outcomes) + 1)
+    found, above = {}, lambda name: mean
+    for level in levels:
+        prior = {name: above(name) for name in level}
+        s = sum(n * (b / n - prior[x]) ** 2 for x, (n, b) in level.items())
+        v = sum(prior[x] * (1 - prior[x]) for x in level)
+        w = sum(prior[x] * (1 - prior[x]) * (n - 1) for x, (n, _) in level.items())
+        weight = min(max(w / (s - v) - 1 if w > 0 and s > v else 1000.0, 2.0), 1000.0)
+        post = {x: (prior[x] * weight + b, (1 - prior[x]) * weight + n - b) for x, (n, b) in level.items()}
+        found = {x: (a / (a + b), (a * b / ((a + b) ** 2 * (a + b + 1))) ** 0.5) for x, (a, b) in post.items()}
+        above = (lambda f: lambda name: f[name[1] if len(name) == 2 else name[1:]][0])(found)
+    return {x[0]: (m, max(0.0, m - 1.64 * d)) for x, (m, d) in found.items()}
+
+
+def test_reputation_of_planted_hosts(spark):
+    """Rates differ by host, domain and suffix; co.zz is a suffix as many domains register there, alone.zz is not."""
+    rng, outcomes = random.Random(5), []
+    for d in range(30):
+        for sub in ("www", "blog"):
+            rate = 0.95 if d == 3 else 0.6 if d < 6 else 0.05
+            outcomes += [(f"{sub}.site{d}.co.zz", int(rng.random() < rate)) for _ in range(rng.randrange(3, 60))]
+    outcomes += [(f"h{k}.alone.zz", int(rng.random() < 0.1)) for k in range(25) for _ in range(8)]
+    outcomes += [("10.0.0.1", 1)] * 30 + [("plain", 0)] * 5
+
+    def home(host):
+        if host == "10.0.0.1":
+            return host, ""
+        labels = host.split(".")
+        k = 2 if host.endswith(".co.zz") else 1
+        return ".".join(labels[-k - 1:]), ".".join(labels[-k:])
+
+    want = brute_reputation(outcomes, home)
+    long = "http://www.site3.co.zz/" + "x/" * 100_000
+    pages = spark.createDataFrame([(k, f"http://{h}/p") for k, h in enumerate(want)] + [(900, long), (900, long)], "page_id int, url string")
+    rows = reputation.judge(pages, spark.createDataFrame(outcomes, "host string, bad int"), []).collect()
+    assert len(rows) == len(want) + 2
+    for r in rows:
+        share, bound = want[r.host]
+        assert abs(r.bad_share - share) < 1e-9 and abs(r.lower_bound - bound) < 1e-9
+        assert r.verdict == ("block" if bound > 0.5 else "allow")
+    blocked = {r.host for r in rows if r.verdict == "block"}
+    assert {"www.site3.co.zz", "blog.site3.co.zz", "10.0.0.1"} <= blocked and not any("alone" in h or "site9" in h for h in blocked)
+    given = spark.createDataFrame([("alone.zz",)], "name string")
+    hosts = spark.createDataFrame([("h1.alone.zz",), ("www.site3.co.zz",), ("zz",), ("",)], "host string")
+    got = {r.host: (r.domain, r.suffix) for r in reputation.with_domains(hosts, given).collect()}
+    assert got == {"h1.alone.zz": ("h1.alone.zz", "alone.zz"), "www.site3.co.zz": ("co.zz", "zz"), "zz": ("zz", "zz"), "": ("", "")}
+
+
 def brute_components(rows):
     sets = {}
     for i, t in rows.items():
