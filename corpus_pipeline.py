@@ -52,7 +52,7 @@ STAGES = [
     ("byte_bpe", byte_bpe),
 ]
 
-#: Signatures, near duplicates and merges are beyond SQL; tests/llm compares run() with brute force.
+#: Signatures and merges are beyond SQL; tests/llm compares the stages' operators with brute force, and of run() the share that is kept.
 ORACLE_SQL = None
 
 
