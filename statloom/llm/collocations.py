@@ -80,7 +80,8 @@ def count_phrases(words: Words, max_words: int, now: Known, before: Known | None
     """(k, phrases, counts) of each length: the phrases that a pass has to count.
 
     A first pass counts all words and the phrases whose parts are both known now. A further one counts the phrases whose parts
-    were not both known before, and each are known now or counted by this pass.
+    were not both known before, and each are known now or counted by this pass. A part that only this pass counts was not known
+    before, even if it shares its bit with a known one: the first pass never got to it.
     """
     names = [b"", *list(words.numbers)[1:]]
     at = np.concatenate(words.parts)
@@ -103,7 +104,7 @@ def count_phrases(words: Words, max_words: int, now: Known, before: Known | None
         if before is None:
             yield k, longer, f
         else:
-            was = before(names)
+            was = before(names) & ~fresh
             new = ~(was[left] & was[right])
             some = np.flatnonzero(new)
             yield k, [longer[i] for i in some.tolist()], f[some]

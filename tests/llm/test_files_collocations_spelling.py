@@ -191,6 +191,19 @@ def test_bits_in_common_add_rows_and_change_no_count(spark, documents, monkeypat
     assert got == want
 
 
+@pytest.mark.parametrize("bits", [64, 256, 1024])
+def test_bits_in_common_hide_no_phrase_of_the_closing_pass(spark, monkeypatch, bits):
+    """Phrases of words that the sample never saw, while other phrases' bits make the first pass seem to have counted their parts."""
+    monkeypatch.setattr(collocations, "BITS", bits)
+    rng = random.Random(bits)
+    rows = [(i, " ".join(f"w{rng.randrange(30)}" for _ in range(30)), rng.choice(["en", None])) for i in range(300)]
+    rows += [(900 + j, (" ".join(f"r{rng.randrange(40)}" for _ in range(5)) + ". ") * 31, "en") for j in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    want, _ = brute_frequent([(t, l) for _, t, l in rows], 30, 4)
+    got = {(r.lang, r.k, r.phrase): r.f for r in collocations.frequent_phrases(docs).where("k > 0").collect()}
+    assert got == want
+
+
 def test_collocations_edges(spark, edge):
     want, sizes = brute_frequent([(r.text, r.lang) for r in edge.collect()], 2, 4)
     got = {(r.lang, r.k, r.phrase): r.f for r in collocations.frequent_phrases(edge, 2, 4).collect()}
