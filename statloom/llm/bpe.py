@@ -14,14 +14,15 @@ rows, and other columns are not looked at.
 from __future__ import annotations
 
 import base64
-from itertools import chain
+import struct
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import map_batches
 
-#: Pieces remembered by a worker (about 100 MB); a full store is emptied before the next text. Changes no result.
+#: Pieces and pairs that a task remembers at most, of each so many; a full store is emptied before the next text, and all
+#: of it when the task ends: a worker outlives its tasks, and waits beside others. Changes no result.
 CACHE_PIECES = 500_000
 #: Rows of one returned batch, so that ids and texts of few rows are held at once.
 ROWS_OUT = 500
@@ -30,13 +31,13 @@ _codecs: dict[tuple[bytes, str], BytePairCodec] = {}
 
 
 class Pieces(dict):
-    """Encoded pieces; a missing one is encoded, and remembered unless it is long."""
+    """Packed ids of pieces; a missing one is encoded, and remembered unless it is long."""
 
     def __init__(self, encode_piece):
         self.encode_piece = encode_piece
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        found = self.encode_piece(piece.encode("utf-8"))
+    def __missing__(self, piece: str) -> bytes:
+        found = packed(self.encode_piece(piece.encode("utf-8")))
         if len(piece) <= 64:
             self[piece] = found
         return found
@@ -62,7 +63,7 @@ class BytePairCodec:
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by left << 32 | right
         self.shorter: dict[int, int | None] = {}
         self.pieces = Pieces(self.encode_piece)
 
@@ -106,9 +107,9 @@ class BytePairCodec:
                     break
             else:
                 fits = True
-        if len(self.fits) > 4 * CACHE_PIECES:
+        if len(self.fits) > CACHE_PIECES:
             self.fits.clear()
-        self.fits[left, right] = fits
+        self.fits[left << 32 | right] = fits
         return fits
 
     def prefix_of(self, token: int) -> int | None:
@@ -135,7 +136,7 @@ class BytePairCodec:
                 if at == 0:
                     ok = self.split(token) is not None
                 else:
-                    ok = fits.get((tokens[-1], token))
+                    ok = fits.get(tokens[-1] << 32 | token)
                     if ok is None:
                         ok = self.adjacent(tokens[-1], token)
                 if ok:
@@ -157,9 +158,19 @@ class BytePairCodec:
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; none for a missing one."""
+        ids = self.encode_packed(text)
+        return list(struct.unpack(f"<{len(ids) // 4}I", ids))
+
+    def encode_packed(self, text: str | None) -> bytes:
+        """The same as little-endian unsigned 32-bit integers."""
         if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
-        return list(chain.from_iterable(map(self.pieces.__getitem__, self.find_pieces(text or ""))))
+        return b"".join(map(self.pieces.__getitem__, self.find_pieces(text or "")))
+
+    def forget(self) -> None:
+        """Empty what was remembered of texts."""
+        self.pieces.clear()
+        self.fits.clear()
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -173,11 +184,21 @@ def codec(rank_file: bytes, pattern: str) -> BytePairCodec:
     return _codecs[rank_file, pattern]
 
 
-def packed(ids: list[int]) -> bytes:
+def packed(ids: tuple[int, ...]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    import numpy as np
+    return struct.pack(f"<{len(ids)}I", *ids)
+
 
-    return np.asarray(ids, "<u4").tobytes()
+def encoded(own: BytePairCodec, batches, key: str):
+    """(key, ids) of all batches of a task; nothing of its texts is kept after it."""
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_OUT):
+                part = batch.slice(at, ROWS_OUT)
+                ids = [own.encode_packed(x.as_py()) for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=[key, "ids"])
+    finally:
+        own.forget()
 
 
 def encode_documents(docs: DataFrame, rank_path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -188,15 +209,11 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, text: str =
     with open(rank_path, "rb") as f:
         ranks = docs.sparkSession.sparkContext.broadcast(f.read())
 
-    def run(batch: pa.RecordBatch):
-        own = codec(ranks.value, pattern)
-        for at in range(0, batch.num_rows, ROWS_OUT):
-            part = batch.slice(at, ROWS_OUT)
-            ids = [packed(own.encode(x.as_py())) for x in part.column(1)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=[key, "ids"])
+    def run(batches):
+        return encoded(codec(ranks.value, pattern), batches, key)
 
     kind = docs.select(key).schema[0].dataType.simpleString()
-    return map_batches(docs.select(key, text), run, f"{key} {kind}, ids binary")
+    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, ids binary")
 
 
 def decode_documents(tokens: DataFrame, rank_path: str, pattern: str, key: str = "doc_id") -> DataFrame:

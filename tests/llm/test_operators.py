@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -547,3 +548,13 @@ def test_pipeline(spark):
 def test_whole_tables_against_sql(spark, name):
     sf = "/root/testdata/sf0.001"
     assert differences(queries.QUERIES[name](spark, sf), connect(sf), queries.ORACLE_SQL[name]) == []
+
+
+def test_bpe_workers_keep_nothing_of_texts(bpe_files):
+    with open(bpe_files[0], "rb") as f:
+        own = bpe.BytePairCodec(f.read(), bpe_files[1])
+    text = "abcxyz qwertyuiopas notaword"
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})
+    (out,) = bpe.encoded(own, [batch], "doc_id")
+    assert own.decode(np.frombuffer(out.column(1)[0].as_py(), "<u4").tolist()) == text.encode()
+    assert not own.pieces and not own.fits
