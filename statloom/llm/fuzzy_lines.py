@@ -1,8 +1,8 @@
 """Fuzzy line dedup: MinHash of character shingles, banding, exact Jaccard, union-find.
 
-A line's shingles are `CHARS` characters from every word start (of a shorter word, as much of the
-next one as fits) and from every place inside a longer word, with a single blank between words, in lower case:
-every character is in a shingle. Equal lines (128-bit hash) are one node. Links are pairs of nodes that share a band and whose
+A line's shingles are `CHARS` characters from every place of it, with a single blank between words, in lower case; a shorter line is
+one shingle. With `WORD_STARTS` they are those from every word start (of a shorter word, as much of the next one as fits) and from
+every place inside a longer word: fewer, but every character is in one. Equal lines (128-bit hash) are one node. Links are pairs of nodes that share a band and whose
 exact Jaccard similarity of shingle sets is at least `SIMILARITY`. Each node's signature has `BANDS` x `BAND_ROWS`
 minima: a pair of similarity 0.8 shares a band with a chance of 1 - (1 - 0.8^2)^8 = 0.9997. Pairs are compared in two rounds.
 
@@ -29,6 +29,7 @@ missing id comes before all others. Columns keep their names and order.
 from __future__ import annotations
 
 import math
+import random
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +42,10 @@ CHARS = 12
 BANDS = 8
 BAND_ROWS = 2
 PIVOTS = 3
+#: Where shingles start: at every place of a line, or at its words.
+EVERY_PLACE, WORD_STARTS = "every place", "word starts"
 #: Words of 64 bits in the bit maps of the two rounds.
-WORDS, MORE_WORDS = 2, 8
+WORDS, MORE_WORDS = 4, 8
 SIMILARITY = 0.8
 #: Classes of shingles that are counted for their order, and which part of the lines (one in so many) counts.
 CLASSES = 1 << 16
@@ -57,8 +60,23 @@ def single_blanks(line: str) -> Column:
     return F.lower(F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
 
 
-def shingles(line: str) -> Column:
+def code_points(line: str) -> Column:
+    """A line as four bytes for each character, so that any stretch of it is found at once."""
+    return F.encode(F.trim(single_blanks(line)), "UTF-32")
+
+
+def places(points: Column) -> Column:
+    """The first bytes of all shingles, counted from 1."""
+    return F.sequence(F.lit(1), F.greatest(F.octet_length(points) - (4 * CHARS - 1), F.lit(1)), F.lit(4))
+
+
+def shingles(line: str, at: str) -> Column:
     """Hashes of the set of character shingles of a line."""
+    if at == EVERY_PLACE:
+        # An array of one element names the code points, so that they are not worked out for every shingle.
+        found = F.transform(F.array(code_points(line)), lambda p: F.transform(
+            places(p), lambda x: F.xxhash64(F.substring(p, x, F.lit(4 * CHARS)))))
+        return F.array_distinct(F.get(found, F.lit(0)))
     found = F.regexp_extract_all(single_blanks(line), F.lit(SHINGLE), F.lit(1))
     return F.array_distinct(F.transform(found, lambda x: F.xxhash64(F.substring(x, 1, CHARS))))
 
@@ -70,17 +88,21 @@ def lines_of(docs: DataFrame, text: str, key: str) -> DataFrame:
     return rows.where(F.col("line").rlike(WORD))
 
 
-def line_shingles(lines: DataFrame) -> DataFrame:
+def line_shingles(lines: DataFrame, at: str) -> DataFrame:
     """(node, first, s): the shingles of each line as rows, those of `shingles`; `first` is true in one row of each line.
 
     Rows and not arrays, so that all of it is compiled into one loop with the sums over it.
     """
+    if at == EVERY_PLACE:
+        of = lines.select(F.xxhash64("line").alias("node"), code_points("line").alias("points"))
+        rows = of.select("node", "points", F.explode(places(F.col("points"))).alias("place"))
+        return rows.select("node", (F.col("place") == 1).alias("first"), F.xxhash64(F.substring("points", F.col("place"), F.lit(4 * CHARS))).alias("s"))
     words = F.split(F.trim(single_blanks("line")), " ", -1)
     of = lines.select(F.xxhash64("line").alias("node"), words.alias("w"))
     two = of.select("node", F.posexplode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.size("w")).alias("b"))).alias("at", "z"))
-    places = F.when(F.length("z.a") > CHARS, F.sequence(F.lit(1), F.length("z.a") - (CHARS - 1))).otherwise(F.array(F.lit(1)))
+    starts = F.when(F.length("z.a") > CHARS, F.sequence(F.lit(1), F.length("z.a") - (CHARS - 1))).otherwise(F.array(F.lit(1)))
     both = F.concat("z.a", F.coalesce(F.concat(F.lit(" "), "z.b"), F.lit("")))
-    rows = two.select("node", "at", both.alias("both"), F.explode(places).alias("place"))
+    rows = two.select("node", "at", both.alias("both"), F.explode(starts).alias("place"))
     return rows.select(
         "node", ((F.col("at") == 0) & (F.col("place") == 1)).alias("first"),
         F.xxhash64(F.substring("both", F.col("place"), F.lit(CHARS))).alias("s"))
@@ -105,22 +127,32 @@ def differ_little(a: str, b: str, words: int) -> Column:
     return bits * (1 + SIMILARITY) <= (F.col(f"{a}size") + F.col(f"{b}size")) * (1 - SIMILARITY) + 1e-6
 
 
-def line_buckets(lines: DataFrame) -> DataFrame:
-    """(node, key, size, bits0, bits1): the bands of each node (64-bit hash of a line) that another node has too, and its bit map.
+def masks() -> list[int]:
+    """One number for each minimum; each begins with other four bits."""
+    rng = random.Random(1)
+    return [((k << 60) | rng.getrandbits(60)) - (1 << 63) for k in range(BANDS * BAND_ROWS)]
 
-    `size` counts equal shingles of a line apart. A row with key null says that the line itself stands in more than one place.
+
+def line_buckets(lines: DataFrame, at: str) -> DataFrame:
+    """(node, key, size, bits0 ..): the bands of each node (64-bit hash of a line) that another node has too, and its bit map.
+
+    A minimum is that of the shingles' hashes after an exclusive or with its mask: as hashes are evenly spread, each shingle of
+    two sets is the least with the same chance. `size` counts equal shingles of a line apart. A row with key null says
+    that the line itself stands in more than one place.
     """
-    least = [F.min(F.xxhash64("s", F.lit(k))).alias(f"m{k}") for k in range(BANDS * BAND_ROWS)]
-    nodes = line_shingles(lines).groupBy("node").agg(
+    least = [F.min(F.col("s").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(masks())]
+    nodes = line_shingles(lines, at).groupBy("node").agg(
         F.count(F.when(F.col("first"), 1)).alias("n"), F.count("s").alias("rows"),
         *(F.bit_or(bit_of(F.col("s"), k, WORDS)).alias(f"bits{k}") for k in range(WORDS)), *least)
     bands = [F.xxhash64(F.lit(b), *(f"m{b * BAND_ROWS + r}" for r in range(BAND_ROWS))) for b in range(BANDS)]
     size = F.expr("cast(rows div n as int)").alias("size")  # every place of a line has the same shingles
     signed = stage(nodes.select("node", "n", F.array(*bands).alias("keys"), size, *map_names(WORDS)[1:]), "line-keys")
-    keyed = signed.select("node", F.explode("keys").alias("key"), *map_names(WORDS))
+    keyed = signed.select("node", F.explode("keys").alias("key"))
     again = signed.where("n > 1").select("node", F.lit(None).cast("bigint").alias("key"), *map_names(WORDS))
     shared = keyed.groupBy("key").agg(F.count("key").alias("members")).where("members > 1").select("key")
-    return keyed.join(shared, "key").select("node", "key", *map_names(WORDS)).unionByName(again)
+    # Bit maps join the bands that are left, not all.
+    members = keyed.join(shared, "key").join(signed.select("node", *map_names(WORDS)), "node")
+    return members.select("node", "key", *map_names(WORDS)).unionByName(again)
 
 
 def candidate_pairs(buckets: DataFrame) -> DataFrame:
@@ -150,17 +182,17 @@ def unsettled(buckets: DataFrame, comps: DataFrame) -> DataFrame:
     return members.join(mixed.where("k > 3 AND low <> high").select("key"), "key", "left_semi").select("node").distinct()
 
 
-def class_levels(lines: DataFrame) -> Column:
+def class_levels(lines: DataFrame, at: str) -> Column:
     """How frequent the shingles of each class are, in quarters of powers of two: one constant of fixed size."""
     some = lines.where(F.pmod(F.xxhash64("line"), F.lit(COUNTED)) == 0)
-    rows = some.select(F.explode(shingles("line")).alias("s")).groupBy(F.pmod("s", F.lit(CLASSES)).alias("c")).count().collect()
+    rows = some.select(F.explode(shingles("line", at)).alias("s")).groupBy(F.pmod("s", F.lit(CLASSES)).alias("c")).count().collect()
     levels = [0] * CLASSES
     for r in rows:
         levels[r.c] = round(4 * math.log2(1 + r["count"]))
     return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<bigint>")  # folded to one constant
 
 
-def prefixes(lines: DataFrame) -> DataFrame:
+def prefixes(lines: DataFrame, at: str) -> DataFrame:
     """(node, size, bits, prefix): of each distinct line its bit map and the first shingles, in one order for all, by which links are found.
 
     A bit of this map is the parity of the shingles that fall on it, so it tells large sets apart as well.
@@ -168,8 +200,8 @@ def prefixes(lines: DataFrame) -> DataFrame:
     Of sets x and y, y not larger, with a similarity t or more, at least t * |x| and at least 2 t / (1 + t) * |y| shingles
     are shared. So the first |x| - t |x| + 1 of x and the first |y| - 2 t / (1 + t) |y| + 1 of y share one.
     """
-    levels = class_levels(lines)
-    sets = stage(lines.select(F.xxhash64("line").alias("node"), shingles("line").alias("s")), "line-sets")
+    levels = class_levels(lines, at)
+    sets = stage(lines.select(F.xxhash64("line").alias("node"), shingles("line", at).alias("s")), "line-sets")
     # The level is above the hash, so that the order is that of whole numbers.
     ordered = F.sort_array(F.transform("s", lambda x: F.shiftleft(F.get(levels, F.pmod(x, F.lit(CLASSES)).cast("int")), 55).bitwiseOR(
         F.shiftrightunsigned(x, 9))))
@@ -180,9 +212,9 @@ def prefixes(lines: DataFrame) -> DataFrame:
     return first.join(maps, "node")
 
 
-def other_pairs(lines: DataFrame, comps: DataFrame) -> DataFrame:
+def other_pairs(lines: DataFrame, comps: DataFrame, at: str) -> DataFrame:
     """(a, b): all pairs of distinct lines in different components that may be links."""
-    of = prefixes(lines).join(comps.select(F.col("id").alias("node"), "component"), "node", "left")
+    of = prefixes(lines, at).join(comps.select(F.col("id").alias("node"), "component"), "node", "left")
     of = stage(of.withColumn("comp", F.coalesce("component", "node")).drop("component"), "line-prefixes")
     rows = of.select("node", *map_names(MORE_WORDS), "comp", F.posexplode("prefix").alias("at", "s"))
     # Members outside a shingle's largest component meet all of the other components: copies never meet each other again.
@@ -193,54 +225,58 @@ def other_pairs(lines: DataFrame, comps: DataFrame) -> DataFrame:
     both = q.join(rows, "s").where((F.col("q_comp") != F.col("comp")) & ((F.col("comp") == F.col("main")) | (F.col("q_node") < F.col("node"))))
     small, large = F.least("size", "q_size"), F.greatest("size", "q_size")
     smaller = F.struct("size", "node", "at") < F.struct("q_size", "q_node", "q_at")
-    at = F.when(smaller, F.col("at")).otherwise(F.col("q_at"))
-    both = both.where(differ_little("", "q_", MORE_WORDS) & (small >= SIMILARITY * large) & (at <= small - F.ceil(small * (2 * SIMILARITY / (1 + SIMILARITY)) - 1e-6)))
+    place = F.when(smaller, F.col("at")).otherwise(F.col("q_at"))
+    both = both.where(differ_little("", "q_", MORE_WORDS) & (small >= SIMILARITY * large) & (place <= small - F.ceil(small * (2 * SIMILARITY / (1 + SIMILARITY)) - 1e-6)))
     return both.select(F.least("node", "q_node").alias("a"), F.greatest("node", "q_node").alias("b")).distinct()
 
 
-def links(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+def links(pairs: DataFrame, lines: DataFrame, at: str) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of `SIMILARITY` or more."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = lines.select(F.xxhash64("line").alias("node"), "line").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("line").alias("line"))
-    sets = stage(texts.select("node", shingles("line").alias("s")), "line-sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared >= SIMILARITY * (F.size("x") + F.size("y") - shared)).select("a", "b")
-
-
-def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(id, text_hash, pos, component): the lines that go, of every row."""
+    # Texts are joined and not their sets, which are several times as large.
+    texts = stage(texts, "line-texts")
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
+    # Generated rows are borders for the optimizer: the filter does not work the sets out anew.
+    both = both.select("a", "b", F.explode(F.array(F.struct(shingles("x", at).alias("x"), shingles("y", at).alias("y")))).alias("s"))
+    both = both.select("a", "b", F.explode(F.array(F.struct(
+        F.size(F.array_intersect("s.x", "s.y")).alias("shared"), (F.size("s.x") + F.size("s.y")).alias("sizes")))).alias("n"))
+    return both.where(F.col("n.shared") >= SIMILARITY * (F.col("n.sizes") - F.col("n.shared"))).select("a", "b")
+
+
+def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", at: str = WORD_STARTS) -> DataFrame:
+    """(id, text_hash, pos, component): the lines that go, of every row. `at` says where shingles start."""
     lines = lines_of(docs, text, key)
-    buckets = stage(line_buckets(lines), "line-buckets")
-    found = stage(links(stage(candidate_pairs(buckets), "line-pairs"), lines), "line-links")
+    buckets = stage(line_buckets(lines, at), "line-buckets")
+    found = stage(links(stage(candidate_pairs(buckets), "line-pairs"), lines, at), "line-links")
     comps = stage(connected_components(found), "line-components")
     open_nodes = stage(unsettled(buckets, comps), "line-open")
     if not open_nodes.isEmpty():
         some = lines.withColumn("node", F.xxhash64("line")).join(open_nodes, "node", "left_semi")
         some = stage(some.groupBy("node").agg(F.first("line").alias("line")).select("line"), "line-texts")
-        more = stage(links(stage(other_pairs(some, comps), "line-pairs"), some), "line-links")
+        more = stage(links(stage(other_pairs(some, comps, at), "line-pairs"), some, at), "line-links")
         if not more.isEmpty():
             comps = stage(connected_components(found.unionByName(more)), "line-components")
     # From here on only lines that stand twice or have a link are looked at: no other can repeat.
     nodes = comps.select(F.col("id").alias("node")).union(buckets.where("key IS NULL").select("node")).distinct()
     places = lines.withColumn("node", F.xxhash64("line")).join(nodes, "node", "left_semi")
     # Lines of one component, or equal in all 128 bits, share (component, second hash or none).
-    at = places.select("id", "text_hash", "pos", "node", F.xxhash64(F.lit(1), "line").alias("second"))
+    found = places.select("id", "text_hash", "pos", "node", F.xxhash64(F.lit(1), "line").alias("second"))
     named = comps.select(F.col("id").alias("node"), "component")
-    at = at.join(named, "node", "left").select(
+    found = found.join(named, "node", "left").select(
         "id", "text_hash", "pos", F.coalesce("component", "node").alias("component"),
         F.when(F.col("component").isNull(), F.col("second")).alias("second"))
-    at = stage(at, "lines").withColumn("place", F.struct("id", "pos", "text_hash"))
-    first = at.groupBy("component", "second").agg(F.min("place").alias("first"), F.count("pos").alias("n")).where("n > 1")
+    found = stage(found, "lines").withColumn("place", F.struct("id", "pos", "text_hash"))
+    first = found.groupBy("component", "second").agg(F.min("place").alias("first"), F.count("pos").alias("n")).where("n > 1")
     first = first.select(F.col("component").alias("of"), F.coalesce("second", F.lit(0)).alias("of_second"), "first")
-    both = at.join(first, (F.col("component") == F.col("of")) & (F.coalesce("second", F.lit(0)) == F.col("of_second")))
+    both = found.join(first, (F.col("component") == F.col("of")) & (F.coalesce("second", F.lit(0)) == F.col("of_second")))
     return both.where(~F.col("place").eqNullSafe(F.col("first"))).select("id", "text_hash", "pos", "component").distinct()
 
 
-def drop_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", at: str = WORD_STARTS) -> DataFrame:
     """All rows with all their columns, their texts without the lines that go."""
-    gone = repeated_lines(docs, text, key).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone"))
+    gone = repeated_lines(docs, text, key, at).groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone"))
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("row_id"), F.xxhash64(text).alias("row_hash"))
     both = rows.join(gone, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_hash") == F.col("text_hash")), "left")
     own = F.col("row").getField(text)

@@ -48,7 +48,7 @@ def op4_ngram_ratio_rules(spark: SparkSession, sf: str) -> DataFrame:
 def op5_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with its text after the lines that repeat went, and how many did."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    gone = fuzzy_lines.repeated_lines(docs)
+    gone = fuzzy_lines.repeated_lines(docs, at=fuzzy_lines.EVERY_PLACE)
     left = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")))
     count = gone.groupBy(F.col("id").alias("doc_id"), "text_hash").agg(F.count("pos").alias("n_removed"), F.sort_array(F.collect_set("pos")).alias("removed"))
     both = left.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "n_lines").join(count, ["doc_id", "text_hash"], "left")

@@ -257,6 +257,45 @@ def test_fuzzy_lines_look_at_all_characters(spark):
     assert [r.id for r in fuzzy_lines.repeated_lines(docs).collect()] == [7]
 
 
+def test_fuzzy_lines_of_every_place(spark):
+    """Links by the characters from every place of a line, against brute force; the starts of words alone give others."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abc\u00e9\u6f22\U0001f600") for _ in range(rng.choice([1, 2, 5, 9, 15])))
+    rows = []
+    for _ in range(60):
+        w = [word() for _ in range(rng.choice([1, 2, 6, 30]))]
+        for _ in range(4):
+            near = list(w)
+            for _ in range(rng.randrange(3)):
+                near[rng.randrange(len(near))] = word()
+            rows.append(rng.choice([" ", "  ", "\t"]).join(near))
+
+    def grams(line):
+        x = " ".join(WORD.findall(line)).lower()
+        return {x[i:i + 12] for i in range(max(1, len(x) - 11))}
+
+    lines = spark.createDataFrame([(x,) for x in rows], "line string")
+    sizes = {r.node: r.n for r in fuzzy_lines.line_shingles(lines, fuzzy_lines.EVERY_PLACE).groupBy("node").agg(F.countDistinct("s").alias("n")).collect()}
+    assert sizes == {r.node: len(grams(r.line)) for r in lines.select("line", F.xxhash64("line").alias("node")).collect()}
+
+    sets, root = [grams(x) for x in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 10 * len(x & sets[j]) >= 8 * len(x | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    got = {at: {r.id for r in fuzzy_lines.repeated_lines(docs, at=at).collect()} for at in (fuzzy_lines.EVERY_PLACE, fuzzy_lines.WORD_STARTS)}
+    want = {i for i in range(len(rows)) if find(i) != i}
+    assert got[fuzzy_lines.EVERY_PLACE] == want != got[fuzzy_lines.WORD_STARTS] and len(want) > 50
+
+
 def test_fuzzy_lines_edges(edge, none):
     got = fuzzy_lines.drop_repeated_lines(edge)
     assert got.columns == edge.columns
