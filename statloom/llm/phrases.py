@@ -23,10 +23,9 @@ Other columns are not looked at.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +39,8 @@ PART_BYTES = 8 << 20
 SHARD_WORDS = 2_000_000
 NO_ID = np.iinfo(np.int64).max
 
-WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MIX2 = np.uint64(0xBF58476D1CE4E5B9)
-_KEPT_WORDS = 1_000_000
 
 
 class WordHashes(dict):
@@ -85,24 +82,38 @@ def sliding_min(a: np.ndarray, n: int) -> np.ndarray:
 
 
 class Texts:
-    """Words of some documents one after the other, and their windows."""
+    """Words of some documents one after the other, and their windows.
+
+    `flat` has the words, `number` says for each which distinct word it is; those of document i are from `begin[i]` to `begin[i + 1]`.
+    """
 
     def __init__(self, ids, texts):
-        if len(_hashes) > _KEPT_WORDS:
-            _hashes.clear()
+        import xxhash
+
         self.ids = np.array([NO_ID if i is None else i for i in ids], np.int64)
-        self.words = [WORD_BYTES.findall(t.encode("utf-8")) if t else [] for t in texts]
-        length = np.array([len(w) for w in self.words], np.int64)
-        self.begin = np.concatenate([[0], np.cumsum(length)])
-        hashed = np.empty(self.begin[-1], np.uint64)
-        for w, at in zip(self.words, self.begin):
-            hashed[at:at + len(w)] = np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))
+        column = texts if isinstance(texts, pa.ChunkedArray) else pa.chunked_array([pa.array(texts, pa.string())])
+        # Splits at runs of the ASCII white space of the contract; texts that begin or end with it have empty words there.
+        split = pc.ascii_split_whitespace(column.cast(pa.large_string()).combine_chunks())
+        found = split.flatten()
+        filled = pc.greater(pc.binary_length(found), 0)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False), dtype=np.int64)])
+        self.begin = before[np.concatenate([[0], ends])]
+        self.flat = found.filter(filled).cast(pa.large_binary())
+        coded = self.flat.dictionary_encode()
+        self.number = coded.indices.to_numpy()
+        words = coded.dictionary.to_numpy(zero_copy_only=False)
+        hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[self.number]
         self.hashed = hashed
+        length = np.diff(self.begin)
         doc = np.repeat(np.arange(len(length)), length)
         n = max(0, len(hashed) - WINDOW + 1)
         self.starts = np.flatnonzero(doc[:n] == doc[WINDOW - 1:][:n])  # windows inside one document
         self.doc = doc[self.starts]
 
+    def __len__(self) -> int:
+        return len(self.ids)
+
     def windows(self) -> np.ndarray:
         return rolling(self.hashed, WINDOW)[self.starts]
 
@@ -114,6 +125,9 @@ class Texts:
 
 def distinct(h: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct hashes in order, with their smallest and largest id."""
+    if len(h):  # neighbours often have the same anchor
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (ids[1:] != ids[:-1])])
+        h, ids = h[new], ids[new]
     order = np.lexsort((ids, h))
     h, ids = h[order], ids[order]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
@@ -200,17 +214,32 @@ def passages(texts: Texts, h: np.ndarray, owner: np.ndarray):
     return list(zip(doc[new].tolist(), (s[new] - texts.begin[doc[new]]).tolist(), (s[last] - s[new] + WINDOW).tolist(), np.maximum.reduceat(own, new).tolist()))
 
 
+def _stretches(texts: Texts, phrases) -> list[tuple[int, int, tuple[int, ...]]]:
+    """(document, first word, word numbers): runs of `WINDOW` words or more that all stand in passages; no other run holds one."""
+    known = np.zeros(len(texts.flat) + 1, bool)
+    for key in phrases:
+        known[list(key)] = True
+    inside = known[texts.number]
+    found = []
+    for doc, (a, b) in enumerate(zip(texts.begin.tolist(), texts.begin[1:].tolist())):
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], inside[a:b], [False]]).view(np.int8)))
+        first, last = edge[::2], edge[1::2]
+        long = last - first >= WINDOW
+        found += [(doc, x, tuple(texts.number[a + x:a + y].tolist())) for x, y in zip(first[long].tolist(), last[long].tolist())]
+    return found
+
+
 def remove(texts: Texts, h: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
-    """For each document which words go, found by streaming all documents through the automata."""
+    """For each document which words go, found by streaming all documents through the automata, but for words that no passage has."""
     import ahocorasick
 
-    gone = [np.zeros(len(w) + 1, np.int32) for w in texts.words]
-    number: dict[bytes, int] = {}
-    rows = [tuple(number.setdefault(x, len(number)) for x in w) if len(w) >= WINDOW else () for w in texts.words]
+    gone = [np.zeros(n + 1, np.int32) for n in np.diff(texts.begin).tolist()]
+    ids = texts.ids.tolist()
     phrases: dict[tuple[int, ...], int] = {}
     for doc, at, n, own in passages(texts, h, owner):
-        key = rows[doc][at:at + n]
+        key = tuple(texts.number[texts.begin[doc] + at:texts.begin[doc] + at + n].tolist())
         phrases[key] = min(own, phrases.get(key, own))
+    rows = _stretches(texts, phrases)
     shard, size = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE), 0
     left = len(phrases)
     for key, own in phrases.items():
@@ -219,12 +248,12 @@ def remove(texts: Texts, h: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
         if size < SHARD_WORDS and left:
             continue
         shard.make_automaton()
-        for row, edge, doc_id in zip(rows, gone, texts.ids.tolist()):
-            if row:
-                for end, (n, own_of) in shard.iter(row):
-                    if own_of < doc_id:
-                        edge[end + 1 - n] += 1
-                        edge[end + 1] -= 1
+        for doc, at, row in rows:
+            edge, doc_id = gone[doc], ids[doc]
+            for end, (n, own_of) in shard.iter(row):
+                if own_of < doc_id:
+                    edge[at + end + 1 - n] += 1
+                    edge[at + end + 1] -= 1
         shard, size = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE), 0
     return [np.cumsum(e[:-1]) > 0 for e in gone]
 
@@ -236,15 +265,20 @@ def _results(texts: Texts, ids, h: np.ndarray, owner: np.ndarray):
     gone = remove(texts, h, owner)
     for at in range(0, len(gone), 500):
         part = range(at, min(at + 500, len(gone)))
-        spans, kept = [], []
+        spans = []
         for i in part:
-            edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[i].view(np.int8), [0]])))
-            spans.append([{"first": a, "words": b - a} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())])
-            kept.append(b" ".join([w for w, g in zip(texts.words[i], gone[i].tolist()) if not g]) if len(edge) else b" ".join(texts.words[i]))
+            edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[i].view(np.int8), [0]]))) if gone[i].any() else ()
+            spans.append([{"first": int(a), "words": int(b - a)} for a, b in zip(edge[::2], edge[1::2])])
+        stays = ~np.concatenate([gone[i] for i in part])
+        first, last = texts.begin[part.start], texts.begin[part.stop]
+        kept = texts.flat[first:last].filter(pa.array(stays))
+        ends = np.concatenate([[0], np.cumsum(stays)])[texts.begin[part.start:part.stop + 1] - first]
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), kept)
         yield pa.table({
-            "doc_id": pa.array([ids[i] for i in part], pa.int64()), "n_words": pa.array([len(texts.words[i]) for i in part], pa.int64()),
+            "doc_id": pa.array([ids[i] for i in part], pa.int64()), "n_words": pa.array(np.diff(texts.begin)[at:part.stop], pa.int64()),
             "n_removed": pa.array([int(gone[i].sum()) for i in part], pa.int64()),
-            "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))), "kept": pa.array(kept, pa.binary())})
+            "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))),
+            "kept": pc.binary_join(lists, pa.scalar(b" ", pa.large_binary())).cast(pa.binary())})
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", part_bytes: int = PART_BYTES) -> DataFrame:
@@ -260,19 +294,19 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", par
             of = t["part"].to_numpy()
             for part in np.unique(of):
                 mine = t.filter(pa.array(of == part))
-                texts = Texts(mine["id"].to_pylist(), mine["text"].to_pylist())
+                texts = Texts(mine["id"].to_pylist(), mine["text"])
                 yield from _sent(int(part), texts.anchors(), texts.ids[texts.doc], parts).to_batches()
 
     def send_windows(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table({"bucket": pa.array([], pa.int64()), "part": pa.array([], pa.int64()), "entries": pa.array([], pa.binary())})
-        texts = Texts(left["id"].to_pylist(), left["text"].to_pylist())
+        texts = Texts(left["id"].to_pylist(), left["text"])
         shared, _ = _looked_up(texts.anchors(), _found(right, np.uint64)[0])
         return _sent(left["part"][0].as_py(), texts.windows()[shared], texts.ids[texts.doc[shared]], parts)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = left["id"].to_pylist()
-        texts = Texts(ids, left["text"].to_pylist())
+        texts = Texts(ids, left["text"])
         done = list(_results(texts, ids, *_found(right, np.uint64, np.int64)))
         return pa.concat_tables(done) if done else pa.table({
             "doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()),

@@ -140,6 +140,16 @@ def test_phrases_in_small_automata(docs, texts, monkeypatch):
     assert [int(g.sum()) for g in gone] == [30, 0, 15]
 
 
+def test_phrases_stream_only_words_of_passages():
+    passage = [f"p{k}" for k in range(15)]
+    t = phrases.Texts([1, 2, None, 4], [" ".join(passage), "\n a\x1cb \x00 " + "\x0b ".join(passage) + "\tc p1 p2\r", None, " "])
+    assert t.begin.tolist() == [0, 15, 35, 35, 35] and [x.decode() for x in t.flat.to_pylist()[15:17]] == ["a\x1cb", "\x00"]
+    key = tuple(t.number[:15].tolist())
+    assert phrases._stretches(t, {key: 1}) == [(0, 0, key), (1, 2, key)]
+    h = np.unique(t.windows()[:3])
+    assert [g.tolist() for g in phrases.remove(t, h, np.ones(3, np.int64))] == [[False] * 15, [False] * 2 + [True] * 15 + [False] * 3, [], []]
+
+
 def test_phrases_edges(edge, none):
     got = Counter((r.doc_id, r.n_words, r.n_removed) for r in phrases.remove_repeats(edge).collect())
     assert got[7, 16, 0] == 2 and got[None, 16, 16] == 1 and got[6, 30000, 30000] == 1 and got[1, 0, 0] == 1
