@@ -8,15 +8,15 @@ minima: a pair of similarity 0.8 shares a band with a chance of 1 - (1 - 0.8^2)^
 
 1. In a bucket every member is compared with up to `2 * PIVOTS` pivots, members of smallest and largest hash in that band.
    This joins copies at a few pairs each, and gives components.
-2. Buckets of four or more members that still hold different components may hide pairs that were not compared. All pairs of
-   their members that lie in different components are looked for by exact prefixes: in one order of all
-   shingles, two sets of enough similarity share one of their first shingles (`prefixes`). So no
-   link inside a bucket is missed, and no bucket is compared all with all. The order is rarest first, so lines of one
+2. Buckets of four or more members that still hold different components may hide pairs that were not compared. In
+   buckets of up to `DIRECT` members all pairs that lie in different components are compared. Those of larger
+   buckets are looked for by exact prefixes: in one order of all shingles, two sets of enough similarity share one of their first shingles (`prefixes`). So no
+   link inside a bucket is missed, and no larger bucket is compared all with all. The order is rarest first, so lines of one
    template, which differ by more than a link may, meet only where they share a rare shingle. Shingles' counts are from a part of
    the lines: the order decides what it costs, never what is found.
 
 A pair is verified only if bit maps of its sets (`differ_little`) leave a link open: each differing bit is a shingle that only one
-set has. This rules out no link, and most of what is none.
+set has. This rules out no link, and most of what is none. Maps are made of the lines that are in pairs, once each.
 
 Of each component the first line (smallest id, then place) stays and the others go.
 
@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +45,10 @@ BAND_ROWS = 2
 PIVOTS = 3
 #: Where shingles start: at every place of a line, or at its words.
 EVERY_PLACE, WORD_STARTS = "every place", "word starts"
-#: Words of 64 bits in the bit maps of the two rounds.
-WORDS, MORE_WORDS = 4, 8
+#: Buckets of more members are searched by prefixes.
+DIRECT = 512
+#: Words of 64 bits in the bit maps of pairs, and of sets that are searched by prefixes.
+WORDS, MORE_WORDS = 16, 8
 SIMILARITY = 0.8
 #: Classes of shingles that are counted for their order, and which part of the lines (one in so many) counts.
 CLASSES = 1 << 16
@@ -57,7 +60,10 @@ SHINGLE = rf"(?=([^ ]{{{CHARS}}}|(?<![^ ])[^ ]+(?: [^ ]{{1,{CHARS - 2}}})?))(?:[
 
 
 def single_blanks(line: str) -> Column:
-    return F.lower(F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " "))
+    """A line in lower case with a blank for each run of ASCII white space; most lines have no other and skip the regular expression."""
+    others = [F.contains(F.col(line), F.lit(x)) for x in ("  ", "\t", "\n", "\x0b", "\x0c", "\r")]
+    single = F.regexp_replace(line, r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ")
+    return F.lower(F.when(reduce(lambda a, b: a | b, others), single).otherwise(F.col(line)))
 
 
 def code_points(line: str) -> Column:
@@ -134,29 +140,35 @@ def masks() -> list[int]:
 
 
 def line_buckets(lines: DataFrame, at: str) -> DataFrame:
-    """(node, key, size, bits0 ..): the bands of each node (64-bit hash of a line) that another node has too, and its bit map.
+    """(node, key): the bands of each node (64-bit hash of a line) that another node has too.
 
     A minimum is that of the shingles' hashes after an exclusive or with its mask: as hashes are evenly spread, each shingle of
-    two sets is the least with the same chance. `size` counts equal shingles of a line apart. A row with key null says
-    that the line itself stands in more than one place.
+    two sets is the least with the same chance. A row with key null says that the line itself stands in more than one place.
     """
     least = [F.min(F.col("s").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(masks())]
-    nodes = line_shingles(lines, at).groupBy("node").agg(
-        F.count(F.when(F.col("first"), 1)).alias("n"), F.count("s").alias("rows"),
-        *(F.bit_or(bit_of(F.col("s"), k, WORDS)).alias(f"bits{k}") for k in range(WORDS)), *least)
+    nodes = line_shingles(lines, at).groupBy("node").agg(F.count(F.when(F.col("first"), 1)).alias("n"), *least)
     bands = [F.xxhash64(F.lit(b), *(f"m{b * BAND_ROWS + r}" for r in range(BAND_ROWS))) for b in range(BANDS)]
-    size = F.expr("cast(rows div n as int)").alias("size")  # every place of a line has the same shingles
-    signed = stage(nodes.select("node", "n", F.array(*bands).alias("keys"), size, *map_names(WORDS)[1:]), "line-keys")
+    signed = stage(nodes.select("node", (F.col("n") > 1).alias("again"), F.array(*bands).alias("keys")), "line-keys")
     keyed = signed.select("node", F.explode("keys").alias("key"))
-    again = signed.where("n > 1").select("node", F.lit(None).cast("bigint").alias("key"), *map_names(WORDS))
+    again = signed.where("again").select("node", F.lit(None).cast("bigint").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("key").alias("members")).where("members > 1").select("key")
-    # Bit maps join the bands that are left, not all.
-    members = keyed.join(shared, "key").join(signed.select("node", *map_names(WORDS)), "node")
-    return members.select("node", "key", *map_names(WORDS)).unionByName(again)
+    return keyed.join(shared, "key").select("node", "key").unionByName(again)
+
+
+def line_maps(texts: DataFrame, at: str) -> DataFrame:
+    """(node, size, bits0 ..): the bit map of each distinct line. `size` counts equal shingles of a line apart."""
+    return line_shingles(texts, at).groupBy("node").agg(
+        F.count("s").cast("int").alias("size"), *(F.bit_or(bit_of(F.col("s"), k, WORDS)).alias(f"bits{k}") for k in range(WORDS)))
+
+
+def texts_of(lines: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, line): the lines of these nodes, once each."""
+    found = lines.select(F.xxhash64("line").alias("node"), "line").join(nodes, "node", "left_semi")
+    return stage(found.groupBy("node").agg(F.first("line").alias("line")), "line-texts")
 
 
 def candidate_pairs(buckets: DataFrame) -> DataFrame:
-    """(a, b): nodes that share a band, one of them a pivot of the bucket, and may be a link."""
+    """(a, b): nodes that share a band, one of them a pivot of the bucket."""
     # Pivots are the smallest and the largest of hashes that differ from band to band.
     orders = [F.xxhash64(F.lit(k), "key", "node") for k in range(PIVOTS)]
     members = buckets.where("key IS NOT NULL")
@@ -165,21 +177,29 @@ def candidate_pairs(buckets: DataFrame) -> DataFrame:
     is_pivot = F.lit(False)
     for k, o in enumerate(orders):
         is_pivot = is_pivot | (o == F.col(f"low{k}")) | (o == F.col(f"high{k}"))
-    own = members.join(pivots, "key").where(is_pivot).select(
-        "key", F.col("node").alias("pivot"), *(F.col(c).alias(f"p_{c}") for c in map_names(WORDS)))
-    pairs = members.join(own, "key").where((F.col("node") != F.col("pivot")) & differ_little("", "p_", WORDS))
+    own = members.join(pivots, "key").where(is_pivot).select("key", F.col("node").alias("pivot"))
+    pairs = members.join(own, "key").where(F.col("node") != F.col("pivot"))
     return pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
 def unsettled(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """(node): members of buckets with pairs that were not compared and lie in different components.
+    """(node, key, comp, k): members of buckets of k with pairs that were not compared and lie in different components.
 
     Of three members every pair has a pivot.
     """
     members = buckets.where("key IS NOT NULL").join(comps.select(F.col("id").alias("node"), "component"), "node", "left")
     members = members.select("node", "key", F.coalesce("component", "node").alias("comp"))
     mixed = members.groupBy("key").agg(F.count("node").alias("k"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    return members.join(mixed.where("k > 3 AND low <> high").select("key"), "key", "left_semi").select("node").distinct()
+    return members.join(mixed.where("k > 3 AND low <> high").select("key", "k"), "key").select("node", "key", "comp", "k")
+
+
+def direct_pairs(members: DataFrame, maps: DataFrame) -> DataFrame:
+    """(a, b): all pairs of a bucket that lie in different components and may be links."""
+    rows = members.select("key", "node", "comp").join(maps, "node")
+    other = rows.select("key", *(F.col(c).alias(f"q_{c}") for c in ("node", "comp", *map_names(WORDS))))
+    both = rows.join(other, "key").where(
+        (F.col("node") < F.col("q_node")) & (F.col("comp") != F.col("q_comp")) & differ_little("", "q_", WORDS))
+    return both.select(F.col("node").alias("a"), F.col("q_node").alias("b")).distinct()
 
 
 def class_levels(lines: DataFrame, at: str) -> Column:
@@ -230,12 +250,15 @@ def other_pairs(lines: DataFrame, comps: DataFrame, at: str) -> DataFrame:
     return both.select(F.least("node", "q_node").alias("a"), F.greatest("node", "q_node").alias("b")).distinct()
 
 
-def links(pairs: DataFrame, lines: DataFrame, at: str) -> DataFrame:
+def may_link(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+    """The pairs that their bit maps do not rule out."""
+    of = [maps.select(F.col("node").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in map_names(WORDS))) for n in "ab"]
+    return pairs.join(of[0], "a").join(of[1], "b").where(differ_little("a_", "b_", WORDS)).select("a", "b")
+
+
+def links(pairs: DataFrame, texts: DataFrame, at: str) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of `SIMILARITY` or more."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = lines.select(F.xxhash64("line").alias("node"), "line").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("line").alias("line"))
     # Texts are joined and not their sets, which are several times as large.
-    texts = stage(texts, "line-texts")
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
     # Generated rows are borders for the optimizer: the filter does not work the sets out anew.
@@ -249,15 +272,19 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", at:
     """(id, text_hash, pos, component): the lines that go, of every row. `at` says where shingles start."""
     lines = lines_of(docs, text, key)
     buckets = stage(line_buckets(lines, at), "line-buckets")
-    found = stage(links(stage(candidate_pairs(buckets), "line-pairs"), lines, at), "line-links")
+    pairs = stage(candidate_pairs(buckets), "line-pairs")
+    texts = texts_of(lines, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    maps = stage(line_maps(texts, at), "line-maps")
+    found = stage(links(stage(may_link(pairs, maps), "line-pairs"), texts, at), "line-links")
     comps = stage(connected_components(found), "line-components")
-    open_nodes = stage(unsettled(buckets, comps), "line-open")
-    if not open_nodes.isEmpty():
-        some = lines.withColumn("node", F.xxhash64("line")).join(open_nodes, "node", "left_semi")
-        some = stage(some.groupBy("node").agg(F.first("line").alias("line")).select("line"), "line-texts")
-        more = stage(links(stage(other_pairs(some, comps, at), "line-pairs"), some, at), "line-links")
-        if not more.isEmpty():
-            comps = stage(connected_components(found.unionByName(more)), "line-components")
+    members = stage(unsettled(buckets, comps), "line-open")
+    more = stage(links(stage(direct_pairs(members.where(F.col("k") <= DIRECT), maps), "line-pairs"), texts, at), "line-links")
+    large = members.where(F.col("k") > DIRECT)
+    if not large.isEmpty():
+        some = stage(texts.join(large.select("node"), "node", "left_semi").select("line"), "line-texts")
+        more = more.union(stage(links(stage(other_pairs(some, comps, at), "line-pairs"), texts, at), "line-links"))
+    if not more.isEmpty():
+        comps = stage(connected_components(found.unionByName(more)), "line-components")
     # From here on only lines that stand twice or have a link are looked at: no other can repeat.
     nodes = comps.select(F.col("id").alias("node")).union(buckets.where("key IS NULL").select("node")).distinct()
     places = lines.withColumn("node", F.xxhash64("line")).join(nodes, "node", "left_semi")

@@ -259,6 +259,33 @@ def test_fuzzy_lines_of_one_template(spark):
     assert {r.id for r in fuzzy_lines.repeated_lines(docs).collect()} == {b for _, b in pairs}
 
 
+@pytest.mark.parametrize("direct", [3, fuzzy_lines.DIRECT])
+def test_fuzzy_lines_of_large_buckets(spark, monkeypatch, direct):
+    """Small buckets are compared pair by pair, large ones searched by prefixes, with the same links; verified are few others."""
+    monkeypatch.setattr(fuzzy_lines, "DIRECT", direct)
+    verified = []
+    plain = fuzzy_lines.links
+    monkeypatch.setattr(fuzzy_lines, "links", lambda pairs, *more: verified.append(pairs.count()) or plain(pairs, *more))
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    frame = [word() for _ in range(40)]
+    lines = [[x if k % 8 else word() for k, x in enumerate(frame)] for _ in range(120)]
+    for i in range(20):
+        lines.append([x if k != 20 else word() for k, x in enumerate(lines[i])])
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id int, text string")
+    sets = [{x[k:k + 12] for k in range(len(x) - 11)} for x in (" ".join(w) for w in lines)]
+    near = [(a, b) for b in range(len(sets)) for a in range(b) if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    assert near == [(i, 120 + i) for i in range(20)]
+    got = {r.id for r in fuzzy_lines.repeated_lines(docs, at=fuzzy_lines.EVERY_PLACE).collect()}
+    assert got == {b for _, b in near} and 20 <= sum(verified) < 500 and len(verified) == (3 if direct == 3 else 2)
+
+
+def test_single_blanks(spark):
+    rows = ["a B", "a  B", " a\tB ", "a\x0bb\x0c\rc", "a\nb", "", " ", "\u00c9  x", "a\x1cb \u00a0 c", None]
+    got = spark.createDataFrame([(x,) for x in rows], "line string").select("line", fuzzy_lines.single_blanks("line").alias("x")).collect()
+    assert [r.x for r in got] == [None if x is None else re.sub(r"[\x20\x09-\x0D]{2,}|[\x09-\x0D]", " ", x).lower() for x in rows]
+
+
 def test_fuzzy_lines_look_at_all_characters(spark):
     rows = ["https://www.example.com/a/1", "https://www.example.org/zz", "2024-05-01T12:00:01,5", "2024-05-01T19:30:44,9",
             "\u6f22\u5b57\u4eee\u540d" * 4 + "".join(chr(0x4E00 + k) for k in range(40)), "\u6f22\u5b57\u4eee\u540d" * 4 + "".join(chr(0x5E00 + k) for k in range(40)),
