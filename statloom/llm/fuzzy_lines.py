@@ -47,6 +47,8 @@ PIVOTS = 3
 EVERY_PLACE, WORD_STARTS = "every place", "word starts"
 #: Buckets of more members are searched by prefixes.
 DIRECT = 512
+#: Shingles of one line that a row holds while minima and bit maps are made of them.
+STRIDE, MAP_STRIDE = 8, 4
 #: Words of 64 bits in the bit maps of pairs, and of sets that are searched by prefixes.
 WORDS, MORE_WORDS = 16, 8
 SIMILARITY = 0.8
@@ -76,15 +78,20 @@ def places(points: Column) -> Column:
     return F.sequence(F.lit(1), F.greatest(F.octet_length(points) - (4 * CHARS - 1), F.lit(1)), F.lit(4))
 
 
-def shingles(line: str, at: str) -> Column:
-    """Hashes of the set of character shingles of a line."""
+def shingle_list(line: str, at: str) -> Column:
+    """Hashes of the character shingles of a line, equal ones too."""
     if at == EVERY_PLACE:
         # An array of one element names the code points, so that they are not worked out for every shingle.
         found = F.transform(F.array(code_points(line)), lambda p: F.transform(
             places(p), lambda x: F.xxhash64(F.substring(p, x, F.lit(4 * CHARS)))))
-        return F.array_distinct(F.get(found, F.lit(0)))
+        return F.get(found, F.lit(0))
     found = F.regexp_extract_all(single_blanks(line), F.lit(SHINGLE), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda x: F.xxhash64(F.substring(x, 1, CHARS))))
+    return F.transform(found, lambda x: F.xxhash64(F.substring(x, 1, CHARS)))
+
+
+def shingles(line: str, at: str) -> Column:
+    """Hashes of the set of character shingles of a line."""
+    return F.array_distinct(shingle_list(line, at))
 
 
 def lines_of(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -94,30 +101,55 @@ def lines_of(docs: DataFrame, text: str, key: str) -> DataFrame:
     return rows.where(F.col("line").rlike(WORD))
 
 
-def line_shingles(lines: DataFrame, at: str) -> DataFrame:
-    """(node, first, s): the shingles of each line as rows, those of `shingles`; `first` is true in one row of each line.
+def line_shingles(lines: DataFrame, at: str, *more: str) -> DataFrame:
+    """(node, first, s, *more): the shingles of each line as rows, those of `shingles`; `first` is true in one row of each line.
 
     Rows and not arrays, so that all of it is compiled into one loop with the sums over it.
     """
     if at == EVERY_PLACE:
-        of = lines.select(F.xxhash64("line").alias("node"), code_points("line").alias("points"))
-        rows = of.select("node", "points", F.explode(places(F.col("points"))).alias("place"))
-        return rows.select("node", (F.col("place") == 1).alias("first"), F.xxhash64(F.substring("points", F.col("place"), F.lit(4 * CHARS))).alias("s"))
+        of = lines.select(F.xxhash64("line").alias("node"), code_points("line").alias("points"), *more)
+        rows = of.select("*", F.explode(places(F.col("points"))).alias("place"))
+        return rows.select("node", (F.col("place") == 1).alias("first"), F.xxhash64(F.substring("points", F.col("place"), F.lit(4 * CHARS))).alias("s"), *more)
     words = F.split(F.trim(single_blanks("line")), " ", -1)
-    of = lines.select(F.xxhash64("line").alias("node"), words.alias("w"))
-    two = of.select("node", F.posexplode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.size("w")).alias("b"))).alias("at", "z"))
+    of = lines.select(F.xxhash64("line").alias("node"), words.alias("w"), *more)
+    two = of.select("node", *more, F.posexplode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.size("w")).alias("b"))).alias("at", "z"))
     starts = F.when(F.length("z.a") > CHARS, F.sequence(F.lit(1), F.length("z.a") - (CHARS - 1))).otherwise(F.array(F.lit(1)))
     both = F.concat("z.a", F.coalesce(F.concat(F.lit(" "), "z.b"), F.lit("")))
-    rows = two.select("node", "at", both.alias("both"), F.explode(starts).alias("place"))
+    rows = two.select("node", *more, "at", both.alias("both"), F.explode(starts).alias("place"))
     return rows.select(
         "node", ((F.col("at") == 0) & (F.col("place") == 1)).alias("first"),
-        F.xxhash64(F.substring("both", F.col("place"), F.lit(CHARS))).alias("s"))
+        F.xxhash64(F.substring("both", F.col("place"), F.lit(CHARS))).alias("s"), *more)
+
+
+def strides(lines: DataFrame, at: str, n: int, *more: str) -> tuple[DataFrame, list[str]]:
+    """(node, first, s0 .., *more) and the names s0 ..: shingles of each line, up to `n` in a row; `first` is true in one row of each line.
+
+    At its end a line's last shingle stands more than once, which changes neither minima nor bit maps. One row for several
+    shingles spares most of the work of sums over them. Shingles from word starts come one in a row.
+    """
+    if at != EVERY_PLACE:
+        return line_shingles(lines, at, *more), ["s"]
+    of = lines.select(F.xxhash64("line").alias("node"), code_points("line").alias("points"), *more)
+    of = of.withColumn("last", F.greatest(F.octet_length("points") - (4 * CHARS - 1), F.lit(1)))
+    rows = of.select("*", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(4 * n))).alias("place"))
+    names = [f"s{i}" for i in range(n)]
+    return rows.select("node", (F.col("place") == 1).alias("first"), *(
+        F.xxhash64(F.substring("points", F.least(F.col("place") + 4 * i, F.col("last")), F.lit(4 * CHARS))).alias(s)
+        for i, s in enumerate(names)), *more), names
+
+
+def least_of(cols: list[Column]) -> Column:
+    return F.least(*cols) if len(cols) > 1 else cols[0]
 
 
-def bit_of(s: Column, word: int, words: int) -> Column:
-    """The bit of a shingle in one of the words of a bit map."""
-    here = F.pmod(F.shiftright(s, 6), F.lit(words)) == word
-    return F.when(here, F.expr("shiftleft(1L, cast(s & 63 as int))")).otherwise(F.lit(0).cast("bigint"))
+def place_of(s: Column, words: int) -> tuple[Column, Column]:
+    """Which word of a bit map a shingle has, and its bit there."""
+    return F.pmod(F.shiftright(s, 6), F.lit(words)).cast("int"), F.call_function("shiftleft", F.lit(1).cast("bigint"), s.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def bit_in(k: int, word: str, bit: str) -> Column:
+    """The bit of a shingle in word k of its bit map."""
+    return F.when(F.col(word) == k, F.col(bit)).otherwise(F.lit(0).cast("bigint"))
 
 
 def map_names(words: int) -> list[str]:
@@ -125,7 +157,7 @@ def map_names(words: int) -> list[str]:
 
 
 def differ_little(a: str, b: str, words: int) -> Column:
-    """Whether sets with these bit maps and at most `size` shingles can have a similarity of `SIMILARITY`.
+    """Whether sets with these bit maps and `size` shingles can have a similarity of `SIMILARITY`.
 
     Sets x and y of that similarity differ in at most (1 - t) / (1 + t) * (|x| + |y|) shingles.
     """
@@ -133,6 +165,11 @@ def differ_little(a: str, b: str, words: int) -> Column:
     return bits * (1 + SIMILARITY) <= (F.col(f"{a}size") + F.col(f"{b}size")) * (1 - SIMILARITY) + 1e-6
 
 
+def similar_sizes(a: str, b: str) -> Column:
+    """Whether sets of these sizes can have a similarity of `SIMILARITY`."""
+    return F.least(a, b) >= SIMILARITY * F.greatest(a, b)
+
+
 def masks() -> list[int]:
     """One number for each minimum; each begins with other four bits."""
     rng = random.Random(1)
@@ -145,8 +182,9 @@ def line_buckets(lines: DataFrame, at: str) -> DataFrame:
     A minimum is that of the shingles' hashes after an exclusive or with its mask: as hashes are evenly spread, each shingle of
     two sets is the least with the same chance. A row with key null says that the line itself stands in more than one place.
     """
-    least = [F.min(F.col("s").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(masks())]
-    nodes = line_shingles(lines, at).groupBy("node").agg(F.count(F.when(F.col("first"), 1)).alias("n"), *least)
+    rows, names = strides(lines, at, STRIDE)
+    least = [F.min(least_of([F.col(s).bitwiseXOR(F.lit(m)) for s in names])).alias(f"m{k}") for k, m in enumerate(masks())]
+    nodes = rows.groupBy("node").agg(F.count(F.when(F.col("first"), 1)).alias("n"), *least)
     bands = [F.xxhash64(F.lit(b), *(f"m{b * BAND_ROWS + r}" for r in range(BAND_ROWS))) for b in range(BANDS)]
     signed = stage(nodes.select("node", (F.col("n") > 1).alias("again"), F.array(*bands).alias("keys")), "line-keys")
     keyed = signed.select("node", F.explode("keys").alias("key"))
@@ -156,15 +194,18 @@ def line_buckets(lines: DataFrame, at: str) -> DataFrame:
 
 
 def line_maps(texts: DataFrame, at: str) -> DataFrame:
-    """(node, size, bits0 ..): the bit map of each distinct line. `size` counts equal shingles of a line apart."""
-    return line_shingles(texts, at).groupBy("node").agg(
-        F.count("s").cast("int").alias("size"), *(F.bit_or(bit_of(F.col("s"), k, WORDS)).alias(f"bits{k}") for k in range(WORDS)))
+    """(node, size, bits0 ..): the bit map of each distinct line and the size of its set."""
+    rows, names = strides(texts, at, MAP_STRIDE, "size")
+    rows = rows.select("node", "size", *(c.alias(f"{n}_{s}") for s in names for n, c in zip(("word", "bit"), place_of(F.col(s), WORDS))))
+    return rows.groupBy("node").agg(F.max("size").alias("size"), *(
+        F.bit_or(reduce(Column.bitwiseOR, [bit_in(k, f"word_{s}", f"bit_{s}") for s in names])).alias(f"bits{k}") for k in range(WORDS)))
 
 
-def texts_of(lines: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, line): the lines of these nodes, once each."""
+def texts_of(lines: DataFrame, nodes: DataFrame, at: str) -> DataFrame:
+    """(node, line, size): the lines of these nodes, once each, and how many shingles their sets have."""
     found = lines.select(F.xxhash64("line").alias("node"), "line").join(nodes, "node", "left_semi")
-    return stage(found.groupBy("node").agg(F.first("line").alias("line")), "line-texts")
+    found = found.groupBy("node").agg(F.first("line").alias("line"))
+    return stage(found.withColumn("size", F.size(shingles("line", at))), "line-texts")
 
 
 def candidate_pairs(buckets: DataFrame) -> DataFrame:
@@ -198,7 +239,8 @@ def direct_pairs(members: DataFrame, maps: DataFrame) -> DataFrame:
     rows = members.select("key", "node", "comp").join(maps, "node")
     other = rows.select("key", *(F.col(c).alias(f"q_{c}") for c in ("node", "comp", *map_names(WORDS))))
     both = rows.join(other, "key").where(
-        (F.col("node") < F.col("q_node")) & (F.col("comp") != F.col("q_comp")) & differ_little("", "q_", WORDS))
+        (F.col("node") < F.col("q_node")) & (F.col("comp") != F.col("q_comp")) & similar_sizes("size", "q_size")
+        & differ_little("", "q_", WORDS))
     return both.select(F.col("node").alias("a"), F.col("q_node").alias("b")).distinct()
 
 
@@ -227,8 +269,9 @@ def prefixes(lines: DataFrame, at: str) -> DataFrame:
         F.shiftrightunsigned(x, 9))))
     size = F.size("s")
     first = sets.select("node", size.alias("size"), F.slice(ordered, 1, (size - F.ceil(size * SIMILARITY - 1e-6) + 1).cast("int")).alias("prefix"))
-    maps = sets.select("node", F.explode("s").alias("s")).groupBy("node").agg(
-        *(F.bit_xor(bit_of(F.col("s"), k, MORE_WORDS)).alias(f"bits{k}") for k in range(MORE_WORDS)))
+    word, bit = place_of(F.col("s"), MORE_WORDS)
+    maps = sets.select("node", F.explode("s").alias("s")).select("node", word.alias("word"), bit.alias("bit")).groupBy("node").agg(
+        *(F.bit_xor(bit_in(k, "word", "bit")).alias(f"bits{k}") for k in range(MORE_WORDS)))
     return first.join(maps, "node")
 
 
@@ -253,19 +296,21 @@ def other_pairs(lines: DataFrame, comps: DataFrame, at: str) -> DataFrame:
 def may_link(pairs: DataFrame, maps: DataFrame) -> DataFrame:
     """The pairs that their bit maps do not rule out."""
     of = [maps.select(F.col("node").alias(n), *(F.col(c).alias(f"{n}_{c}") for c in map_names(WORDS))) for n in "ab"]
-    return pairs.join(of[0], "a").join(of[1], "b").where(differ_little("a_", "b_", WORDS)).select("a", "b")
+    both = pairs.join(of[0], "a").join(of[1], "b")
+    return both.where(similar_sizes("a_size", "b_size") & differ_little("a_", "b_", WORDS)).select("a", "b")
 
 
 def links(pairs: DataFrame, texts: DataFrame, at: str) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of `SIMILARITY` or more."""
     # Texts are joined and not their sets, which are several times as large.
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b")
-    # Generated rows are borders for the optimizer: the filter does not work the sets out anew.
-    both = both.select("a", "b", F.explode(F.array(F.struct(shingles("x", at).alias("x"), shingles("y", at).alias("y")))).alias("s"))
-    both = both.select("a", "b", F.explode(F.array(F.struct(
-        F.size(F.array_intersect("s.x", "s.y")).alias("shared"), (F.size("s.x") + F.size("s.y")).alias("sizes")))).alias("n"))
-    return both.where(F.col("n.shared") >= SIMILARITY * (F.col("n.sizes") - F.col("n.shared"))).select("a", "b")
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x"), F.col("size").alias("x_size")), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("line").alias("y"), F.col("size").alias("y_size")), "b")
+    # What x has alone tells the rest from the sizes, in one pass over each. A generated row is a border for the
+    # optimizer: the filter does not work it out anew.
+    both = both.select("a", "b", "x_size", "y_size", F.explode(F.array(
+        F.size(F.array_except(shingle_list("x", at), shingle_list("y", at))))).alias("alone"))
+    shared = F.col("x_size") - F.col("alone")
+    return both.where(shared >= SIMILARITY * (F.col("y_size") + F.col("alone"))).select("a", "b")
 
 
 def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", at: str = WORD_STARTS) -> DataFrame:
@@ -273,7 +318,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", at:
     lines = lines_of(docs, text, key)
     buckets = stage(line_buckets(lines, at), "line-buckets")
     pairs = stage(candidate_pairs(buckets), "line-pairs")
-    texts = texts_of(lines, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    texts = texts_of(lines, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), at)
     maps = stage(line_maps(texts, at), "line-maps")
     found = stage(links(stage(may_link(pairs, maps), "line-pairs"), texts, at), "line-links")
     comps = stage(connected_components(found), "line-components")

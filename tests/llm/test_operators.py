@@ -333,6 +333,29 @@ def test_fuzzy_lines_of_every_place(spark):
     assert got[fuzzy_lines.EVERY_PLACE] == want != got[fuzzy_lines.WORD_STARTS] and len(want) > 50
 
 
+def test_fuzzy_lines_of_several_shingles_in_a_row(spark):
+    """Rows of several shingles hold those of each line and no others; `size` is that of the set, so a pair of unlike sizes is not compared."""
+    rows = ["a", "abc def ghi", "abc def ghi ", "ab" * 40, "ab" * 40 + "c", *("xyz " * n + "end" for n in range(1, 12)), "na\u00efve \U0001f600 " * 9]
+    lines = spark.createDataFrame([(x,) for x in rows], "line string")
+    for at in (fuzzy_lines.EVERY_PLACE, fuzzy_lines.WORD_STARTS):
+        want = {r.node: set(r.s) for r in fuzzy_lines.line_shingles(lines, at).groupBy("node").agg(F.collect_set("s").alias("s")).collect()}
+        some, names = fuzzy_lines.strides(lines.withColumn("size", F.size(fuzzy_lines.shingles("line", at))), at, fuzzy_lines.STRIDE, "size")
+        got, first, n = {}, Counter(), 0
+        for r in some.collect():
+            got.setdefault(r.node, set()).update(r[s] for s in names)
+            first[r.node] += r.first
+            n += 1
+            assert r.size == len(want[r.node])
+        assert got == want and set(first.values()) == {1}
+        if at == fuzzy_lines.EVERY_PLACE:
+            assert n == sum(-(-max(1, len(" ".join(x.split())) - 11) // fuzzy_lines.STRIDE) for x in rows)
+    pair = lines.where(F.col("line").isin("ab" * 40, "ab" * 40 + "c"))
+    texts = pair.select(F.xxhash64("line").alias("node"), "line", F.size(fuzzy_lines.shingles("line", fuzzy_lines.EVERY_PLACE)).alias("size"))
+    assert sorted(r.size for r in texts.collect()) == [2, 3]
+    both = texts.agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    assert fuzzy_lines.may_link(both, fuzzy_lines.line_maps(texts, fuzzy_lines.EVERY_PLACE)).count() == 0
+
+
 def test_fuzzy_lines_edges(edge, none):
     got = fuzzy_lines.drop_repeated_lines(edge)
     assert got.columns == edge.columns
